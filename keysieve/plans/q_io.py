@@ -1 +1,63 @@
-"""Queries (placeholder)."""
+"""Queries: word-list scan, CSV and Parquet round trips, staged outputs and
+partitioned parts (all written under the session's checkpoint dir)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from keysieve.config import scratch_path
+from keysieve.operators import sampling as S
+from keysieve.plans.oracle import TOKENS, md5_bits, py_strip_sql, sql
+from keysieve.plans.registry import query
+from keysieve.sources import io
+from keysieve.sources import tables as T
+from keysieve.sources import wordlist
+
+PARTS = 10
+LABEL_COLS = ["password", "freq", "length", "score", "password_strength"]
+
+
+@query("wordlist_scan", sql(
+    f"SELECT {py_strip_sql('tok')} AS password FROM (SELECT {TOKENS} AS tok FROM documents)"))
+def wordlist_scan(spark, d):
+    """Write document tokens one per line, then scan them as a word list."""
+    path = scratch_path(spark, "wordlist")
+    wordlist.write_wordlist(T.text_tokens(spark, d, "documents"), path)
+    return wordlist.read_wordlist(spark, path, charset="UTF-8")
+
+
+@query("csv_roundtrip", sql("SELECT DEST_COUNTRY_NAME, count FROM flights"))
+def csv_roundtrip(spark, d):
+    path = scratch_path(spark, "flights-csv")
+    io.write_csv(T.flights(spark, d), path)
+    return io.read_csv(spark, path)
+
+
+@query("parquet_roundtrip", sql(f"SELECT {', '.join(LABEL_COLS)} FROM labelled"))
+def parquet_roundtrip(spark, d):
+    path = scratch_path(spark, "labelled")
+    io.write_parquet(T.labelled(spark, d).select(*LABEL_COLS), path)
+    return io.read_parquet(spark, path)
+
+
+@query("stage_checkpoint", sql(f"SELECT {', '.join(LABEL_COLS)} FROM labelled"))
+def stage_checkpoint(spark, d):
+    """Build once, then reuse the finished table (second call reads it)."""
+    path = scratch_path(spark, "stage")
+
+    def build():
+        return T.labelled(spark, d).select(*LABEL_COLS)
+
+    io.stage(spark, path, build)
+    return io.stage(spark, path, build)
+
+
+@query("split_parts", sql(f"""
+SELECT ({md5_bits('password', S.SALT_PARTS)} % {PARTS})::INT AS split_id, count(*) AS n
+FROM labelled GROUP BY 1"""))
+def split_parts(spark, d):
+    """Ten deterministic parts written as ``split_id=k`` directories in one job."""
+    path = scratch_path(spark, "parts")
+    io.write_parts(T.labelled(spark, d).select(*LABEL_COLS), path, PARTS)
+    return (spark.read.parquet(path).groupBy("split_id")
+            .agg(F.count(F.lit(1)).alias("n")))

@@ -1 +1,170 @@
-"""Queries (placeholder)."""
+"""Queries: Spark ML feature stages and models.
+
+Stages with a deterministic result (assembler, indexers) have SQL twins.
+Fitted models are checked by rows only. Training uses the balanced
+(hash-selected) training rows; scoring covers every held-out row.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IndexToString
+from pyspark.sql import functions as F
+
+from keysieve.config import scratch_path
+from keysieve.operators import breach as B
+from keysieve.operators import features
+from keysieve.operators import metrics as M
+from keysieve.operators import models as ML
+from keysieve.operators import sampling as S
+from keysieve.plans.oracle import sql
+from keysieve.plans.registry import query
+from keysieve.sources import tables as T
+
+PER_CLASS = 15000
+FOLDS = 3
+
+
+def exposure(spark, d):
+    """Labelled candidates with breach count (0 when unexposed) and band."""
+    m = B.match_breach(T.labelled(spark, d), T.breach(spark, d), how="left")
+    return features.with_frequency_band(m)
+
+
+def balanced(spark, d):
+    return S.balanced_split(exposure(spark, d), PER_CLASS)
+
+
+def report(pred):
+    return M.classification_report(M.confusion_long(pred))
+
+
+_FEATURE_ARRAY = "[" + ", ".join(f"{c}::DOUBLE" for c in ML.STRENGTH_FEATURES) + "]"
+
+
+@query("assembled_features",
+       sql(f"SELECT password, {_FEATURE_ARRAY} AS features FROM feats"))
+def assembled_features(spark, d):
+    f = features.with_features(T.candidates(spark, d))
+    return ML.features_as_array(ML.assembled(f, ML.STRENGTH_FEATURES)).select(
+        "password", "features")
+
+
+_RANK = """ranks AS (
+  SELECT password_strength,
+         (row_number() OVER (ORDER BY count(*) DESC, password_strength) - 1)::DOUBLE AS label
+  FROM labelled GROUP BY password_strength)"""
+
+
+@query("label_index", sql("""
+SELECT l.password, l.password_strength, r.label
+FROM labelled l JOIN ranks r ON l.password_strength = r.password_strength""", _RANK))
+def label_index(spark, d):
+    lab = T.labelled(spark, d)
+    idx = ML.fit_indexer(lab, ["password_strength"], ["label"], handle_invalid="error")
+    return idx.transform(lab).select("password", "password_strength", "label")
+
+
+@query("index_to_string", sql("""
+SELECT l.password, r.label, l.password_strength AS decoded
+FROM labelled l JOIN ranks r ON l.password_strength = r.password_strength""", _RANK))
+def index_to_string(spark, d):
+    lab = T.labelled(spark, d)
+    idx = ML.fit_indexer(lab, ["password_strength"], ["label"], handle_invalid="error")
+    back = IndexToString(inputCol="label", outputCol="decoded", labels=idx.labelsArray[0])
+    return back.transform(idx.transform(lab)).select("password", "label", "decoded")
+
+
+@query("dt_letter_digit")
+def dt_letter_digit(spark, d):
+    """Decision tree for ``has_letter_and_digit`` (8 features), depth x
+    impurity grid over 3 deterministic folds; TP/TN/FP/FN on the 20 % split."""
+    f = features.with_features(T.candidates(spark, d))
+    f = S.kfold(S.train_test_split(f), FOLDS)
+    f = ML.assembled(f, ML.LETTER_DIGIT_FEATURES).withColumn(
+        "has_letter_and_digit_d", F.col("has_letter_and_digit").cast("double"))
+    train, test = f.where("split = 'train'"), f.where("split = 'test'")
+    dt = ML.decision_tree(label_col="has_letter_and_digit_d")
+    cv = ML.cross_validate(train, dt, ML.depth_impurity_grid(dt),
+                           label_col="has_letter_and_digit_d", fold_col="fold")
+    pred = cv.bestModel.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
+    return M.binary_confusion(pred, truth="has_letter_and_digit", prediction="prediction")
+
+
+@query("rf_strength")
+def rf_strength(spark, d):
+    """Random forest (10 trees) on the raw class mix, 80/20 split; report on test."""
+    lab = S.train_test_split(T.labelled(spark, d))
+    train, test = lab.where("split = 'train'"), lab.where("split = 'test'")
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES)
+    return report(ML.predict(model, test))
+
+
+@query("rf_balanced")
+def rf_balanced(spark, d):
+    """Random forest on the balanced set with the breach band as 11th feature."""
+    train, test = balanced(spark, d)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES_BAND,
+                                  band_col="common_or_rare")
+    return report(ML.predict(model, test))
+
+
+@query("cv_grid")
+def cv_grid(spark, d):
+    """3 depths x 2 impurities x 3 folds (18 fits + refit) of a random forest
+    on the balanced set; one row per grid point with its mean accuracy."""
+    train, _ = balanced(spark, d)
+    lab = ML.fit_indexer(train, ["password_strength"], ["label"], handle_invalid="error")
+    band = ML.fit_indexer(train, ["common_or_rare"], ["common_or_rare_index"])
+    data = ML.assembled(S.kfold(band.transform(lab.transform(train)), FOLDS),
+                        ML.STRENGTH_FEATURES_BAND)
+    rf = ML.random_forest()
+    grid = ML.depth_impurity_grid(rf)
+    cv = ML.cross_validate(data, rf, grid, fold_col="fold", parallelism=4)
+    rows = [(int(pm[rf.maxDepth]), str(pm[rf.impurity]), float(m))
+            for pm, m in zip(grid, cv.avgMetrics)]
+    return spark.createDataFrame(rows, "max_depth int, impurity string, avg_accuracy double")
+
+
+@query("feature_importance")
+def feature_importance(spark, d):
+    train, _ = balanced(spark, d)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES_BAND,
+                                  band_col="common_or_rare")
+    return ML.feature_importance(spark, model.stages[-2].featureImportances,
+                                 ML.STRENGTH_FEATURES_BAND)
+
+
+@query("gbt_strength")
+def gbt_strength(spark, d):
+    """Boosted trees (10 rounds, depth 6), one-vs-rest over the 3 classes."""
+    train, test = balanced(spark, d)
+    model = ML.fit_strength_model(train, ML.boosted_one_vs_rest(), ML.STRENGTH_FEATURES_BAND,
+                                  band_col="common_or_rare")
+    return report(ML.predict(model, test))
+
+
+@query("seq_classifier")
+def seq_classifier(spark, d):
+    """Sequence model: logistic regression over one-hot (position, char)."""
+    train, test = balanced(spark, d)
+    model = ML.fit_sequence_model(train)
+    return report(ML.predict_sequence(model, test))
+
+
+@query("score_full")
+def score_full(spark, d):
+    """Score every held-out row with the balanced forest; accuracy per part."""
+    train, test = balanced(spark, d)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES)
+    return M.accuracy(S.split_ids(ML.predict(model, test), 10), by=["split_id"])
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, d):
+    """Save the fitted pipeline under the checkpoint dir, load it, score."""
+    train, test = balanced(spark, d)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES)
+    path = scratch_path(spark, "rf-model")
+    model.write().overwrite().save(path)
+    return report(ML.predict(PipelineModel.load(path), test))

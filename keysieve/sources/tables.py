@@ -23,8 +23,20 @@ from keysieve.functions.text import tokens
 from keysieve.operators import features
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one input table. The footer schema is inferred once per
+    path and then passed explicitly, so building a plan that reads the same
+    table several times fires no schema-inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def text_tokens(spark: SparkSession, sf_dir: str, name: str,
