@@ -79,7 +79,7 @@ def balanced_flags(df: DataFrame, per_class: int = 15000,
     frac = class_fractions(df, per_class, label_col)
     return (df.join(F.broadcast(frac), label_col)
             .withColumn(out, below_fraction(hash_bits(key, salt), F.col("_fraction")))
-            .drop("_fraction"))
+            .select(*df.columns, out))
 
 
 def balanced_split(df: DataFrame, per_class: int = 15000,
@@ -143,7 +143,7 @@ def exact_per_class(df: DataFrame, per_class: int,
     part = (picked.where(~F.col("_whole"))
             .withColumn("_r", F.row_number().over(rank))
             .where(F.col("_r") <= F.col("_need")).drop("_r"))
-    return whole.unionByName(part).drop("_h", "_b", "_need", "_whole")
+    return whole.unionByName(part).select(*df.columns)
 
 
 __all__ = [
