@@ -61,8 +61,17 @@ def flag_columns(password: str | Column = "password",
     return cols
 
 
+# Characters a string matching BLANK_PATTERN can start with: Java's \s class
+# and the line terminators ``$`` may precede.
+_BLANK_LEADS = [" ", "\t", "\n", "\x0b", "\f", "\r", "\u0085", "\u2028", "\u2029"]
+
+
 def is_blank(password: str | Column = "password") -> Column:
-    return _col(password).rlike(BLANK_PATTERN)
+    """``rlike('^\\s*$')``, with the regex evaluated only for strings that are
+    empty or start with whitespace/a line terminator (no other string can
+    match), so ordinary tokens skip the matcher entirely."""
+    p = _col(password)
+    return (F.length(p) == 0) | (F.substring(p, 1, 1).isin(_BLANK_LEADS) & p.rlike(BLANK_PATTERN))
 
 
 def score(flags_prefix: str = "", length: str | Column = "length",

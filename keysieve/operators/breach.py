@@ -31,12 +31,19 @@ def with_digest(df: DataFrame, col: str = "password", charset: str = "UTF-8") ->
                           "suffix": dg.range_suffix("sha1")}))
 
 
-def _key(match_on: str) -> F.Column:
+def _key(match_on: str, sentinel: bytes) -> F.Column:
+    """Binary join key. It is made non-nullable with a sentinel that no real
+    digest can equal (the two sides use different sentinels, so they never
+    match each other). A nullable key would make Catalyst infer
+    ``isnotnull(key)`` and push it below the aggregates onto every raw row,
+    hashing each row twice instead of each distinct string once."""
     if match_on == "range":
-        return F.unhex(F.concat(F.col("prefix"), F.col("suffix")))
-    if match_on == "suffix":  # the corpus reader of the reference lost the prefix
-        return F.unhex(F.col("suffix"))
-    raise ValueError(f"match_on must be 'range' or 'suffix', not {match_on!r}")
+        k = F.unhex(F.concat(F.col("prefix"), F.col("suffix")))
+    elif match_on == "suffix":  # the corpus reader of the reference lost the prefix
+        k = F.unhex(F.col("suffix"))
+    else:
+        raise ValueError(f"match_on must be 'range' or 'suffix', not {match_on!r}")
+    return F.coalesce(k, F.lit(bytearray(sentinel)))
 
 
 def match_breach(candidates: DataFrame, breach: DataFrame, how: str = "inner",
@@ -53,8 +60,8 @@ def match_breach(candidates: DataFrame, breach: DataFrame, how: str = "inner",
     """
     if "sha1" not in candidates.columns:
         candidates = with_digest(candidates, charset=charset)
-    cand = candidates.withColumn(JOIN_KEY, _key(match_on))
-    corpus = breach.select(_key(match_on).alias(JOIN_KEY), F.col(count_col))
+    cand = candidates.withColumn(JOIN_KEY, _key(match_on, b""))
+    corpus = breach.select(_key(match_on, b"\x00").alias(JOIN_KEY), F.col(count_col))
 
     if strategy == "broadcast" and how == "inner":
         if cand.count() <= broadcast_max_rows:

@@ -123,27 +123,25 @@ def exact_per_class(df: DataFrame, per_class: int,
     smallest ``(hash, key)``.
 
     No task sorts a whole class. A histogram of hash buckets per class (at most
-    classes x 4096 rows) tells, for each class, which buckets are taken whole
-    and the one bucket that is taken in part; only rows of that bucket — about
-    1/4096 of the class, since the hash is uniform over distinct keys — are
-    ranked with a window.
+    classes x 4096 rows) tells, for each class, which buckets are needed: all
+    buckets before the one where the running count passes ``per_class``, and
+    that one. Only rows of needed buckets are kept (about ``per_class`` plus
+    one bucket, ~1/4096 of the class since the hash is uniform over distinct
+    keys), and they are ranked with a window per (class, bucket).
     """
     h = df.withColumns({"_h": hash_bits(key, salt)})
     h = h.withColumn("_b", F.shiftright(F.col("_h"), HIST_SHIFT))
     hist = h.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = (hist.withColumn("_cum", F.sum("_n").over(w))
+    need = (hist.withColumn("_cum", F.sum("_n").over(w))
             .withColumn("_prev", F.col("_cum") - F.col("_n"))
             .where(F.col("_prev") < per_class)
-            .select(label_col, "_b", (F.lit(per_class) - F.col("_prev")).alias("_need"),
-                    (F.col("_cum") <= per_class).alias("_whole")))
-    picked = h.join(F.broadcast(hist), [label_col, "_b"])
-    whole = picked.where("_whole")
+            .select(label_col, "_b", (F.lit(per_class) - F.col("_prev")).alias("_need")))
     rank = Window.partitionBy(label_col, "_b").orderBy("_h", key)
-    part = (picked.where(~F.col("_whole"))
+    return (h.join(F.broadcast(need), [label_col, "_b"])
             .withColumn("_r", F.row_number().over(rank))
-            .where(F.col("_r") <= F.col("_need")).drop("_r"))
-    return whole.unionByName(part).select(*df.columns)
+            .where(F.col("_r") <= F.col("_need"))
+            .select(*df.columns))
 
 
 __all__ = [

@@ -32,7 +32,12 @@ def exposure(spark, d):
 
 
 def balanced(spark, d):
-    return S.balanced_split(exposure(spark, d), PER_CLASS)
+    """(train, test) of the balanced split. The tagged frame is checkpointed
+    once, so fitting and scoring read it instead of re-running tokenise ->
+    hash -> join for each side."""
+    tagged = ML.materialize(S.balanced_flags(exposure(spark, d), PER_CLASS, out="_in_train"))
+    return (tagged.where("_in_train").drop("_in_train"),
+            tagged.where(~F.col("_in_train")).drop("_in_train"))
 
 
 def report(pred):
