@@ -5,10 +5,12 @@ Design for a corpus of ~10^9 digests and 10^7..10^9 candidates:
 * candidates are distinct before hashing (hot passwords collapse map-side);
 * the join key is the 20-byte binary digest, not two hex strings, which
   halves shuffle bytes and comparison cost;
-* both sides are hash-partitioned on that key by the planner (sort-merge, or
-  shuffled hash under AQE); SHA-1 is uniform, so there is no key skew;
-* a broadcast of the candidate side happens only behind a measured row count;
-  beyond the bound the shuffled join is used.
+* by default both sides are hash-partitioned on that key and sort-merge
+  joined (no broadcast decided from a file-size estimate: both inputs grow
+  with the data); SHA-1 is uniform, so there is no key skew, and AQE's skew
+  handling stays available;
+* a broadcast of the candidate side happens only behind a measured row count
+  (``strategy="broadcast"``); beyond the bound the shuffled join is used.
 """
 
 from __future__ import annotations
@@ -47,16 +49,16 @@ def _key(match_on: str, sentinel: bytes) -> F.Column:
 
 
 def match_breach(candidates: DataFrame, breach: DataFrame, how: str = "inner",
-                 match_on: str = "range", strategy: str = "auto",
+                 match_on: str = "range", strategy: str = "shuffle",
                  count_col: str = "breach_count", charset: str = "UTF-8",
                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join candidates to ``breach(prefix, suffix, breach_count)``.
 
     ``how``: ``inner`` (exposed only, with count), ``left`` (all candidates,
     NULL count -> 0 and an ``exposed`` flag), ``left_semi`` / ``left_anti``
-    (candidate columns only). ``strategy``: ``auto`` leaves the choice to
-    Catalyst/AQE; ``broadcast`` broadcasts the candidate side of an inner join
-    after checking its row count; ``shuffle`` forbids broadcasting.
+    (candidate columns only). ``strategy``: ``shuffle`` (default) sort-merge
+    joins; ``broadcast`` broadcasts the candidate side of an inner join after
+    checking its row count; ``auto`` leaves the choice to Catalyst/AQE.
     """
     if "sha1" not in candidates.columns:
         candidates = with_digest(candidates, charset=charset)

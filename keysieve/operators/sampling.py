@@ -112,8 +112,13 @@ def sample_by_class_union(df: DataFrame, per_class: int = 15000,
 
 
 def holdout(full: DataFrame, train: DataFrame, key: str = "password") -> DataFrame:
-    """Test set as ``full`` minus ``train`` by a stable key (left anti join)."""
-    return full.join(train.select(key), key, "left_anti")
+    """Test set as ``full`` minus ``train`` by a stable key (left anti join).
+
+    The key side is made distinct first (map-side combined), so a key that
+    repeats in ``train`` cannot blow up the join buffer; sort-merge join, as
+    neither side has a size bound."""
+    keys = train.select(key).distinct()
+    return full.join(keys.hint("merge"), key, "left_anti")
 
 
 def exact_per_class(df: DataFrame, per_class: int,

@@ -88,6 +88,24 @@ def breach_parse(spark, d):
     return breach_src.read_breach_ranges(spark, path)
 
 
+@query("breach_compact_match", sql(f"SELECT {', '.join(MATCH_COLS)} FROM matched"))
+def breach_compact_match(spark, d):
+    """Re-lay the corpus as Parquet sorted by digest within prefix buckets
+    (a one-off job), then match candidates against the compacted copy."""
+    path = scratch_path(spark, "breach-compact")
+    breach_src.compact_breach(T.breach(spark, d), path, buckets=8)
+    return B.match_breach(T.candidates(spark, d), spark.read.parquet(path)).select(*MATCH_COLS)
+
+
+@query("breach_rejects", sql(
+    "SELECT count(*) AS lines, count(*) AS accepted, 0::BIGINT AS rejected FROM breach"))
+def breach_rejects(spark, d):
+    """Line accounting of the corpus parser (all lines of a clean corpus pass)."""
+    path = scratch_path(spark, "breach-lines")
+    breach_src.write_breach_hashes(T.breach(spark, d), path)
+    return breach_src.breach_rejects(spark, path)
+
+
 @query("breach_corpus", sql("SELECT prefix, suffix, breach_count FROM breach"))
 def breach_corpus(spark, d):
     return T.breach(spark, d)

@@ -16,7 +16,9 @@ FLIGHTS_SCHEMA = "DEST_COUNTRY_NAME STRING, count BIGINT"
 
 
 def _norm(p: str) -> str:
-    return p.rstrip("/").removeprefix("file:")
+    """Path part of a URI or plain path (``file:///a/b`` -> ``/a/b``)."""
+    from urllib.parse import unquote, urlparse
+    return unquote(urlparse(p).path).rstrip("/")
 
 
 def assert_not_reading(df: DataFrame, path: str) -> None:

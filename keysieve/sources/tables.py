@@ -85,7 +85,8 @@ def breach(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``DEST_COUNTRY_NAME, count``: customers per (nation, segment)."""
     customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
+    # nation is a fixed 25-row dimension, so broadcasting it is bounded.
+    nation = F.broadcast(table(spark, sf_dir, "nation"))
     return (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
             .groupBy("n_name", "c_mktsegment")
             .agg(F.count(F.lit(1)).alias("count"))
