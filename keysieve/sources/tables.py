@@ -6,7 +6,8 @@
                    per distinct string with its frequency;
 * ``breach``     – a breach-count corpus keyed by SHA-1 range prefix/suffix,
                    built from tokens of ``conversations`` and ``benchmark``
-                   plus the names of every third customer;
+                   plus every customer's name, counted once per order the
+                   customer placed;
 * ``flights``    – a (destination, count) table standing in for the CSV of the
                    SQL tutorial.
 
@@ -63,13 +64,20 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def breach_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(password, k) occurrences that make up the breach corpus."""
+    """(password, k) occurrences that make up the breach corpus.
+
+    Customer names are weighted by their number of orders: orders are
+    aggregated per customer first (map-side combined, so a customer holding a
+    third of all orders is one partial row per mapper), then joined on the
+    unique customer key."""
     customer = table(spark, sf_dir, "customer")
+    orders = (table(spark, sf_dir, "orders").groupBy("o_custkey")
+              .agg(F.count(F.lit(1)).cast("int").alias("k")))
+    names = (customer.join(orders.hint("merge"), customer.c_custkey == orders.o_custkey)
+             .select(F.col("c_name").alias("password"), "k"))
     return (text_tokens(spark, sf_dir, "conversations").withColumn("k", F.lit(1))
             .unionByName(text_tokens(spark, sf_dir, "benchmark").withColumn("k", F.lit(1)))
-            .unionByName(customer.where(F.col("c_custkey") % 3 == 0)
-                         .select(F.col("c_name").alias("password"),
-                                 (F.lit(1) + F.col("c_custkey") % 20).cast("int").alias("k"))))
+            .unionByName(names))
 
 
 def breach(spark: SparkSession, sf_dir: str) -> DataFrame:
