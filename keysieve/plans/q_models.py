@@ -55,6 +55,40 @@ def assembled_features(spark, d):
         "password", "features")
 
 
+_LD_ARRAY = "[" + ", ".join(f"{c}::DOUBLE" for c in ML.LETTER_DIGIT_FEATURES) + "]"
+
+
+@query("assembled_letter_digit",
+       sql(f"SELECT password, has_letter_and_digit, {_LD_ARRAY} AS features FROM feats"))
+def assembled_letter_digit(spark, d):
+    """The 8-column vector of the letter-and-digit tree."""
+    f = features.with_features(T.candidates(spark, d))
+    return ML.features_as_array(ML.assembled(f, ML.LETTER_DIGIT_FEATURES)).select(
+        "password", "has_letter_and_digit", "features")
+
+
+_BAND_ARRAY = ("[" + ", ".join(f"{c}::DOUBLE" for c in ML.STRENGTH_FEATURES)
+               + ", band_index]")
+_BAND = """banded AS (
+  SELECT *, CASE WHEN breach_count >= 10 THEN 'common' ELSE 'rare' END AS common_or_rare
+  FROM exposure),
+band_ranks AS (
+  SELECT common_or_rare,
+         (row_number() OVER (ORDER BY count(*) DESC, common_or_rare) - 1)::DOUBLE AS band_index
+  FROM banded GROUP BY common_or_rare)"""
+
+
+@query("assembled_band", sql(f"""
+SELECT b.password, b.common_or_rare, {_BAND_ARRAY} AS features
+FROM banded b JOIN band_ranks r ON b.common_or_rare = r.common_or_rare""", _BAND))
+def assembled_band(spark, d):
+    """The 11-column vector: ten features plus the indexed breach band."""
+    ex = exposure(spark, d)
+    band = ML.fit_indexer(ex, ["common_or_rare"], ["common_or_rare_index"])
+    return ML.features_as_array(ML.assembled(band.transform(ex), ML.STRENGTH_FEATURES_BAND)
+                                ).select("password", "common_or_rare", "features")
+
+
 _RANK = """ranks AS (
   SELECT password_strength,
          (row_number() OVER (ORDER BY count(*) DESC, password_strength) - 1)::DOUBLE AS label
