@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from keysieve.config import scratch_path
 from keysieve.operators import breach as B
 from keysieve.operators import features
@@ -115,5 +113,3 @@ def breach_corpus(spark, d):
 def candidates(spark, d):
     return T.candidates(spark, d)
 
-
-__all__ = ["F"]

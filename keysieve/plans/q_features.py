@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from keysieve.functions import sequence
 from keysieve.functions.charclass import FLAG_COLUMNS
 from keysieve.operators import breach, features

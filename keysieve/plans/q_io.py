@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keysieve.config import scratch_path
+from keysieve.operators import audit
 from keysieve.operators import sampling as S
-from keysieve.plans.oracle import TOKENS, md5_bits, py_strip_sql, sql
+from keysieve.plans.oracle import FLAG_LIST, SPACE, TOKENS, md5_bits, py_strip_sql, sql
 from keysieve.plans.registry import query
+from keysieve.sources import breach as breach_src
 from keysieve.sources import io
 from keysieve.sources import tables as T
 from keysieve.sources import wordlist
@@ -61,3 +63,35 @@ def split_parts(spark, d):
     io.write_parts(T.labelled(spark, d).select(*LABEL_COLS), path, PARTS)
     return (spark.read.parquet(path).groupBy("split_id")
             .agg(F.count(F.lit(1)).alias("n")))
+
+
+_AUDIT_SQL = sql(f"""
+SELECT a.password, a.freq, {', '.join(audit.AUDIT_COLUMNS[2:14])}, a.password_strength,
+       coalesce(b.breach_count, 0) AS breach_count, (b.breach_count IS NOT NULL)::INT AS exposed,
+       CASE WHEN coalesce(b.breach_count, 0) >= 10 THEN 'common' ELSE 'rare' END AS common_or_rare
+FROM wlab a LEFT JOIN breach b
+  ON substr(upper(sha1(a.password)), 1, 5) = b.prefix
+ AND substr(upper(sha1(a.password)), 6, 35) = b.suffix""", f"""
+wl AS (SELECT {py_strip_sql('tok')} AS password FROM (SELECT {TOKENS} AS tok FROM documents)),
+wcand AS (
+  SELECT password, count(*) AS freq FROM wl
+  WHERE NOT regexp_matches(password, '^{SPACE}*$') AND length(password) < 20 GROUP BY 1),
+wfeat AS (SELECT password, freq, {FLAG_LIST}, length(password)::INT AS length FROM wcand),
+wscore AS (
+  SELECT *, (has_upper + has_lower + has_digits + has_special_characters
+             + CASE WHEN length > 8 THEN 1 ELSE 0 END)::INT AS score FROM wfeat),
+wlab AS (
+  SELECT *, CASE WHEN score = 5 THEN 'Strong' WHEN score >= 3 THEN 'medium' ELSE 'weak' END
+         AS password_strength FROM wscore)""")
+
+
+@query("wordlist_audit", _AUDIT_SQL)
+def wordlist_audit(spark, d):
+    """The whole audit from files: document tokens as a word list, the corpus
+    as ``SHA1:COUNT`` lines, one job writing the audited table."""
+    wl = scratch_path(spark, "audit-wordlist")
+    corpus = scratch_path(spark, "audit-corpus")
+    wordlist.write_wordlist(T.text_tokens(spark, d, "documents"), wl)
+    breach_src.write_breach_hashes(T.breach(spark, d), corpus)
+    return audit.audit_wordlist(spark, wl, corpus, scratch_path(spark, "audit-out"),
+                                charset="UTF-8", keep_plaintext=True)
