@@ -71,27 +71,31 @@ def classification_report(cells: DataFrame, classes: list[str] = CLASS_ORDER) ->
                      .otherwise(F.col("tp") / F.col("support")).alias("r"))
     per = per.withColumn("f", F.when(F.col("p") + F.col("r") == 0, 0.0)
                          .otherwise(2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))))
-    rows = per.select("class", F.round("p", 6).alias("precision"), F.round("r", 6).alias("recall"),
-                      F.round("f", 6).alias("f1"), F.col("support").cast("bigint").alias("support"))
-    tot = per.agg(F.sum("tp").alias("tp"), F.sum("support").alias("total"),
-                  F.avg("p").alias("mp"), F.avg("r").alias("mr"), F.avg("f").alias("mf"),
-                  F.sum(F.col("p") * F.col("support")).alias("wp"),
-                  F.sum(F.col("r") * F.col("support")).alias("wr"),
-                  F.sum(F.col("f") * F.col("support")).alias("wf"))
+
+    def row(name, p, r, f, support) -> F.Column:
+        return F.struct(name.alias("class"), p.alias("precision"), r.alias("recall"),
+                        f.alias("f1"), support.cast("bigint").alias("support"))
+
+    # One aggregate over the per-class rows (one per class, so the collected
+    # list is bounded by the class count) yields every output row; a single
+    # branch, so the confusion cells are computed once.
+    tot = per.agg(
+        F.collect_list(row(F.col("class"), F.round("p", 6), F.round("r", 6), F.round("f", 6),
+                           F.col("support"))).alias("per_class"),
+        F.sum("tp").alias("tp"), F.sum("support").alias("total"),
+        F.avg("p").alias("mp"), F.avg("r").alias("mr"), F.avg("f").alias("mf"),
+        F.sum(F.col("p") * F.col("support")).alias("wp"),
+        F.sum(F.col("r") * F.col("support")).alias("wr"),
+        F.sum(F.col("f") * F.col("support")).alias("wf"))
     total = F.col("total")
     acc = _ratio(F.col("tp"), total)
-    summary = tot.select(
-        F.array(
-            F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
-                     acc.alias("f1"), total.cast("bigint").alias("support")),
-            F.struct(F.lit("macro avg").alias("class"), F.round("mp", 6).alias("precision"),
-                     F.round("mr", 6).alias("recall"), F.round("mf", 6).alias("f1"),
-                     total.cast("bigint").alias("support")),
-            F.struct(F.lit("weighted avg").alias("class"), _ratio(F.col("wp"), total).alias("precision"),
-                     _ratio(F.col("wr"), total).alias("recall"), _ratio(F.col("wf"), total).alias("f1"),
-                     total.cast("bigint").alias("support")),
-        ).alias("s")).select(F.explode("s").alias("s")).select("s.*")
-    return rows.unionByName(summary)
+    summary = F.array(
+        row(F.lit("accuracy"), acc, acc, acc, total),
+        row(F.lit("macro avg"), F.round("mp", 6), F.round("mr", 6), F.round("mf", 6), total),
+        row(F.lit("weighted avg"), _ratio(F.col("wp"), total), _ratio(F.col("wr"), total),
+            _ratio(F.col("wf"), total), total))
+    return (tot.select(F.explode(F.concat("per_class", summary)).alias("s"))
+            .select("s.*"))
 
 
 def accuracy(pred: DataFrame, true_col: str = TRUE_COL, pred_col: str = PRED_COL,

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysieve.functions import sequence
+from keysieve.operators.lineage import materialize
 from keysieve.operators.metrics import PRED_COL, TRUE_COL
 
 # Feature lists of the three model families.
@@ -87,15 +88,6 @@ def boosted_one_vs_rest(max_iter: int = 10, max_depth: int = 6, seed: int = 42)
     return OneVsRest(classifier=gbt, labelCol=LABEL, featuresCol=FEATURES)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint dir and cut its lineage, so
-    the many passes of a fit read a table instead of recomputing the pipeline,
-    and a lost executor recomputes from that table."""
-    from keysieve.config import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fit_strength_model(train: DataFrame, estimator, feature_cols: list[str],
                        label_col: str = "password_strength",
                        band_col: str | None = None,

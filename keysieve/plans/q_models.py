@@ -17,6 +17,7 @@ from keysieve.operators import features
 from keysieve.operators import metrics as M
 from keysieve.operators import models as ML
 from keysieve.operators import sampling as S
+from keysieve.operators.lineage import materialize
 from keysieve.plans.oracle import sql
 from keysieve.plans.registry import query
 from keysieve.sources import tables as T
@@ -35,7 +36,7 @@ def balanced(spark, d):
     """(train, test) of the balanced split. The tagged frame is checkpointed
     once, so fitting and scoring read it instead of re-running tokenise ->
     hash -> join for each side."""
-    tagged = ML.materialize(S.balanced_flags(exposure(spark, d), PER_CLASS, out="_in_train"))
+    tagged = materialize(S.balanced_flags(exposure(spark, d), PER_CLASS, out="_in_train"))
     return (tagged.where("_in_train").drop("_in_train"),
             tagged.where(~F.col("_in_train")).drop("_in_train"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keysieve.operators import sampling as S
+from keysieve.operators.lineage import materialize
 from keysieve.plans.oracle import md5_bits, sql
 from keysieve.plans.registry import query
 from keysieve.sources import tables as T
@@ -26,6 +27,12 @@ baltag AS (
   FROM labelled l JOIN balfrac USING (password_strength))"""
 
 
+def _labelled_once(spark, d):
+    """(password, label) of every candidate, checkpointed: the balancing
+    queries read it more than once (class counts, histogram, branches)."""
+    return materialize(T.labelled(spark, d).select("password", "password_strength"))
+
+
 @query("hash_sample", sql(f"""
 SELECT password, freq FROM candidates
 WHERE {md5_bits('password', S.SALT_SAMPLE)} < {SAMPLE_FRACTION} * 4294967296"""))
@@ -64,30 +71,34 @@ def kfold_assign(spark, d):
 @query("balanced_train", sql(
     "SELECT password, password_strength FROM baltag WHERE in_train", _BAL))
 def balanced_train(spark, d):
-    train, _ = S.balanced_split(T.labelled(spark, d).select("password", "password_strength"),
-                                PER_CLASS)
+    """Balancing reads its input twice (class counts, then the filter), so the
+    labelled frame is checkpointed once rather than recomputed."""
+    train, _ = S.balanced_split(_labelled_once(spark, d), PER_CLASS)
     return train
 
 
 @query("balanced_test", sql(
     "SELECT password, password_strength FROM baltag WHERE NOT in_train", _BAL))
 def balanced_test(spark, d):
-    _, test = S.balanced_split(T.labelled(spark, d).select("password", "password_strength"),
-                               PER_CLASS)
+    _, test = S.balanced_split(_labelled_once(spark, d), PER_CLASS)
     return test
 
 
 @query("union_by_class", sql(
     "SELECT password, password_strength FROM baltag WHERE in_train", _BAL))
 def union_by_class(spark, d):
-    return S.sample_by_class_union(
-        T.labelled(spark, d).select("password", "password_strength"), PER_CLASS)
+    """Per-class filter + sample, then union. The labelled frame feeds four
+    branches (three classes and the fraction table), so it is checkpointed
+    once instead of being recomputed per branch."""
+    return S.sample_by_class_union(_labelled_once(spark, d), PER_CLASS)
 
 
 @query("holdout_anti_join", sql(
     "SELECT password, password_strength FROM baltag WHERE NOT in_train", _BAL))
 def holdout_anti_join(spark, d):
-    full = T.labelled(spark, d).select("password", "password_strength")
+    """Test set as all rows minus the training keys (the frame feeds three
+    branches, so it is checkpointed once)."""
+    full = _labelled_once(spark, d)
     train, _ = S.balanced_split(full, PER_CLASS)
     return S.holdout(full, train)
 
@@ -99,8 +110,8 @@ SELECT password, password_strength FROM (
                             ORDER BY {md5_bits('password', S.SALT_BALANCE)}, password) AS r
   FROM labelled) WHERE r <= {EXACT_PER_CLASS}"""))
 def balanced_exact(spark, d):
-    return S.exact_per_class(T.labelled(spark, d).select("password", "password_strength"),
-                             EXACT_PER_CLASS)
+    """Two passes (bucket histogram, selection) over one checkpointed input."""
+    return S.exact_per_class(_labelled_once(spark, d), EXACT_PER_CLASS)
 
 
 @query("balanced_class_counts", sql("""
@@ -108,8 +119,7 @@ SELECT password_strength, count(*) FILTER (WHERE in_train) AS train_rows,
        count(*) FILTER (WHERE NOT in_train) AS test_rows FROM baltag GROUP BY 1""", _BAL))
 def balanced_class_counts(spark, d):
     """Per class: training rows and held-out rows of the balanced split."""
-    tagged = S.balanced_flags(T.labelled(spark, d).select("password", "password_strength"),
-                              PER_CLASS)
+    tagged = S.balanced_flags(_labelled_once(spark, d), PER_CLASS)
     return tagged.groupBy("password_strength").agg(
         F.count_if("in_train").alias("train_rows"),
         F.count_if(~F.col("in_train")).alias("test_rows"))
