@@ -66,7 +66,9 @@ def match_breach(candidates: DataFrame, breach: DataFrame, how: str = "inner",
     corpus = breach.select(_key(match_on, b"\x00").alias(JOIN_KEY), F.col(count_col))
 
     if strategy == "broadcast" and how == "inner":
-        if cand.count() <= broadcast_max_rows:
+        # Bounded size check: the limit stops the scan once the bound is
+        # exceeded, so a huge candidate side is not counted in full.
+        if cand.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
             cand = F.broadcast(cand)
     elif strategy == "shuffle":
         cand = cand.hint("merge")
