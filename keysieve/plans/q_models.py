@@ -33,10 +33,10 @@ def exposure(spark, d):
 
 
 def balanced(spark, d):
-    """(train, test) of the balanced split. The tagged frame is checkpointed
-    once, so fitting and scoring read it instead of re-running tokenise ->
-    hash -> join for each side."""
-    tagged = materialize(S.balanced_flags(exposure(spark, d), PER_CLASS, out="_in_train"))
+    """(train, test) of the balanced split. The tagged frame is staged once
+    as a table, so fitting and scoring read it instead of re-running
+    tokenise -> hash -> join for each side (the fits need no second stage)."""
+    tagged = S.balanced_flags(materialize(exposure(spark, d)), PER_CLASS, out="_in_train")
     return (tagged.where("_in_train").drop("_in_train"),
             tagged.where(~F.col("_in_train")).drop("_in_train"))
 
@@ -145,7 +145,7 @@ def rf_balanced(spark, d):
     """Random forest on the balanced set with the breach band as 11th feature."""
     train, test = balanced(spark, d)
     model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES_BAND,
-                                  band_col="common_or_rare")
+                                  band_col="common_or_rare", checkpoint=False)
     return report(ML.predict(model, test))
 
 
@@ -170,7 +170,7 @@ def cv_grid(spark, d):
 def feature_importance(spark, d):
     train, _ = balanced(spark, d)
     model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES_BAND,
-                                  band_col="common_or_rare")
+                                  band_col="common_or_rare", checkpoint=False)
     return ML.feature_importance(spark, model.stages[-2].featureImportances,
                                  ML.STRENGTH_FEATURES_BAND)
 
@@ -180,7 +180,7 @@ def gbt_strength(spark, d):
     """Boosted trees (10 rounds, depth 6), one-vs-rest over the 3 classes."""
     train, test = balanced(spark, d)
     model = ML.fit_strength_model(train, ML.boosted_one_vs_rest(), ML.STRENGTH_FEATURES_BAND,
-                                  band_col="common_or_rare")
+                                  band_col="common_or_rare", checkpoint=False)
     return report(ML.predict(model, test))
 
 
@@ -188,7 +188,7 @@ def gbt_strength(spark, d):
 def seq_classifier(spark, d):
     """Sequence model: logistic regression over one-hot (position, char)."""
     train, test = balanced(spark, d)
-    model = ML.fit_sequence_model(train)
+    model = ML.fit_sequence_model(train, checkpoint=False)
     return report(ML.predict_sequence(model, test))
 
 
@@ -196,7 +196,8 @@ def seq_classifier(spark, d):
 def score_full(spark, d):
     """Score every held-out row with the balanced forest; accuracy per part."""
     train, test = balanced(spark, d)
-    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES,
+                                  checkpoint=False)
     return M.accuracy(S.split_ids(ML.predict(model, test), 10), by=["split_id"])
 
 
@@ -204,7 +205,8 @@ def score_full(spark, d):
 def model_roundtrip(spark, d):
     """Save the fitted pipeline under the checkpoint dir, load it, score."""
     train, test = balanced(spark, d)
-    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES,
+                                  checkpoint=False)
     path = scratch_path(spark, "rf-model")
     model.write().overwrite().save(path)
     return report(ML.predict(PipelineModel.load(path), test))

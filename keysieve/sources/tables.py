@@ -25,6 +25,9 @@ from keysieve.operators import features
 
 
 _SCHEMAS: dict[str, object] = {}
+_SIZES: dict[str, int] = {}
+# Text tables up to this size are spread over the cores before tokenising.
+SPREAD_MAX_BYTES = 512 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +43,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (a file-system metadata call, no job)."""
+    if path not in _SIZES:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        _SIZES[path] = int(fs.getContentSummary(p).getLength())
+    return _SIZES[path]
+
+
 def text_tokens(spark: SparkSession, sf_dir: str, name: str,
                 out: str = "password") -> DataFrame:
-    """One row per whitespace token of ``<name>.text``."""
-    return (table(spark, sf_dir, name)
-            .select(F.explode(tokens("text")).alias(out)))
+    """One row per whitespace token of ``<name>.text``.
+
+    Scan parallelism follows row groups, and a small table may be a single
+    row group, i.e. one task doing all the tokenising. Tables of at most
+    ``SPREAD_MAX_BYTES`` are therefore spread round-robin over the cores
+    first. The extra shuffle is bounded by that size; larger tables already
+    have enough splits and are scanned as they are."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    text = table(spark, sf_dir, name).select("text")
+    if path_bytes(spark, path) <= SPREAD_MAX_BYTES:
+        text = text.repartition(spark.sparkContext.defaultParallelism)
+    return text.select(F.explode(tokens("text")).alias(out))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
