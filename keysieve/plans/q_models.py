@@ -37,7 +37,9 @@ def balanced(spark, d):
     as a table, so fitting and scoring read it instead of re-running
     tokenise -> hash -> join for each side (the fits need no second stage)."""
     tagged = S.balanced_flags(materialize(exposure(spark, d)), PER_CLASS, out="_in_train")
-    return (tagged.where("_in_train").drop("_in_train"),
+    # The training side (about PER_CLASS rows per class) is read by many fit
+    # passes, so it is staged too; the held-out side is scored in one pass.
+    return (materialize(tagged.where("_in_train").drop("_in_train"), "train"),
             tagged.where(~F.col("_in_train")).drop("_in_train"))
 
 
