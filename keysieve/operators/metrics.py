@@ -51,7 +51,8 @@ def classification_report(cells: DataFrame, classes: list[str] = CLASS_ORDER) ->
     weighted avg rows (the layout of a classic classification report).
 
     ``cells`` is ``(true_label, predicted_label, n)``; the work is a handful of
-    aggregates over at most classes^2 rows."""
+    aggregates over at most classes^2 rows. Classes that occur neither as
+    truth nor as prediction are left out (and out of the macro average)."""
     cls = F.array(*[F.lit(c) for c in classes])
     grid = cells.select(TRUE_COL, PRED_COL, "n")
     # Per class: true positives, actual (support) and predicted totals.
@@ -64,6 +65,8 @@ def classification_report(cells: DataFrame, classes: list[str] = CLASS_ORDER) ->
                 .alias("support"),
                 F.sum(F.when(F.col(PRED_COL) == F.col("class"), F.col("n")).otherwise(0))
                 .alias("predicted")))
+    # Like a classic report, only classes that occur (as truth or prediction).
+    per = per.where(F.col("support") + F.col("predicted") > 0)
     per = per.select("class", "tp", "support",
                      F.when(F.col("predicted") == 0, 0.0)
                      .otherwise(F.col("tp") / F.col("predicted")).alias("p"),

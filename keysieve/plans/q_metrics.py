@@ -38,7 +38,7 @@ prf AS (
   SELECT class, tp, support,
          CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS p,
          CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS r
-  FROM per),
+  FROM per WHERE support + predicted > 0),
 prf1 AS (
   SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM prf),
 tot AS (
