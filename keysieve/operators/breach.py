@@ -41,7 +41,7 @@ def _key(match_on: str, sentinel: bytes) -> F.Column:
     hashing each row twice instead of each distinct string once."""
     if match_on == "range":
         k = F.unhex(F.concat(F.col("prefix"), F.col("suffix")))
-    elif match_on == "suffix":  # the corpus reader of the reference lost the prefix
+    elif match_on == "suffix":  # for corpora read without their file names (prefix lost)
         k = F.unhex(F.col("suffix"))
     else:
         raise ValueError(f"match_on must be 'range' or 'suffix', not {match_on!r}")

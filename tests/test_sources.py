@@ -28,7 +28,7 @@ def test_breach_range_files(spark, tmp_path):
     (d / "00000").write_bytes(
         (good + ":10\r\n" + good.lower()[:-1] + "f:3\n" + "nocolon\n" + "x:y\n"
          + good + ":abc\n").encode())
-    (d / "curl.log").write_bytes(b"some log line\n" + (good + ":5\n").encode())
+    (d / "download.log").write_bytes(b"some log line\n" + (good + ":5\n").encode())
     rows = {(r.prefix, r.suffix, r.breach_count)
             for r in breach_src.read_breach_ranges(spark, str(d)).collect()}
     assert rows == {("00000", good, 10), ("00000", good[:-1] + "F", 3)}
