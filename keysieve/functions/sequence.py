@@ -21,17 +21,23 @@ VOCAB_SIZE = len(VOCABULARY) + 1  # ids 0..64
 
 
 def encode(password: str | Column = "password", width: int = WIDTH,
-           vocabulary: str = VOCABULARY, cased: bool = False) -> Column:
+           vocabulary: str = VOCABULARY, cased: bool = False,
+           unknown_id: int | None = None) -> Column:
     """ARRAY<INT> of length ``width``: lower-cased (unless ``cased``), cut at
     ``width`` characters, mapped through ``vocabulary``, right-padded with 0.
-    NULL encodes as all zeros."""
+    NULL encodes as all zeros. Characters outside the vocabulary map to 0
+    like padding, or to ``unknown_id`` when it is given (e.g. ``VOCAB_SIZE``)
+    so a model can tell them from padding."""
     p = F.col(password) if isinstance(password, str) else password
     s = F.coalesce(p, F.lit(""))
     if not cased:
         s = F.lower(s)
     vocab = F.lit(vocabulary)
-    return F.transform(
-        F.sequence(F.lit(1), F.lit(width)),
-        lambda i: F.when(i <= F.length(s), F.instr(vocab, F.substring(s, i, 1)))
-        .otherwise(F.lit(PAD_ID)).cast("int"),
-    )
+
+    def at(i: Column) -> Column:
+        idx = F.instr(vocab, F.substring(s, i, 1))
+        if unknown_id is not None:
+            idx = F.when(idx == 0, F.lit(unknown_id)).otherwise(idx)
+        return F.when(i <= F.length(s), idx).otherwise(F.lit(PAD_ID)).cast("int")
+
+    return F.transform(F.sequence(F.lit(1), F.lit(width)), at)

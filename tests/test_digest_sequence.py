@@ -50,3 +50,14 @@ def test_hash_bits_range(spark):
     df = spark.range(1000).select(digest.hash_bits(F.col("id"), "s").alias("b"))
     r = df.agg(F.min("b"), F.max("b")).first()
     assert 0 <= r[0] and r[1] < 2 ** 32
+
+
+def test_encoder_unknown_id_and_cased(spark):
+    df = spark.createDataFrame([("a B~",)], "password string")
+    r = df.select(sequence.encode("password", unknown_id=sequence.VOCAB_SIZE).alias("u"),
+                  sequence.encode("password", cased=True, unknown_id=99).alias("c"),
+                  sequence.encode("password").alias("d")).first()
+    # 'a'=1, ' '=unknown, 'b'=2, '~'=unknown, then padding 0
+    assert r["u"][:5] == [1, 65, 2, 65, 0]
+    assert r["c"][:5] == [1, 99, 99, 99, 0]  # upper-case B is outside the vocabulary when cased
+    assert r["d"][:5] == [1, 0, 2, 0, 0]
