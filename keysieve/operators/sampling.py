@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keysieve.functions.digest import TWO_POW_32, below_fraction, hash_bits
+from keysieve.functions.digest import below_fraction, hash_bits
 
 SALT_SAMPLE = "sample"
 SALT_SPLIT = "split"
@@ -147,10 +147,3 @@ def exact_per_class(df: DataFrame, per_class: int,
             .withColumn("_r", F.row_number().over(rank))
             .where(F.col("_r") <= F.col("_need"))
             .select(*df.columns))
-
-
-__all__ = [
-    "hash_sample", "native_sample", "limited_sample", "train_test_split", "split_ids",
-    "kfold", "class_fractions", "balanced_flags", "balanced_split",
-    "sample_by_class_union", "holdout", "exact_per_class", "TWO_POW_32",
-]
