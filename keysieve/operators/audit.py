@@ -34,12 +34,19 @@ def audit_frame(candidates: DataFrame, corpus: DataFrame, charset: str = "UTF-8"
 
 def audit_wordlist(spark: SparkSession, wordlist_path: str, corpus_path: str, out_path: str,
                    charset: str = "ISO-8859-1", keep_plaintext: bool = False,
-                   mode: str = "errorifexists") -> DataFrame:
+                   mode: str = "errorifexists", resume: bool = False) -> DataFrame:
     """Run the audit from files and write it; returns the written table.
 
     ``charset`` is the word list's encoding; the digest is taken over the
-    original bytes, so UTF-8 passwords in a latin-1 read still match."""
-    cands = wordlist.read_wordlist(spark, wordlist_path, charset=charset)
-    corpus = breach_src.read_breach_ranges(spark, corpus_path)
-    io.write_parquet(audit_frame(cands, corpus, charset, keep_plaintext), out_path, mode=mode)
+    original bytes, so UTF-8 passwords in a latin-1 read still match. With
+    ``resume=True`` a finished output (``_SUCCESS`` present) is read instead
+    of being recomputed, so a restarted job skips completed work."""
+    def build() -> DataFrame:
+        cands = wordlist.read_wordlist(spark, wordlist_path, charset=charset)
+        corpus = breach_src.read_breach_ranges(spark, corpus_path)
+        return audit_frame(cands, corpus, charset, keep_plaintext)
+
+    if resume:
+        return io.stage(spark, out_path, build)
+    io.write_parquet(build(), out_path, mode=mode)
     return io.read_parquet(spark, out_path)

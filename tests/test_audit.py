@@ -40,3 +40,17 @@ def test_csv_inferred_and_declared(spark, tmp_path):
     assert dict(declared.dtypes)["count"] == "bigint"
     assert dict(inferred.dtypes)["count"] == "int"
     assert sorted(map(tuple, declared.collect())) == [("Iceland", 3), ("Peru", 12)]
+
+
+def test_audit_resume_reuses_finished_output(spark, tmp_path):
+    wl = tmp_path / "l.txt"
+    wl.write_bytes(b"password\nabc\n")
+    corpus = tmp_path / "c"
+    corpus.mkdir()
+    (corpus / "x.txt").write_text(hashlib.sha1(b"password").hexdigest().upper() + ":5\n")
+    out = str(tmp_path / "out")
+    first = audit.audit_wordlist(spark, str(wl), str(corpus), out, keep_plaintext=True, resume=True)
+    assert first.count() == 2
+    wl.write_bytes(b"changed\n")  # a resumed run must not recompute
+    again = audit.audit_wordlist(spark, str(wl), str(corpus), out, keep_plaintext=True, resume=True)
+    assert sorted(r["password"] for r in again.collect()) == ["abc", "password"]
