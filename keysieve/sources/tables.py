@@ -26,8 +26,10 @@ from keysieve.operators import features
 
 _SCHEMAS: dict[str, object] = {}
 _SIZES: dict[str, int] = {}
-# Text tables up to this size are spread over the cores before tokenising.
+# Text tables up to this size are spread over the cores before tokenising,
+# into about one partition per SPREAD_TARGET_BYTES of input (at most one per core).
 SPREAD_MAX_BYTES = 512 * 1024 * 1024
+SPREAD_TARGET_BYTES = 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,13 +61,17 @@ def text_tokens(spark: SparkSession, sf_dir: str, name: str,
 
     Scan parallelism follows row groups, and a small table may be a single
     row group, i.e. one task doing all the tokenising. Tables of at most
-    ``SPREAD_MAX_BYTES`` are therefore spread round-robin over the cores
-    first. The extra shuffle is bounded by that size; larger tables already
-    have enough splits and are scanned as they are."""
+    ``SPREAD_MAX_BYTES`` are therefore spread round-robin first, into about
+    one partition per MB (at most one per core; tiny tables are left alone).
+    The extra shuffle is bounded by that size; larger tables already have
+    enough splits and are scanned as they are."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     text = table(spark, sf_dir, name).select("text")
-    if path_bytes(spark, path) <= SPREAD_MAX_BYTES:
-        text = text.repartition(spark.sparkContext.defaultParallelism)
+    size = path_bytes(spark, path)
+    if size <= SPREAD_MAX_BYTES:
+        parts = min(spark.sparkContext.defaultParallelism, -(-size // SPREAD_TARGET_BYTES))
+        if parts > 1:
+            text = text.repartition(parts)
     return text.select(F.explode(tokens("text")).alias(out))
 
 
