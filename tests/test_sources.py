@@ -53,3 +53,18 @@ def test_breach_full_hash_lines(spark, tmp_path):
     breach_src.write_breach_hashes(df, out)
     assert [tuple(r) for r in breach_src.read_breach_ranges(spark, out).collect()] == \
         [("ABCDE", "0" * 35, 4)]
+
+
+def test_compact_breach_sorted_within_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rows = [(f"{i:05X}", f"{(i * 7919) % 100000:035X}", i % 9 + 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "prefix string, suffix string, breach_count int")
+    out = str(tmp_path / "compact")
+    breach_src.compact_breach(df, out, buckets=4)
+    back = spark.read.parquet(out)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    per_file = back.withColumn("f", F.input_file_name()).collect()
+    by_file = {}
+    for r in per_file:
+        by_file.setdefault(r["f"], []).append((r["prefix"], r["suffix"]))
+    assert all(v == sorted(v) for v in by_file.values()) and len(by_file) <= 4
