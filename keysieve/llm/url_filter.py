@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from keysieve.llm.common import ascii_lower
 
 SALTS = 64
-END = F.lit(b"\xff")
+END = b"\xff"
 
 
 def host_of(url: Column) -> Column:
@@ -62,7 +62,7 @@ def sweep(rows: DataFrame, key: str, salt: str, intervals: DataFrame, salts: int
     marks = intervals.select(each, "prefix", "name").select(
         "__salt", "name", F.explode(F.array(
             F.struct(F.col("prefix").alias("k"), F.lit(1).alias("d")),
-            F.struct(F.concat("prefix", END).alias("k"), F.lit(-1).alias("d")))).alias("m")).select(
+            F.struct(F.concat("prefix", F.lit(END)).alias("k"), F.lit(-1).alias("d")))).alias("m")).select(
         "__salt", F.col("m.k").alias("__key"), F.col("m.d").alias("__step"), "name",
         F.lit(None).cast(rows.select(F.struct(*cols).alias("r")).schema["r"].dataType).alias("__row"))
     probes = rows.select(
