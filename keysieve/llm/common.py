@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,17 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """In local mode, lets Python workers import this package wherever the
+    program was started. On a cluster the package is shipped by the submitter
+    (``--py-files`` or an installed package)."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and "cluster" not in sc.master and not getattr(sc, "_keysieve_added", False):
+        sc.addFile(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), recursive=True)
+        sc._keysieve_added = True
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

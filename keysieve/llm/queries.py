@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keysieve.llm import chat, decontam, exact_dedup, packing, simhash, token_counts, url_filter
+from keysieve.llm import chat, decontam, exact_dedup, lm_score, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from keysieve.llm.common import table
 from keysieve.llm.registry import query
 
@@ -82,6 +82,26 @@ def op7(spark, d):
     return exact_dedup.exact_dedup(table(spark, d, "documents"))
 
 
+@query("op8_toxicity")
+def op8(spark, d):
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
+@query("op9_lm_scoring")
+def op9(spark, d):
+    return lm_score.lm_scores(table(spark, d, "documents"))
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark, d):
     return simhash.simhash_classes(table(spark, d, "documents"))
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark, d):
+    cut = suffix_dedup.suffix_dedup(table(spark, d, "documents"))
+    removed = F.aggregate("span_lengths", F.lit(0).cast("long"), lambda a, x: a + x)
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("span_starts").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))

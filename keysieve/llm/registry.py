@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keysieve.llm.common import with_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -16,7 +19,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
     def register(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = wraps(fn)(lambda spark, sf_dir: fn(with_package(spark), sf_dir))
         if oracle is not None:
             ORACLE[name] = oracle
         return fn
