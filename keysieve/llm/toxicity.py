@@ -11,8 +11,8 @@ number of marks tested, so the rule is the same at every size). A text's score
 is the noisy-or of its marks' smoothed rates, else the rate of texts without.
 
 Marks are learned from labelled documents of the training folds only, at most
-about ``SAMPLE`` of them (drawn by a hash) and one per opening, so a text with
-thousands of near-copies counts once. Label, language, source and id are never
+about ``SAMPLE`` of them (drawn by a hash), one per opening and one per least
+shingle hash, so a text with thousands of near-copies counts about once. Label, language, source and id are never
 inputs of a score.
 
 Defined results: a null or empty text has no marks and gets that base score; a
@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysieve.llm.common import id_bucket, map_batches, texts
+from keysieve.llm.decontam import SHINGLE, shingle_hashes, words
 from keysieve.operators.lineage import materialize
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
@@ -225,7 +226,7 @@ class Model:
 
 def training_ids(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``(doc_id, toxic)``: training-fold labelled documents, at most about
-    ``sample``, one per opening and label."""
+    ``sample``, one of each family of near-copies with the same label."""
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .dropna().where(id_bucket("doc_id", FOLDS) != HELD_OUT)
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -234,10 +235,14 @@ def training_ids(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
     if n > sample:
         share = int(sample / n * (1 << 20))
         lab = lab.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < share)
-    opening = texts(docs).select("doc_id", F.xxhash64(F.substring("text", 1, OPENING)).alias("o"))
     # Broadcast: at most about ``sample`` rows of an id and a flag.
-    found = opening.join(F.broadcast(lab), "doc_id")
-    return found.groupBy("o", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
+    found = texts(docs).join(F.broadcast(lab), "doc_id").select(
+        "doc_id", "toxic", F.xxhash64(F.substring("text", 1, OPENING)).alias("opening"),
+        F.array_min(shingle_hashes(words(F.col("text")), SHINGLE)).alias("least"))
+    # Near-copies share their opening or their least shingle hash.
+    one = found.groupBy("opening", "toxic").agg(F.min(F.struct("doc_id", "least")).alias("r"))
+    return (one.groupBy("toxic", "r.least").agg(F.min("r.doc_id").alias("doc_id"))
+            .select("doc_id", "toxic"))
 
 
 def count_marks(t: DataFrame, lm: np.ndarray) -> DataFrame:
