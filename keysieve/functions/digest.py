@@ -1,8 +1,8 @@
 """SHA-1 digests, range prefix/suffix split and content-hash bits.
 
-The digest is taken over the bytes of the password in a chosen charset. Lists
-read as latin-1 keep their original bytes that way (latin-1 is a bijection on
-bytes), so a UTF-8 password is hashed correctly even after a latin-1 decode.
+Word lists carry their lines' original bytes next to the decoded string, and
+the digest is taken over those. For a string alone it is taken over its bytes
+in a chosen charset.
 """
 
 from __future__ import annotations
@@ -26,6 +26,11 @@ def sha1_hex(password: str | Column = "password", charset: str = "UTF-8") -> Col
     return F.upper(F.sha1(data))
 
 
+def sha1_of_bytes(data: str | Column) -> Column:
+    """Upper-case hex SHA-1 of a BINARY column."""
+    return F.upper(F.sha1(_col(data)))
+
+
 def range_prefix(sha1: str | Column = "sha1") -> Column:
     return F.substring(_col(sha1), 1, PREFIX_LEN)
 

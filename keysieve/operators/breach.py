@@ -3,14 +3,12 @@
 Design for a corpus of ~10^9 digests and 10^7..10^9 candidates:
 
 * candidates are distinct before hashing (hot passwords collapse map-side);
-* the join key is the 20-byte binary digest, not two hex strings, which
-  halves shuffle bytes and comparison cost;
-* by default both sides are hash-partitioned on that key and sort-merge
-  joined (no broadcast decided from a file-size estimate: both inputs grow
-  with the data); SHA-1 is uniform, so there is no key skew, and AQE's skew
-  handling stays available;
-* a broadcast of the candidate side happens only behind a measured row count
-  (``strategy="broadcast"``); beyond the bound the shuffled join is used.
+* the corpus is canonical: a 20-byte binary ``digest``, unique and never null,
+  and a BIGINT count (:func:`keysieve.sources.breach.corpus`), so a match never
+  multiplies candidates; half the bytes of two hex strings are shuffled, and a
+  corpus bucketed by digest is not shuffled at all;
+* how to join is left to Catalyst and AQE, which know the sizes at run time;
+  SHA-1 is uniform, so the join key has no skew.
 """
 
 from __future__ import annotations
@@ -19,72 +17,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keysieve.functions import digest as dg
+from keysieve.operators.lineage import materialize
 
 JOIN_KEY = "_digest_key"
-# Above this many candidate rows the broadcast strategy falls back to a
-# shuffled join (a row is a 20-byte key plus a short string).
-BROADCAST_MAX_ROWS = 2_000_000
+BYTES = "password_bytes"
 
 
 def with_digest(df: DataFrame, col: str = "password", charset: str = "UTF-8") -> DataFrame:
-    """Add ``sha1`` (40 upper-case hex), ``prefix`` (5) and ``suffix`` (35)."""
-    return (df.withColumn("sha1", dg.sha1_hex(col, charset))
+    """Add ``sha1`` (40 upper-case hex), ``prefix`` (5) and ``suffix`` (35): of
+    the original bytes if the frame carries them (``password_bytes``), else of
+    the string in ``charset``."""
+    sha1 = dg.sha1_of_bytes(BYTES) if BYTES in df.columns else dg.sha1_hex(col, charset)
+    return (df.withColumn("sha1", sha1)
             .withColumns({"prefix": dg.range_prefix("sha1"),
                           "suffix": dg.range_suffix("sha1")}))
 
 
-def _key(match_on: str, sentinel: bytes) -> F.Column:
-    """Binary join key. It is made non-nullable with a sentinel that no real
-    digest can equal (the two sides use different sentinels, so they never
-    match each other). A nullable key would make Catalyst infer
-    ``isnotnull(key)`` and push it below the aggregates onto every raw row,
-    hashing each row twice instead of each distinct string once."""
-    if match_on == "range":
-        k = F.unhex(F.concat(F.col("prefix"), F.col("suffix")))
-    elif match_on == "suffix":  # for corpora read without their file names (prefix lost)
-        k = F.unhex(F.col("suffix"))
-    else:
-        raise ValueError(f"match_on must be 'range' or 'suffix', not {match_on!r}")
-    return F.coalesce(k, F.lit(bytearray(sentinel)))
+def _candidate_key(match_on: str) -> F.Column:
+    """Binary join key, made non-nullable with a value that no digest equals:
+    a nullable key would make Catalyst infer ``isnotnull(key)`` and push it
+    below the aggregates, hashing every raw row instead of each distinct one."""
+    k = F.unhex("sha1") if match_on == "range" else F.unhex("suffix")
+    return F.coalesce(k, F.lit(bytearray(b"\x00")))
 
 
-def match_breach(candidates: DataFrame, breach: DataFrame, how: str = "inner",
-                 match_on: str = "range", strategy: str = "shuffle",
+def match_breach(candidates: DataFrame, corpus: DataFrame, how: str = "inner",
+                 match_on: str = "range", strategy: str = "auto",
                  count_col: str = "breach_count", charset: str = "UTF-8",
-                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join candidates to ``breach(prefix, suffix, breach_count)``.
+                 broadcast_max_rows: int | None = None) -> DataFrame:
+    """Join candidates to ``corpus(digest, breach_count)`` (canonical).
 
     ``how``: ``inner`` (exposed only, with count), ``left`` (all candidates,
     NULL count -> 0 and an ``exposed`` flag), ``left_semi`` / ``left_anti``
-    (candidate columns only). ``strategy``: ``shuffle`` (default) sort-merge
-    joins; ``broadcast`` broadcasts the candidate side of an inner join after
-    checking its row count; ``auto`` leaves the choice to Catalyst/AQE.
+    (candidate columns only). ``match_on="suffix"`` compares the last 35 hex
+    digits, for corpora whose prefixes are lost (it cuts the digest, so a
+    bucketed corpus is shuffled). ``strategy="auto"`` leaves the choice to
+    Catalyst/AQE; ``"broadcast"`` writes the candidates once and broadcasts
+    them if they have at most ``broadcast_max_rows`` rows (which must be given);
+    with more rows the join is planned as in ``auto``, from the written table.
     """
+    if match_on not in ("range", "suffix"):
+        raise ValueError(f"match_on must be 'range' or 'suffix', not {match_on!r}")
     if "sha1" not in candidates.columns:
         candidates = with_digest(candidates, charset=charset)
-    cand = candidates.withColumn(JOIN_KEY, _key(match_on, b""))
-    corpus = breach.select(_key(match_on, b"\x00").alias(JOIN_KEY), F.col(count_col))
-
-    if strategy == "broadcast" and how == "inner":
-        # Bounded size check: the limit stops the scan once the bound is
-        # exceeded, so a huge candidate side is not counted in full.
-        if cand.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+    cand = candidates.withColumn(JOIN_KEY, _candidate_key(match_on))
+    if match_on == "range":
+        # A plain rename: the stored column stays the join key, bucketing included.
+        right = corpus.select(F.col("digest").alias(JOIN_KEY), F.col(count_col))
+    else:
+        right = (corpus.select(F.unhex(F.substring(F.hex("digest"), 6, 35)).alias(JOIN_KEY), F.col(count_col))
+                 .groupBy(JOIN_KEY).agg(F.max(count_col).alias(count_col)))
+
+    if strategy == "broadcast":
+        if broadcast_max_rows is None or how != "inner":
+            raise ValueError("a broadcast of the candidates needs an inner join and broadcast_max_rows")
+        cand = materialize(cand, "candidates")
+        if cand.count() <= broadcast_max_rows:
             cand = F.broadcast(cand)
-    elif strategy == "shuffle":
-        cand = cand.hint("merge")
-    elif strategy not in ("auto", "broadcast"):
+    elif strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
 
     if how in ("left_semi", "left_anti", "semi", "anti"):
-        return cand.join(corpus, JOIN_KEY, how).drop(JOIN_KEY)
-    out = cand.join(corpus, JOIN_KEY, how).drop(JOIN_KEY)
-    if how in ("left", "left_outer"):
+        return cand.join(right, JOIN_KEY, how).drop(JOIN_KEY)
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError(f"unsupported join type {how!r}")
+    out = cand.join(right, JOIN_KEY, how).drop(JOIN_KEY)
+    if how != "inner":
         out = out.withColumns({
             "exposed": F.col(count_col).isNotNull().cast("int"),
-            count_col: F.coalesce(F.col(count_col), F.lit(0)),
+            count_col: F.coalesce(F.col(count_col), F.lit(0).cast("bigint")),
         })
-    elif how != "inner":
-        raise ValueError(f"unsupported join type {how!r}")
     return out
 
 

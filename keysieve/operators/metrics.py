@@ -36,37 +36,39 @@ def confusion_long(pred: DataFrame, true_col: str = TRUE_COL,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def confusion_pivot(cells: DataFrame, classes: list[str] = CLASS_ORDER) -> DataFrame:
+def confusion_pivot(cells: DataFrame, classes: list[str] = CLASS_ORDER,
+                    other: bool = False) -> DataFrame:
     """Rows = true class, one BIGINT column per predicted class (0 filled).
 
     Written as conditional sums rather than ``pivot`` so no extra job is
-    fired to discover the pivot values."""
+    fired to discover the pivot values. Predictions of a class that isn't named
+    are in the column ``other``, which is there only if ``other=True``."""
     return (cells.groupBy(TRUE_COL)
             .agg(*[F.sum(F.when(F.col(PRED_COL) == c, F.col("n")).otherwise(0))
-                   .cast("bigint").alias(c) for c in classes]))
+                   .cast("bigint").alias(c) for c in classes],
+                 *[F.sum(F.when(F.col(PRED_COL).isin(classes), 0).otherwise(F.col("n")))
+                   .cast("bigint").alias("other")] * other))
 
 
-def classification_report(cells: DataFrame, classes: list[str] = CLASS_ORDER) -> DataFrame:
+def classification_report(cells: DataFrame, classes: list[str] | None = None) -> DataFrame:
     """Per-class precision/recall/F1/support plus accuracy, macro avg and
     weighted avg rows (the layout of a classic classification report).
 
     ``cells`` is ``(true_label, predicted_label, n)``; the work is a handful of
-    aggregates over at most classes^2 rows. Classes that occur neither as
-    truth nor as prediction are left out (and out of the macro average)."""
-    cls = F.array(*[F.lit(c) for c in classes])
-    grid = cells.select(TRUE_COL, PRED_COL, "n")
-    # Per class: true positives, actual (support) and predicted totals.
-    per = (grid.select(F.explode(cls).alias("class"), TRUE_COL, PRED_COL, "n")
-           .groupBy("class")
-           .agg(F.sum(F.when((F.col(TRUE_COL) == F.col("class")) &
-                             (F.col(PRED_COL) == F.col("class")), F.col("n")).otherwise(0))
-                .alias("tp"),
-                F.sum(F.when(F.col(TRUE_COL) == F.col("class"), F.col("n")).otherwise(0))
-                .alias("support"),
-                F.sum(F.when(F.col(PRED_COL) == F.col("class"), F.col("n")).otherwise(0))
-                .alias("predicted")))
-    # Like a classic report, only classes that occur (as truth or prediction).
-    per = per.where(F.col("support") + F.col("predicted") > 0)
+    aggregates over at most classes^2 rows. The report covers every class that
+    occurs as truth or prediction, a null label as the class ``null``;
+    ``classes`` adds names (a model's labels) that are listed even if they
+    don't occur. They never take a row away."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (TRUE_COL, PRED_COL)]
+    hit = F.when(F.col(TRUE_COL).eqNullSafe(F.col(PRED_COL)), F.col("n")).otherwise(0)
+    # A cell adds to its true class and to its predicted class.
+    sides = F.array(F.struct(named[0].alias("class"), hit.alias("tp"), F.col("n").alias("support"), F.lit(0).alias("predicted")),
+                    F.struct(named[1].alias("class"), F.lit(0).alias("tp"), F.lit(0).alias("support"), F.col("n").alias("predicted")))
+    sides = cells.select(F.explode(sides).alias("s")).select("s.*")
+    if classes:
+        extra = cells.agg(F.lit(0).cast("bigint").alias("z")).select(F.explode(F.array(*map(F.lit, classes))).alias("class"), "z")
+        sides = sides.unionByName(extra.select("class", *(F.col("z").alias(c) for c in ("tp", "support", "predicted"))))
+    per = sides.groupBy("class").agg(*(F.sum(c).alias(c) for c in ("tp", "support", "predicted")))
     per = per.select("class", "tp", "support",
                      F.when(F.col("predicted") == 0, 0.0)
                      .otherwise(F.col("tp") / F.col("predicted")).alias("p"),
@@ -120,10 +122,10 @@ def binary_confusion(pred: DataFrame, truth: str, prediction: str) -> DataFrame:
                         for c in ("tp", "tn", "fp", "fn")])
 
 
-def weighted_metrics(cells: DataFrame, classes: list[str] = CLASS_ORDER) -> DataFrame:
+def weighted_metrics(cells: DataFrame) -> DataFrame:
     """The four numbers of ``MulticlassClassificationEvaluator`` (accuracy,
     f1, weightedPrecision, weightedRecall) from the confusion cells."""
-    rep = classification_report(cells, classes)
+    rep = classification_report(cells)
 
     def pick(row: str, col: str) -> F.Column:
         return F.max(F.when(F.col("class") == row, F.col(col)))

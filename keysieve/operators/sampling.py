@@ -60,33 +60,42 @@ def kfold(df: DataFrame, k: int = 3, key: str = "password", salt: str = SALT_FOL
     return df.withColumn(out, (hash_bits(key, salt) % k).cast("int"))
 
 
-def class_fractions(df: DataFrame, per_class: int,
-                    label_col: str = "password_strength") -> DataFrame:
-    """``label -> least(1, n / count)``; one row per class (a tiny table)."""
-    return (df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_class_rows"))
+#: Largest share of a class that goes to training, so that every class is also tested.
+MAX_FRACTION = 0.8
+
+
+def class_fractions(df: DataFrame, per_class: int, label_col: str = "password_strength",
+                    max_fraction: float = MAX_FRACTION) -> DataFrame:
+    """``label -> least(max_fraction, n / count)``; one row per class."""
+    return (df.where(F.col(label_col).isNotNull())
+            .groupBy(label_col).agg(F.count(F.lit(1)).alias("_class_rows"))
             .select(label_col,
-                    F.least(F.lit(1.0), F.lit(float(per_class)) / F.col("_class_rows"))
+                    F.least(F.lit(float(max_fraction)), F.lit(float(per_class)) / F.col("_class_rows"))
                     .alias("_fraction")))
 
 
 def balanced_flags(df: DataFrame, per_class: int = 15000,
                    label_col: str = "password_strength", key: str = "password",
-                   salt: str = SALT_BALANCE, out: str = "in_train") -> DataFrame:
-    """Tag about ``per_class`` rows of each class as training rows.
+                   salt: str = SALT_BALANCE, out: str = "in_train",
+                   max_fraction: float = MAX_FRACTION) -> DataFrame:
+    """Tag about ``per_class`` rows of each class as training rows, but no more
+    than ``max_fraction`` of the class. Rows with a null label or key are not.
 
     The per-class fraction table has one row per class; it is broadcast (its
     size is bounded by the number of classes, not by the data)."""
-    frac = class_fractions(df, per_class, label_col)
-    return (df.join(F.broadcast(frac), label_col)
-            .withColumn(out, below_fraction(hash_bits(key, salt), F.col("_fraction")))
+    frac = class_fractions(df, per_class, label_col, max_fraction)
+    chosen = below_fraction(hash_bits(key, salt), F.col("_fraction"))
+    return (df.join(F.broadcast(frac), label_col, "left")
+            .withColumn(out, F.coalesce(chosen, F.lit(False)))
             .select(*df.columns, out))
 
 
 def balanced_split(df: DataFrame, per_class: int = 15000,
                    label_col: str = "password_strength", key: str = "password",
-                   salt: str = SALT_BALANCE) -> tuple[DataFrame, DataFrame]:
-    """(train, test): about ``per_class`` rows per class, and the rest."""
-    tagged = balanced_flags(df, per_class, label_col, key, salt, "_in_train")
+                   salt: str = SALT_BALANCE,
+                   max_fraction: float = MAX_FRACTION) -> tuple[DataFrame, DataFrame]:
+    """(train, test): about ``per_class`` rows per class, and all other rows."""
+    tagged = balanced_flags(df, per_class, label_col, key, salt, "_in_train", max_fraction)
     return (tagged.where("_in_train").drop("_in_train"),
             tagged.where(~F.col("_in_train")).drop("_in_train"))
 
@@ -94,11 +103,12 @@ def balanced_split(df: DataFrame, per_class: int = 15000,
 def sample_by_class_union(df: DataFrame, per_class: int = 15000,
                           label_col: str = "password_strength",
                           classes: list[str] | None = None, key: str = "password",
-                          salt: str = SALT_BALANCE) -> DataFrame:
+                          salt: str = SALT_BALANCE,
+                          max_fraction: float = MAX_FRACTION) -> DataFrame:
     """The per-class filter + sample + union form of balancing; returns the
     same rows as the training side of :func:`balanced_split`."""
     from keysieve.functions.charclass import CLASS_ORDER
-    frac = class_fractions(df, per_class, label_col)
+    frac = class_fractions(df, per_class, label_col, max_fraction)
     parts = []
     for c in classes or CLASS_ORDER:
         part = df.where(F.col(label_col) == c)
@@ -115,17 +125,17 @@ def holdout(full: DataFrame, train: DataFrame, key: str = "password") -> DataFra
     """Test set as ``full`` minus ``train`` by a stable key (left anti join).
 
     The key side is made distinct first (map-side combined), so a key that
-    repeats in ``train`` cannot blow up the join buffer; sort-merge join, as
-    neither side has a size bound."""
-    keys = train.select(key).distinct()
-    return full.join(keys.hint("merge"), key, "left_anti")
+    repeats in ``train`` cannot blow up the join buffer. A hot key of ``full``
+    is split by AQE's skew handling."""
+    return full.join(train.select(key).distinct(), key, "left_anti")
 
 
 def exact_per_class(df: DataFrame, per_class: int,
                     label_col: str = "password_strength", key: str = "password",
                     salt: str = SALT_BALANCE) -> DataFrame:
     """Exactly ``min(per_class, class size)`` rows per class: those with the
-    smallest ``(hash, key)``.
+    smallest ``(hash, key)``. Rows that repeat a key count once: repeated rows
+    are combined first, so no hot key meets in one task.
 
     No task sorts a whole class. A histogram of hash buckets per class (at most
     classes x 4096 rows) tells, for each class, which buckets are needed: all
@@ -134,7 +144,7 @@ def exact_per_class(df: DataFrame, per_class: int,
     one bucket, ~1/4096 of the class since the hash is uniform over distinct
     keys), and they are ranked with a window per (class, bucket).
     """
-    h = df.withColumns({"_h": hash_bits(key, salt)})
+    h = df.dropDuplicates([label_col, key]).withColumns({"_h": hash_bits(key, salt)})
     h = h.withColumn("_b", F.shiftright(F.col("_h"), HIST_SHIFT))
     hist = h.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)

@@ -69,12 +69,12 @@ labelled AS (
 bsrc AS (
   SELECT {TOKENS} AS p, 1 AS k FROM conversations
   UNION ALL SELECT {TOKENS}, 1 FROM benchmark
-  UNION ALL SELECT c.c_name, o.n::INT FROM customer c
+  UNION ALL SELECT c.c_name, o.n FROM customer c
             JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) o
             ON c.c_custkey = o.o_custkey),
 breach AS (
   SELECT substr(upper(sha1(p)), 1, 5) AS prefix, substr(upper(sha1(p)), 6, 35) AS suffix,
-         sum(k)::INT AS breach_count
+         sum(k)::BIGINT AS breach_count
   FROM bsrc WHERE p <> '' GROUP BY 1, 2),
 digested AS (
   SELECT *, upper(sha1(password)) AS sha1, substr(upper(sha1(password)), 1, 5) AS prefix,

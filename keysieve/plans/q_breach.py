@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from keysieve.config import scratch_path
 from keysieve.operators import breach as B
 from keysieve.operators import features
@@ -10,6 +12,8 @@ from keysieve.plans.registry import query
 from keysieve.sources import breach as breach_src
 from keysieve.sources import tables as T
 
+#: Candidates (a short string, a digest and two parts of it) that may be broadcast.
+BROADCAST_ROWS = 500_000
 MATCH_COLS = ["password", "freq", "sha1", "prefix", "suffix", "breach_count"]
 
 
@@ -30,9 +34,9 @@ def breach_match_inner(spark, d):
 
 @query("breach_match_broadcast", sql(f"SELECT {', '.join(MATCH_COLS)} FROM matched"))
 def breach_match_broadcast(spark, d):
-    """Candidate side broadcast only after its row count is checked."""
-    return B.match_breach(T.candidates(spark, d), T.breach(spark, d),
-                          strategy="broadcast").select(*MATCH_COLS)
+    """Candidate side written once, and broadcast only if its row count allows."""
+    return B.match_breach(T.candidates(spark, d), T.breach(spark, d), strategy="broadcast",
+                          broadcast_max_rows=BROADCAST_ROWS).select(*MATCH_COLS)
 
 
 @query("breach_match_suffix", sql("""
@@ -79,34 +83,69 @@ def frequency_band(spark, d):
 @query("breach_parse", sql("SELECT prefix, suffix, breach_count FROM breach"))
 def breach_parse(spark, d):
     """Write the corpus as ``SHA1:COUNT`` text under the checkpoint dir, then
-    parse it back (range files with the prefix in the path parse the same way;
-    see the unit tests)."""
+    parse it back."""
     path = scratch_path(spark, "breach-lines")
     breach_src.write_breach_hashes(T.breach(spark, d), path)
     return breach_src.read_breach_ranges(spark, path)
 
 
+def range_lines(spark, d):
+    """The corpus as lines of range files: named by prefix, with and without
+    extensions, in a folder that looks like a prefix, with CRLF, and with
+    benchmark texts as stray lines between them."""
+    r = T.breach_ranges(spark, d)
+    kind = F.pmod(F.col("breach_count"), F.lit(4))
+    name = (F.when(kind == 0, F.col("prefix")).when(kind == 1, F.concat("prefix", F.lit(".txt")))
+            .when(kind == 2, F.concat(F.lower("prefix"), F.lit(".txt.gz")))
+            .otherwise(F.concat(F.lit("prefix="), "prefix", F.lit("/part-00000.txt"))))
+    lines = r.select(F.concat("suffix", F.lit(":"), F.col("breach_count").cast("string"),
+                              F.when(kind == 1, "\r").otherwise("")).alias("value"),
+                     F.concat(F.lit("file:/corpus/20251/"), name).alias("path"))
+    stray = T.table(spark, d, "benchmark").select(
+        F.explode(F.array("text", F.concat("text", F.lit(":12")))).alias("value"),
+        F.lit("file:/corpus/20251/ABCDE").alias("path"))
+    return lines.unionByName(stray)
+
+
+@query("breach_ranges_parse", sql("SELECT prefix, suffix, breach_count FROM breach"))
+def breach_ranges_parse(spark, d):
+    """Range-file lines (see ``range_lines``) parsed to the canonical corpus."""
+    parsed = breach_src.parse_lines(range_lines(spark, d)).where("ok")
+    return breach_src.with_range(breach_src.corpus(parsed))
+
+
+@query("breach_duplicates_left", sql(
+    "SELECT password, freq, breach_count, exposed FROM exposure"))
+def breach_duplicates_left(spark, d):
+    """Two overlapping downloads: every line twice, once with an older count.
+    A left join still returns each candidate once."""
+    now = T.breach_ranges(spark, d)
+    old = now.withColumn("breach_count", F.col("breach_count") - 1)
+    return B.match_breach(T.candidates(spark, d), breach_src.corpus(now.unionByName(old)),
+                          how="left").select("password", "freq", "breach_count", "exposed")
+
+
 @query("breach_compact_match", sql(f"SELECT {', '.join(MATCH_COLS)} FROM matched"))
 def breach_compact_match(spark, d):
-    """Re-lay the corpus as Parquet sorted by digest within prefix buckets
-    (a one-off job), then match candidates against the compacted copy."""
+    """Re-lay the corpus as a table bucketed by digest (a one-off job), then
+    match candidates against it; the corpus side is not shuffled."""
     path = scratch_path(spark, "breach-compact")
-    breach_src.compact_breach(T.breach(spark, d), path, buckets=8)
-    return B.match_breach(T.candidates(spark, d), spark.read.parquet(path)).select(*MATCH_COLS)
+    table = breach_src.compact_breach(T.breach(spark, d), "corpus_" + path.rsplit("-", 1)[1], path, buckets=8)
+    return B.match_breach(T.candidates(spark, d), table).select(*MATCH_COLS)
 
 
-@query("breach_rejects", sql(
-    "SELECT count(*) AS lines, count(*) AS accepted, 0::BIGINT AS rejected FROM breach"))
+@query("breach_rejects", sql("""
+SELECT lines, accepted, lines - accepted AS rejected
+FROM (SELECT (SELECT count(*) FROM breach) AS accepted,
+             (SELECT count(*) FROM breach) + (SELECT 2 * count(*) FROM benchmark) AS lines)"""))
 def breach_rejects(spark, d):
-    """Line accounting of the corpus parser (all lines of a clean corpus pass)."""
-    path = scratch_path(spark, "breach-lines")
-    breach_src.write_breach_hashes(T.breach(spark, d), path)
-    return breach_src.breach_rejects(spark, path)
+    """Line accounting of the corpus parser over good and stray lines."""
+    return breach_src.count_rejects(range_lines(spark, d))
 
 
 @query("breach_corpus", sql("SELECT prefix, suffix, breach_count FROM breach"))
 def breach_corpus(spark, d):
-    return T.breach(spark, d)
+    return T.breach_ranges(spark, d)
 
 
 @query("candidates", sql("SELECT password, freq FROM candidates"))

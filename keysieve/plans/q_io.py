@@ -6,7 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keysieve.config import scratch_path
+from keysieve.functions import charclass as cc
+from keysieve.functions.text import sql_char_set
 from keysieve.operators import audit
+from keysieve.operators import breach as B
 from keysieve.operators import sampling as S
 from keysieve.plans.oracle import FLAG_LIST, SPACE, TOKENS, md5_bits, py_strip_sql, sql
 from keysieve.plans.registry import query
@@ -25,7 +28,21 @@ def wordlist_scan(spark, d):
     """Write document tokens one per line, then scan them as a word list."""
     path = scratch_path(spark, "wordlist")
     wordlist.write_wordlist(T.text_tokens(spark, d, "documents"), path)
-    return wordlist.read_wordlist(spark, path, charset="UTF-8")
+    return wordlist.read_wordlist(spark, path, charset="UTF-8").select("password")
+
+
+@query("wordlist_latin1_match", sql(f"""
+SELECT upper(sha1(tok)) AS sha1, count(*) AS freq, max(breach_count) AS breach_count
+FROM (SELECT trim(tok, {sql_char_set("".join(map(chr, (9, 10, 11, 12, 13, 32))))}) AS tok
+      FROM (SELECT {TOKENS} AS tok FROM documents)) t
+JOIN breach b ON b.prefix || b.suffix = upper(sha1(tok)) GROUP BY 1"""))
+def wordlist_latin1_match(spark, d):
+    """Document tokens (with multi-byte letters) written as a word list, read
+    as latin-1 and matched by their own bytes."""
+    path = scratch_path(spark, "wordlist")
+    wordlist.write_wordlist(T.text_tokens(spark, d, "documents"), path)
+    words = wordlist.read_wordlist(spark, path).groupBy(B.BYTES).agg(F.count(F.lit(1)).alias("freq"))
+    return B.match_breach(words, T.breach(spark, d)).select("sha1", "freq", "breach_count")
 
 
 @query("csv_roundtrip", sql("SELECT DEST_COUNTRY_NAME, count FROM flights"))
@@ -44,14 +61,12 @@ def parquet_roundtrip(spark, d):
 
 @query("stage_checkpoint", sql(f"SELECT {', '.join(LABEL_COLS)} FROM labelled"))
 def stage_checkpoint(spark, d):
-    """Build once, then reuse the finished table (second call reads it)."""
+    """Build once, then reuse the finished table: the second call's builder
+    would give no rows, so the result shows that it was not run."""
     path = scratch_path(spark, "stage")
-
-    def build():
-        return T.labelled(spark, d).select(*LABEL_COLS)
-
-    io.stage(spark, path, build)
-    return io.stage(spark, path, build)
+    lab = T.labelled(spark, d).select(*LABEL_COLS)
+    io.stage(spark, path, lambda: lab)
+    return io.stage(spark, path, lambda: lab.limit(0))
 
 
 @query("split_parts", sql(f"""
@@ -94,4 +109,4 @@ def wordlist_audit(spark, d):
     wordlist.write_wordlist(T.text_tokens(spark, d, "documents"), wl)
     breach_src.write_breach_hashes(T.breach(spark, d), corpus)
     return audit.audit_wordlist(spark, wl, corpus, scratch_path(spark, "audit-out"),
-                                charset="UTF-8", keep_plaintext=True)
+                                charset="UTF-8", keep_plaintext=True, max_length=cc.MAX_LENGTH_EXCLUSIVE)

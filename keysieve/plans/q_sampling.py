@@ -19,7 +19,7 @@ PER_CLASS = 15000
 EXACT_PER_CLASS = 1000
 
 _BAL = f"""balfrac AS (
-  SELECT password_strength, least(1.0::DOUBLE, {PER_CLASS}::DOUBLE / count(*)) AS f
+  SELECT password_strength, least({S.MAX_FRACTION}::DOUBLE, {PER_CLASS}::DOUBLE / count(*)) AS f
   FROM labelled GROUP BY 1),
 baltag AS (
   SELECT l.password, l.password_strength,
@@ -40,10 +40,20 @@ def hash_sample(spark, d):
     return S.hash_sample(T.candidates(spark, d), SAMPLE_FRACTION)
 
 
-@query("native_sample")
+@query("native_sample", sql(f"""
+SELECT count(*) AS rows, true AS near_the_mean, 0::BIGINT AS foreign_rows FROM candidates"""))
 def native_sample(spark, d):
-    """Spark's Bernoulli sample, 1 %, seed 42 (rows-only check)."""
-    return S.native_sample(T.candidates(spark, d), SAMPLE_FRACTION, seed=42)
+    """Spark's Bernoulli sample, 1 %, seed 42: its size is within six standard
+    deviations of the mean, and it has rows of the table only."""
+    cand = materialize(T.candidates(spark, d))
+    sample = materialize(S.native_sample(cand, SAMPLE_FRACTION, seed=42))
+    foreign = sample.join(cand, ["password", "freq"], "left_anti")
+    parts = (cand.select(F.lit("rows").alias("of")).unionByName(sample.select(F.lit("sampled").alias("of")))
+             .unionByName(foreign.select(F.lit("foreign").alias("of"))))
+    n, p = F.col("rows"), SAMPLE_FRACTION
+    return parts.agg(*(F.count_if(F.col("of") == c).alias(c) for c in ("rows", "sampled", "foreign"))).select(
+        "rows", (F.abs(F.col("sampled") - n * p) <= 6 * F.sqrt(n * p * (1 - p))).alias("near_the_mean"),
+        F.col("foreign").alias("foreign_rows"))
 
 
 @query("limited_sample", sql(f"""

@@ -4,7 +4,7 @@
                    customer names, market segments and part brands;
 * ``candidates`` – non-blank raw strings shorter than 20 characters, one row
                    per distinct string with its frequency;
-* ``breach``     – a breach-count corpus keyed by SHA-1 range prefix/suffix,
+* ``breach``     – a canonical breach-count corpus (binary SHA-1 digest, count),
                    built from tokens of ``conversations`` and ``benchmark``
                    plus every customer's name, counted once per order the
                    customer placed;
@@ -19,68 +19,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keysieve.functions import digest
 from keysieve.functions.text import tokens
 from keysieve.operators import features
+from keysieve.sources import breach as breach_src
 
-
-_SCHEMAS: dict[str, object] = {}
-_SIZES: dict[str, int] = {}
-# Text tables up to this size are spread over the cores before tokenising,
-# into about one partition per SPREAD_TARGET_BYTES of input (at most one per core).
-SPREAD_MAX_BYTES = 512 * 1024 * 1024
-SPREAD_TARGET_BYTES = 1024 * 1024
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one input table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one input table. The footer schema is inferred once per
-    path and then passed explicitly, so building a plan that reads the same
-    table several times fires no schema-inference job."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under ``path`` (a file-system metadata call, no job)."""
-    if path not in _SIZES:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        _SIZES[path] = int(fs.getContentSummary(p).getLength())
-    return _SIZES[path]
-
-
-def text_tokens(spark: SparkSession, sf_dir: str, name: str,
-                out: str = "password") -> DataFrame:
-    """One row per whitespace token of ``<name>.text``.
-
-    Scan parallelism follows row groups, and a small table may be a single
-    row group, i.e. one task doing all the tokenising. Tables of at most
-    ``SPREAD_MAX_BYTES`` are therefore spread round-robin first, into about
-    one partition per MB (at most one per core; tiny tables are left alone).
-    The extra shuffle is bounded by that size; larger tables already have
-    enough splits and are scanned as they are."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    text = table(spark, sf_dir, name).select("text")
-    size = path_bytes(spark, path)
-    if size <= SPREAD_MAX_BYTES:
-        parts = min(spark.sparkContext.defaultParallelism, -(-size // SPREAD_TARGET_BYTES))
-        if parts > 1:
-            text = text.repartition(parts)
-    return text.select(F.explode(tokens("text")).alias(out))
+def text_tokens(spark: SparkSession, sf_dir: str, name: str, out: str = "password") -> DataFrame:
+    """One row per whitespace token of ``<name>.text``."""
+    return table(spark, sf_dir, name).select(F.explode(tokens("text")).alias(out))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     part = table(spark, sf_dir, "part")
     return (text_tokens(spark, sf_dir, "documents")
-            .unionByName(customer.select(F.col("c_name").alias("password")))
-            .unionByName(customer.select(F.col("c_mktsegment").alias("password")))
+            .unionByName(customer.select(F.explode(F.array("c_name", "c_mktsegment")).alias("password")))
             .unionByName(part.select(F.col("p_brand").alias("password"))))
 
 
@@ -100,22 +57,26 @@ def breach_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique customer key."""
     customer = table(spark, sf_dir, "customer")
     orders = (table(spark, sf_dir, "orders").groupBy("o_custkey")
-              .agg(F.count(F.lit(1)).cast("int").alias("k")))
-    names = (customer.join(orders.hint("merge"), customer.c_custkey == orders.o_custkey)
+              .agg(F.count(F.lit(1)).alias("k")))
+    names = (customer.join(orders, customer.c_custkey == orders.o_custkey)
              .select(F.col("c_name").alias("password"), "k"))
-    return (text_tokens(spark, sf_dir, "conversations").withColumn("k", F.lit(1))
-            .unionByName(text_tokens(spark, sf_dir, "benchmark").withColumn("k", F.lit(1)))
+    return (text_tokens(spark, sf_dir, "conversations").withColumn("k", F.lit(1).cast("bigint"))
+            .unionByName(text_tokens(spark, sf_dir, "benchmark").withColumn("k", F.lit(1).cast("bigint")))
             .unionByName(names))
 
 
 def breach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Breach corpus ``prefix, suffix, breach_count`` (one row per digest)."""
-    src = breach_source(spark, sf_dir).where(F.col("password") != "")
-    sha = digest.sha1_hex("password")
-    return (src.select(digest.range_prefix(sha).alias("prefix"),
-                       digest.range_suffix(sha).alias("suffix"), "k")
-            .groupBy("prefix", "suffix")
-            .agg(F.sum("k").cast("int").alias("breach_count")))
+    """Canonical breach corpus ``digest, breach_count`` (one row per digest).
+
+    Strings are counted first, so each distinct one is hashed once."""
+    src = (breach_source(spark, sf_dir).where(F.col("password") != "")
+           .groupBy("password").agg(F.sum("k").alias("breach_count")))
+    return src.select(F.coalesce(F.unhex(F.sha1("password")), F.lit(bytearray())).alias("digest"), "breach_count")
+
+
+def breach_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as ``prefix, suffix, breach_count``."""
+    return breach_src.with_range(breach(spark, sf_dir))
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,8 +93,3 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with flags, length, score and ``password_strength``."""
     return features.label(candidates(spark, sf_dir))
-
-
-def matched(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
-    from keysieve.operators import breach as breach_ops
-    return breach_ops.match_breach(candidates(spark, sf_dir), breach(spark, sf_dir), how=how)

@@ -3,7 +3,7 @@
 import hashlib
 
 from keysieve.operators import audit
-from keysieve.sources import io
+from keysieve.sources import io, wordlist
 
 
 def test_audit_latin1_list_matches_utf8_digest(spark, tmp_path):
@@ -31,6 +31,21 @@ def test_audit_latin1_list_matches_utf8_digest(spark, tmp_path):
     assert "password" not in out2.columns and out2.count() == 3
 
 
+def test_audit_hashes_the_lines_own_bytes(spark, tmp_path):
+    # Last bytes of these letters are latin-1 white space.
+    raw = ["caff\u00e0", "\u043c\u0435\u0445", "password", "p\u00e9", "a password of more than twenty characters"]
+    (tmp_path / "l.txt").write_text("\n".join(raw) + "\n", encoding="utf-8")
+    (tmp_path / "c.txt").write_text("".join(hashlib.sha1(x.encode()).hexdigest() + ":11\n" for x in raw))
+    for charset in ("ISO-8859-1", "UTF-8"):
+        out = audit.audit_wordlist(spark, str(tmp_path / "l.txt"), str(tmp_path / "c.txt"),
+                                   str(tmp_path / charset), charset=charset)
+        assert [(r["exposed"], r["breach_count"]) for r in out.collect()] == [(1, 11)] * 5
+    lines = wordlist.read_wordlist(spark, str(tmp_path / "l.txt"))
+    assert tuple(audit.removed(lines, 20).first()) == (5, 0, 1)
+    assert tuple(audit.removed(lines).first()) == (5, 0, 0)
+    assert audit.cleaned(lines, 20).count() == 4
+
+
 def test_csv_inferred_and_declared(spark, tmp_path):
     p = str(tmp_path / "f")
     df = spark.createDataFrame([("Iceland", 3), ("Peru", 12)], "DEST_COUNTRY_NAME string, count bigint")

@@ -25,10 +25,12 @@ def test_evaluator_agrees_with_sql_report(spark, sf_dir):
 def test_join_strategies_agree(spark, sf_dir):
     cand, corpus = T.candidates(spark, sf_dir), T.breach(spark, sf_dir)
     rows = {}
-    for s in ("shuffle", "auto", "broadcast"):
-        rows[s] = sorted(map(tuple, B.match_breach(cand, corpus, strategy=s)
-                             .select("password", "breach_count").collect()))
-    assert rows["shuffle"] == rows["auto"] == rows["broadcast"] and rows["shuffle"]
+    for s, bound in (("auto", None), ("broadcast", 10**6), ("broadcast", 1)):
+        rows[s, bound] = sorted(map(tuple, B.match_breach(cand, corpus, strategy=s, broadcast_max_rows=bound)
+                                    .select("password", "breach_count").collect()))
+    assert rows["auto", None] == rows["broadcast", 10**6] == rows["broadcast", 1] != []
+    with pytest.raises(ValueError):
+        B.match_breach(cand, corpus, strategy="broadcast")
 
 
 def test_left_join_keeps_every_candidate(spark, sf_dir):
@@ -45,8 +47,8 @@ def test_left_join_keeps_every_candidate(spark, sf_dir):
 
 def test_null_password_never_matches(spark):
     cand = spark.createDataFrame([(None,), ("password",)], "password string")
-    corpus = spark.createDataFrame([("5BAA6", "1E4C9B93F3F0682250B6CF8331B7EE68FD8", 7)],
-                                   "prefix string, suffix string, breach_count int")
+    corpus = spark.createDataFrame([(bytearray.fromhex("5BAA61E4C9B93F3F0682250B6CF8331B7EE68FD8"), 7)],
+                                   "digest binary, breach_count bigint")
     got = {r["password"]: (r["breach_count"], r["exposed"])
            for r in B.match_breach(cand, corpus, how="left").collect()}
     assert got == {None: (0, 0), "password": (7, 1)}

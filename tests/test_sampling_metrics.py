@@ -29,11 +29,44 @@ def test_split_stable_under_repartition(labelled):
 
 def test_fraction_capped_for_small_class(labelled):
     fr = {r[0]: r[1] for r in S.class_fractions(labelled, 10 ** 9).collect()}
-    assert all(v == 1.0 for v in fr.values())
-    train, test = S.balanced_split(labelled, 10 ** 9)
+    assert all(v == S.MAX_FRACTION for v in fr.values())
+    train, test = S.balanced_split(labelled, 10 ** 9, max_fraction=1.0)
     assert test.count() == 0 and train.count() == labelled.count()
 
 
+def test_every_class_keeps_held_out_rows(labelled):
+    _, test = S.balanced_split(labelled, 10 ** 9)
+    assert test.select("password_strength").distinct().count() == labelled.select("password_strength").distinct().count()
+
+
+def test_null_keys_and_labels_are_held_out(spark):
+    df = spark.createDataFrame([(None, "weak"), ("a", None), ("b", "weak"), ("c", "weak")],
+                               "password string, password_strength string")
+    train, test = S.balanced_split(df, 10, max_fraction=1.0)
+    assert sorted(train.collect()) == [("b", "weak"), ("c", "weak")]
+    assert test.count() == 2
+
+
+def test_repeated_keys_count_once(spark):
+    df = spark.createDataFrame([("hot", "weak")] * 500 + [(f"p{i}", "weak") for i in range(5)],
+                               "password string, password_strength string")
+    got = S.exact_per_class(df, 6).collect()
+    assert len(got) == len(set(got)) == 6
+
+
+def test_report_covers_classes_that_are_not_listed(spark):
+    cells = spark.createDataFrame([("weak", "weak", 5), ("other", "other", 5), ("other", "weak", 4), (None, "weak", 1)],
+                                  f"{M.TRUE_COL} string, {M.PRED_COL} string, n bigint")
+    rep = {r["class"]: r for r in M.classification_report(cells).collect()}
+    assert set(rep) == {"weak", "other", "null", "accuracy", "macro avg", "weighted avg"}
+    assert rep["accuracy"]["precision"] == pytest.approx(10 / 15, abs=1e-6) and rep["accuracy"]["support"] == 15
+    assert rep["other"]["recall"] == pytest.approx(5 / 9, abs=1e-6) and rep["weak"]["precision"] == 0.5
+    listed = {r["class"] for r in M.classification_report(cells, ["weak", "absent"]).collect()}
+    assert listed == set(rep) | {"absent"}
+    pivot = {r[M.TRUE_COL]: r["other"] for r in M.confusion_pivot(cells, other=True).collect()}
+    assert pivot == {"weak": 0, "other": 5, None: 0}
+
+
 def test_exact_per_class_equals_window(labelled):
     n = 40
     got = S.exact_per_class(labelled, n)

@@ -1,6 +1,6 @@
 """Word-list scan and breach range parsing on hand-made files."""
 
-import os
+import pytest
 
 from keysieve.sources import breach as breach_src
 from keysieve.sources import wordlist
@@ -21,50 +21,75 @@ def test_wordlist_utf8(spark, tmp_path):
     assert [r[0] for r in wordlist.read_wordlist(spark, str(p), charset="UTF-8").collect()] == ["pé"]
 
 
+GOOD = "0005AD76BD555C1D6D771DE417A4B87E4B4"
+
+
+def test_wordlist_keeps_the_bytes(spark, tmp_path):
+    p = tmp_path / "b.txt"
+    raw = ["caff\u00e0".encode(), "\u043c\u0435\u0445".encode(), b"p\xe9", b"\x85x\xa0", b" \t in \x0b"]
+    p.write_bytes(b"\n".join(raw) + b"\n")
+    for charset in ("ISO-8859-1", "UTF-8"):
+        got = [bytes(r["password_bytes"]) for r in wordlist.read_wordlist(spark, str(p), charset=charset).collect()]
+        assert got == [*raw[:4], b"in"]
+    utf8 = [r["password"] for r in wordlist.read_wordlist(spark, str(p), charset="UTF-8").collect()]
+    assert utf8[:3] == ["caff\u00e0", "\u043c\u0435\u0445", "p\u00e9"]  # a stray byte is read as latin-1
+    assert tuple(wordlist.undecodable(spark, str(p)).first()) == (5, 2)
+
+
 def test_breach_range_files(spark, tmp_path):
-    d = tmp_path / "ranges"
+    d = tmp_path / "20251"  # a folder that looks like a prefix is none
     d.mkdir()
-    good = "0005AD76BD555C1D6D771DE417A4B87E4B4"
     (d / "00000").write_bytes(
-        (good + ":10\r\n" + good.lower()[:-1] + "f:3\n" + "nocolon\n" + "x:y\n"
-         + good + ":abc\n").encode())
-    (d / "download.log").write_bytes(b"some log line\n" + (good + ":5\n").encode())
+        (GOOD + ":10\r\n" + GOOD.lower()[:-1] + "f:3\n" + "nocolon\n" + "x:y\n"
+         + GOOD + ":abc\n" + GOOD[:-1] + "0:3000000000\n" + GOOD[:-1] + "1:99999999999999999999\n").encode())
+    (d / "0a1b2.txt").write_text(GOOD + ":7\n")
+    (d / "0A1B3.tar.txt").write_text(GOOD + ":8\n")
+    (d / "prefix=FFFFF").mkdir()
+    (d / "prefix=FFFFF" / "ABCDE").write_text(GOOD + ":9\n")
+    (d / "all.txt").write_text("AAAAA" + GOOD + ":5\n")
     rows = {(r.prefix, r.suffix, r.breach_count)
             for r in breach_src.read_breach_ranges(spark, str(d)).collect()}
-    assert rows == {("00000", good, 10), ("00000", good[:-1] + "F", 3)}
+    assert rows == {("00000", GOOD, 10), ("00000", GOOD[:-1] + "F", 3), ("00000", GOOD[:-1] + "0", 3000000000),
+                    ("0A1B2", GOOD, 7), ("0A1B3", GOOD, 8), ("FFFFF", GOOD, 9), ("AAAAA", GOOD, 5)}
     rej = breach_src.breach_rejects(spark, str(d)).first()
-    assert (rej.lines, rej.accepted, rej.rejected) == (7, 2, 5)
+    assert (rej.lines, rej.accepted, rej.rejected) == (11, 7, 4)
+
+
+def test_suffix_lines_without_a_prefix_stop_the_read(spark, tmp_path):
+    (tmp_path / "download.log").write_bytes(b"some log line\n" + (GOOD + ":5\n").encode())
+    with pytest.raises(Exception, match="no five-hex prefix"):
+        breach_src.read_breach_ranges(spark, str(tmp_path)).collect()
+    assert breach_src.read_breach_ranges(spark, str(tmp_path), strict=False).count() == 0
+    assert tuple(breach_src.breach_rejects(spark, str(tmp_path)).first()) == (2, 0, 2)
 
 
-def test_breach_partitioned_roundtrip(spark, tmp_path):
-    df = spark.createDataFrame(
-        [("ABCDE", "0" * 35, 4), ("ABCDE", "1" * 35, 1), ("00012", "F" * 35, 7)],
-        "prefix string, suffix string, breach_count int")
-    out = str(tmp_path / "parts")
-    breach_src.write_breach_ranges(df, out)
-    assert any(n.startswith("prefix=") for n in os.listdir(out))
-    back = breach_src.read_breach_ranges(spark, out)
-    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+def test_corpus_is_unique_with_large_counts(spark):
+    lines = spark.createDataFrame([("ABCDE", "0" * 35, 3_000_000_000), ("ABCDE", "0" * 35, 4), ("00012", "F" * 35, 7)],
+                                  "prefix string, suffix string, breach_count bigint")
+    c = breach_src.corpus(lines)
+    assert c.dtypes == [("digest", "binary"), ("breach_count", "bigint")]
+    assert sorted(map(tuple, breach_src.with_range(c).collect())) == [
+        ("00012", "F" * 35, 7), ("ABCDE", "0" * 35, 3_000_000_000)]
 
 
 def test_breach_full_hash_lines(spark, tmp_path):
-    df = spark.createDataFrame([("ABCDE", "0" * 35, 4)], "prefix string, suffix string, breach_count int")
+    df = spark.createDataFrame([(bytearray.fromhex("ABCDE" + "0" * 35), 4)], "digest binary, breach_count bigint")
     out = str(tmp_path / "full")
     breach_src.write_breach_hashes(df, out)
     assert [tuple(r) for r in breach_src.read_breach_ranges(spark, out).collect()] == \
         [("ABCDE", "0" * 35, 4)]
 
 
-def test_compact_breach_sorted_within_files(spark, tmp_path):
-    from pyspark.sql import functions as F
-    rows = [(f"{i:05X}", f"{(i * 7919) % 100000:035X}", i % 9 + 1) for i in range(300)]
-    df = spark.createDataFrame(rows, "prefix string, suffix string, breach_count int")
-    out = str(tmp_path / "compact")
-    breach_src.compact_breach(df, out, buckets=4)
-    back = spark.read.parquet(out)
-    assert sorted(map(tuple, back.collect())) == sorted(rows)
-    per_file = back.withColumn("f", F.input_file_name()).collect()
-    by_file = {}
-    for r in per_file:
-        by_file.setdefault(r["f"], []).append((r["prefix"], r["suffix"]))
-    assert all(v == sorted(v) for v in by_file.values()) and len(by_file) <= 4
+def test_compacted_corpus_is_not_shuffled(spark, tmp_path, sf_dir):
+    from keysieve.operators import breach as B
+    from keysieve.sources import tables as T
+    table = breach_src.compact_breach(T.breach(spark, sf_dir), "compacted_test", str(tmp_path / "compact"), buckets=4)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        m = B.match_breach(T.candidates(spark, sf_dir), table)
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(_digest_key") == 1 and "Bucketed: true" in plan
+        assert m.count() == B.match_breach(T.candidates(spark, sf_dir), T.breach(spark, sf_dir)).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE compacted_test")
