@@ -1,52 +1,67 @@
 """Token ids of a public byte-level BPE vocabulary, fast and exact.
 
-The vocabulary's pre-tokeniser cuts a text into words that are encoded one by
-one, so the ids of a text are those of its words. Words repeat, so each worker
-remembers the ids of the words it has met (a bounded table). Only texts of
-plain Latin characters take that way; any other is encoded whole by the
-tokenizer, so the cut never depends on another library's Unicode tables.
+The vocabulary is a ``tokenizers`` file. Where its merges are ranked by id (as
+in the public byte-level vocabularies), texts of plain Latin characters are
+encoded by ``tiktoken`` with the same vocabulary, which gives the same ids in a
+tenth of the time. Any other text goes to the tokenizer itself, so the ids
+never depend on another library's Unicode tables or special tokens.
 """
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
 import regex
 
-#: Fixed value: the vocabulary's pre-tokeniser.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Fixed value: the pre-tokeniser of byte-level vocabularies.
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN = regex.compile("[\\t\\n\\r -~À-ÖØ-öø-ſ]*")
-SPECIAL = "<|endoftext|>"
-REMEMBERED = 200_000
 
 
-class Encoder(dict):
-    """``word -> little-endian unsigned 32-bit ids``; ``ids(text)`` for texts."""
+def byte_of_sign() -> dict[str, int]:
+    """The byte that each sign of a byte-level vocabulary stands for: printable
+    bytes stand for themselves, the others follow from code point 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+class Encoder:
+    """``ids(text)``: the text's ids as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.fast = self._ranked(spec)
 
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    @staticmethod
+    def _ranked(spec: dict):
+        model, pre = spec["model"], spec["pre_tokenizer"] or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if model["type"] != "BPE" or spec["normalizer"] or any(pre.get(k) != v for k, v in plain.items()):
+            return None
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [model["vocab"].get("".join(m)) for m in pairs]
+        if ids != list(range(len(model["vocab"]) - len(ids), len(model["vocab"]))):
+            return None
+        import tiktoken
+        sign = byte_of_sign()
+        ranks = {bytes(sign[c] for c in token): i for token, i in model["vocab"].items()}
+        return tiktoken.Encoding("vocabulary", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        got = self._whole(word)
-        if len(word) <= 64:
-            self[word] = got
-        return got
+    def whole(self, text: str) -> bytes:
+        """The ids by the tokenizer itself."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        """The text's ids, four bytes each."""
-        if not text:
-            return b""
-        if SPECIAL in text or not PLAIN.fullmatch(text):
-            return self._whole(text)
-        return b"".join(map(self.__getitem__, WORDS.findall(text)))
+        if self.fast is None or not PLAIN.fullmatch(text) or any(s in text for s in self.special):
+            return self.whole(text)
+        return np.array(self.fast(text), "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
