@@ -13,12 +13,16 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+#: A query that takes longer than this is run once.
+LONG_SECONDS = 8
+
 HEADLINE = [
     "exposure_by_class",      # flagship: clean -> flags -> label -> SHA-1 -> join -> per class
     "breach_match_inner",     # SHA-1 range join
@@ -35,6 +39,8 @@ HEADLINE = [
     "seq_classifier",         # sequence model (one-hot position x char, multinomial LR)
     "split_parts",            # ten deterministic parts written as partitioned Parquet
     "cv_grid",                # 3 depths x 2 impurities x 3 folds forest grid on the balanced set
+    "rf_raw_tuned",           # the same grid on the raw class mix, best model scored, saved, reloaded
+    "rf_balanced_tuned",      # and on the balanced set
 ]
 
 
@@ -66,11 +72,15 @@ def main() -> None:
         QUERIES[warm](spark, "/root/testdata/sf0.001").write.format("noop").mode(
             "overwrite").save()
 
+    # Median of three runs; the long model fits run once.
     times: dict[str, float] = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs: list[float] = []
+        while len(runs) < 3 and not (runs and runs[0] > LONG_SECONDS):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
 
     # Input volume (untimed), for rows/s next to the published throughputs.
     from keysieve.sources import tables as T

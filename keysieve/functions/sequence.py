@@ -41,3 +41,11 @@ def encode(password: str | Column = "password", width: int = WIDTH,
         return F.when(i <= F.length(s), idx).otherwise(F.lit(PAD_ID)).cast("int")
 
     return F.transform(F.sequence(F.lit(1), F.lit(width)), at)
+
+
+def position(col: str, i: int, vocabulary: str = VOCABULARY) -> Column:
+    """Entry ``i`` of the encoding as a column of its own (stays in generated
+    code, where the array form runs element by element)."""
+    c = F.coalesce(F.col(col), F.lit(""))
+    ch = F.substring(F.lower(c), i + 1, 1)
+    return F.when(ch == "", 0).otherwise(F.instr(F.lit(vocabulary), ch)).cast("int")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from keysieve.config import scratch_path
+from keysieve.config import checkpoint_dir, scratch_path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -21,3 +21,11 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Delete everything that this library staged under the session's
+    checkpoint dir. Call it when no frame that reads a staged table is needed
+    any more; true if there was something to delete."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/keysieve")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))

@@ -8,8 +8,8 @@ report class names come from the fitted indexer, not from a hard-coded order.
 Leakage note: the label is a fixed rule over ``has_upper``, ``has_lower``,
 ``has_digits``, ``has_special_characters`` and ``length``. Trees that see those
 columns reproduce the rule, so near-perfect scores there show leakage, not
-skill. :data:`INDIRECT` models (sequence encoding, which is case-folded) must
-learn the label from evidence that does not spell it out.
+skill. Models over the sequence encoding, which is case-folded, must learn the
+label from evidence that does not spell it out.
 """
 
 from __future__ import annotations
@@ -19,28 +19,27 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    MultilayerPerceptronClassifier,
     OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysieve.functions import sequence
-from keysieve.operators.lineage import materialize
 from keysieve.operators.metrics import PRED_COL, TRUE_COL
 
-# Feature lists of the three model families.
+# Columns of the three feature vectors, in order.
 LETTER_DIGIT_FEATURES = ["is_lower", "is_upper", "is_digit", "has_digits",
                          "has_symbols", "has_spaces", "has_special_characters", "length"]
 STRENGTH_FEATURES = ["is_lower", "is_upper", "is_digit", "has_digits", "has_upper",
                      "has_lower", "has_symbols", "has_spaces", "has_special_characters",
                      "length"]
 STRENGTH_FEATURES_BAND = STRENGTH_FEATURES + ["common_or_rare_index"]
-INDIRECT = "sequence"
 
 LABEL = "label"
 FEATURES = "features"
@@ -90,19 +89,16 @@ def boosted_one_vs_rest(max_iter: int = 10, max_depth: int = 6, seed: int = 42)
 
 def fit_strength_model(train: DataFrame, estimator, feature_cols: list[str],
                        label_col: str = "password_strength",
-                       band_col: str | None = None,
-                       checkpoint: bool = True) -> PipelineModel:
+                       band_col: str | None = None) -> PipelineModel:
     """Index label (and band), assemble features, fit ``estimator``, and map
-    predictions back to class names. Returns a single PipelineModel."""
-    if checkpoint:
-        train = materialize(train)
+    predictions back to class names. Returns a single PipelineModel. ``train``
+    is read many times: pass a table."""
     lab = fit_indexer(train, [label_col], [LABEL], handle_invalid="error")
     stages = [lab]
     if band_col:
         stages.append(fit_indexer(train, [band_col], [band_col + "_index"]))
-    idx = lab
     fitted = Pipeline(stages=stages + [assembler(feature_cols), estimator]).fit(train)
-    back = IndexToString(inputCol=PREDICTION, outputCol=PRED_COL, labels=idx.labelsArray[0])
+    back = IndexToString(inputCol=PREDICTION, outputCol=PRED_COL, labels=lab.labelsArray[0])
     return PipelineModel(stages=fitted.stages + [back])
 
 
@@ -116,42 +112,45 @@ def predict(model: PipelineModel, df: DataFrame,
 def sequence_columns(df: DataFrame, col: str = "password",
                      width: int = sequence.WIDTH) -> tuple[DataFrame, list[str]]:
     """One INT column per position of the sequence encoding."""
-    enc = sequence.encode(col, width)
     names = [f"pos_{i:02d}" for i in range(width)]
-    return df.withColumns({n: enc[i] for i, n in enumerate(names)}), names
-
-
-def fit_sequence_model(train: DataFrame, col: str = "password",
-                       label_col: str = "password_strength", max_iter: int = 50,
-                       reg: float = 0.0, checkpoint: bool = True) -> PipelineModel:
-    """Multinomial logistic regression over one-hot (position, character):
-    the distributed stand-in for a small recurrent model over the same
-    encoding. Sees no plaintext features, only the case-folded sequence."""
-    if checkpoint:
-        train = materialize(train)
-    train, pos = sequence_columns(train, col)
+    return df.withColumns({n: sequence.position(col, i) for i, n in enumerate(names)}), names
+
+
+def _one_hot(pos: list[str]) -> OneHotEncoder:
+    return OneHotEncoder(inputCols=pos, outputCols=[p + "_oh" for p in pos],
+                         dropLast=False, handleInvalid="keep")
+
+
+def fit_sequence_model(train: DataFrame, pos: list[str], label_col: str = "password_strength",
+                       max_iter: int = 50, reg: float = 0.0, hidden: int | None = None,
+                       seed: int = 42) -> PipelineModel:
+    """Classifier over one-hot (position, character) columns ``pos``: the
+    distributed stand-in for a small recurrent model over the same encoding.
+    Multinomial logistic regression, or with ``hidden`` a perceptron with one
+    hidden layer of that size. Sees only the case-folded sequence."""
     idx = fit_indexer(train, [label_col], [LABEL], handle_invalid="error")
-    onehot = OneHotEncoder(inputCols=pos, outputCols=[p + "_oh" for p in pos],
-                           dropLast=False, handleInvalid="keep")
-    lr = LogisticRegression(labelCol=LABEL, featuresCol=FEATURES, family="multinomial",
-                            maxIter=max_iter, regParam=reg)
-    fitted = Pipeline(stages=[idx, onehot, assembler([p + "_oh" for p in pos]), lr]).fit(train)
+    onehot = _one_hot(pos).fit(train)
+    vectors = assembler([p + "_oh" for p in pos])
+    if hidden is None:
+        est = LogisticRegression(labelCol=LABEL, featuresCol=FEATURES, family="multinomial",
+                                 maxIter=max_iter, regParam=reg)
+    else:
+        # "keep" gives every position one place more than its categories.
+        width = sum(n + 1 for n in onehot.categorySizes)
+        est = MultilayerPerceptronClassifier(
+            labelCol=LABEL, featuresCol=FEATURES, maxIter=max_iter, seed=seed,
+            layers=[width, hidden, len(idx.labelsArray[0])])
+    fitted = Pipeline(stages=[idx, onehot, vectors, est]).fit(train)
     back = IndexToString(inputCol=PREDICTION, outputCol=PRED_COL, labels=idx.labelsArray[0])
     return PipelineModel(stages=fitted.stages + [back])
 
 
-def predict_sequence(model: PipelineModel, df: DataFrame, col: str = "password",
-                     label_col: str = "password_strength") -> DataFrame:
-    scored, _ = sequence_columns(df, col)
-    return predict(model, scored, label_col)
-
-
 def cross_validate(train: DataFrame, estimator, grid, label_col: str = LABEL,
                    fold_col: str = "fold", parallelism: int = 2,
-                   metric: str = "accuracy") -> CrossValidator:
+                   metric: str = "accuracy") -> CrossValidatorModel:
     """Grid search over deterministic folds (``fold_col`` from
-    :func:`keysieve.operators.sampling.kfold`); returns the fitted model."""
-    train = materialize(train)
+    :func:`keysieve.operators.sampling.kfold`); returns the fitted model.
+    ``train`` is read once per fit: pass a table."""
     ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol=PREDICTION,
                                            metricName=metric)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev,
@@ -164,14 +163,23 @@ def depth_impurity_grid(est, depths=(2, 4, 6), impurities=("gini", "entropy")):
             .addGrid(est.impurity, list(impurities)).build())
 
 
-def evaluator_metrics(pred: DataFrame, label_col: str = LABEL) -> dict[str, float]:
-    """Spark's evaluator numbers (accuracy, class-weighted f1/precision/recall)."""
-    out = {}
-    for m in ("accuracy", "f1", "weightedPrecision", "weightedRecall"):
-        ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol=PREDICTION,
-                                               metricName=m)
-        out[m] = ev.evaluate(pred)
-    return out
+def tune(train: DataFrame, estimator, grid, feature_cols: list[str],
+         label_col: str = "password_strength", band_col: str | None = None,
+         fold_col: str = "fold", parallelism: int = 4) -> tuple[PipelineModel, list[float]]:
+    """Grid search, then one pipeline: index, assemble, the best model, and
+    label (and band) decoded to text. Also the grid points' mean accuracies."""
+    stages = [fit_indexer(train, [label_col], [LABEL], handle_invalid="error")]
+    if band_col:
+        stages.append(fit_indexer(train, [band_col], [band_col + "_index"]))
+    stages.append(assembler(feature_cols))
+    cv = cross_validate(PipelineModel(stages=stages).transform(train), estimator, grid,
+                        fold_col=fold_col, parallelism=parallelism)
+    stages += [cv.bestModel, IndexToString(inputCol=PREDICTION, outputCol=PRED_COL,
+                                           labels=stages[0].labelsArray[0])]
+    if band_col:
+        stages.append(IndexToString(inputCol=band_col + "_index", outputCol=band_col + "_decoded",
+                                    labels=stages[1].labelsArray[0] + ["__unknown"]))
+    return PipelineModel(stages=stages), cv.avgMetrics
 
 
 def feature_importance(spark: SparkSession, importances, names: list[str]) -> DataFrame:

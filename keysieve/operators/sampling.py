@@ -77,14 +77,16 @@ def class_fractions(df: DataFrame, per_class: int, label_col: str = "password_st
 def balanced_flags(df: DataFrame, per_class: int = 15000,
                    label_col: str = "password_strength", key: str = "password",
                    salt: str = SALT_BALANCE, out: str = "in_train",
-                   max_fraction: float = MAX_FRACTION) -> DataFrame:
+                   max_fraction: float = MAX_FRACTION, bits: str | None = None) -> DataFrame:
     """Tag about ``per_class`` rows of each class as training rows, but no more
     than ``max_fraction`` of the class. Rows with a null label or key are not.
+    ``bits`` names a column that holds the key's hash bits already, for frames
+    that don't carry the key.
 
     The per-class fraction table has one row per class; it is broadcast (its
     size is bounded by the number of classes, not by the data)."""
     frac = class_fractions(df, per_class, label_col, max_fraction)
-    chosen = below_fraction(hash_bits(key, salt), F.col("_fraction"))
+    chosen = below_fraction(F.col(bits) if bits else hash_bits(key, salt), F.col("_fraction"))
     return (df.join(F.broadcast(frac), label_col, "left")
             .withColumn(out, F.coalesce(chosen, F.lit(False)))
             .select(*df.columns, out))

@@ -18,7 +18,7 @@ FOLDS = 3
 PER_CLASS = 15000
 EXACT_PER_CLASS = 1000
 
-_BAL = f"""balfrac AS (
+BALANCED_CTES = f"""balfrac AS (
   SELECT password_strength, least({S.MAX_FRACTION}::DOUBLE, {PER_CLASS}::DOUBLE / count(*)) AS f
   FROM labelled GROUP BY 1),
 baltag AS (
@@ -79,7 +79,7 @@ def kfold_assign(spark, d):
 
 
 @query("balanced_train", sql(
-    "SELECT password, password_strength FROM baltag WHERE in_train", _BAL))
+    "SELECT password, password_strength FROM baltag WHERE in_train", BALANCED_CTES))
 def balanced_train(spark, d):
     """Balancing reads its input twice (class counts, then the filter), so the
     labelled frame is checkpointed once rather than recomputed."""
@@ -88,14 +88,14 @@ def balanced_train(spark, d):
 
 
 @query("balanced_test", sql(
-    "SELECT password, password_strength FROM baltag WHERE NOT in_train", _BAL))
+    "SELECT password, password_strength FROM baltag WHERE NOT in_train", BALANCED_CTES))
 def balanced_test(spark, d):
     _, test = S.balanced_split(_labelled_once(spark, d), PER_CLASS)
     return test
 
 
 @query("union_by_class", sql(
-    "SELECT password, password_strength FROM baltag WHERE in_train", _BAL))
+    "SELECT password, password_strength FROM baltag WHERE in_train", BALANCED_CTES))
 def union_by_class(spark, d):
     """Per-class filter + sample, then union. The labelled frame feeds four
     branches (three classes and the fraction table), so it is checkpointed
@@ -104,7 +104,7 @@ def union_by_class(spark, d):
 
 
 @query("holdout_anti_join", sql(
-    "SELECT password, password_strength FROM baltag WHERE NOT in_train", _BAL))
+    "SELECT password, password_strength FROM baltag WHERE NOT in_train", BALANCED_CTES))
 def holdout_anti_join(spark, d):
     """Test set as all rows minus the training keys (the frame feeds three
     branches, so it is checkpointed once)."""
@@ -126,7 +126,7 @@ def balanced_exact(spark, d):
 
 @query("balanced_class_counts", sql("""
 SELECT password_strength, count(*) FILTER (WHERE in_train) AS train_rows,
-       count(*) FILTER (WHERE NOT in_train) AS test_rows FROM baltag GROUP BY 1""", _BAL))
+       count(*) FILTER (WHERE NOT in_train) AS test_rows FROM baltag GROUP BY 1""", BALANCED_CTES))
 def balanced_class_counts(spark, d):
     """Per class: training rows and held-out rows of the balanced split."""
     tagged = S.balanced_flags(_labelled_once(spark, d), PER_CLASS)

@@ -15,19 +15,36 @@ from pyspark.sql import functions as F
 FLIGHTS_SCHEMA = "DEST_COUNTRY_NAME STRING, count BIGINT"
 
 
-def _norm(p: str) -> str:
-    """Path part of a URI or plain path (``file:///a/b`` -> ``/a/b``)."""
-    from urllib.parse import unquote, urlparse
-    return unquote(urlparse(p).path).rstrip("/")
+def _qualified(spark: SparkSession, path: str):
+    """Path with scheme and authority, as its file system spells it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p)
+
+
+def root_paths(df: DataFrame) -> list[str]:
+    """Paths that the plan's file scans were given (not the files in them)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            paths = relation.location().rootPaths()
+            out += [paths.apply(k).toString() for k in range(paths.size())]
+    return out
 
 
 def assert_not_reading(df: DataFrame, path: str) -> None:
-    """Refuse to write over a path the plan reads (input files are listed by
-    ``inputFiles``, a metadata call that runs no job)."""
-    target = _norm(path)
-    for f in df.inputFiles():
-        if _norm(f).startswith(target + "/") or _norm(f) == target:
-            raise ValueError(f"refusing to overwrite {path}: the plan reads from it")
+    """Refuse to write over a path that the plan reads, or a folder around it
+    or in it. Only the scans' root paths are compared."""
+    spark = df.sparkSession
+    target = _qualified(spark, path).toString().rstrip("/") + "/"
+    for p in root_paths(df):
+        source = _qualified(spark, p).toString().rstrip("/") + "/"
+        if source.startswith(target) or target.startswith(source):
+            raise ValueError(f"refusing to overwrite {path}: the plan reads from {p}")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
