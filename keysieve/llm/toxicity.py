@@ -55,9 +55,6 @@ BETWEEN = {"*": ("", *"aeiou"), **{c: ("",) for c in ".-_~'`,:/\\#%&=?^"}}
 REPLACED, HIDDEN, REPEATED = math.log(0.1), math.log(0.02), math.log(0.3)
 
 WORD = regex.compile(r"[^\W\d_]+")
-#: A run of single characters set apart by blanks, dots or the like.
-SPACED = regex.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+])(?:[ \t.\-_*]+(?:[^\W_]|[@$!|+])(?![^\W_])){2,}")
-GAPS = regex.compile(r"[ \t.\-_*]+")
 EDGE = ".,;:?!\"'()[]{}<>&%#~-_=*"
 
 TRIPLE = regex.compile(r"([^\W\d_])\1\1")
@@ -66,7 +63,8 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóô
 #: 0: between words; 1..n: letters; the last: any other letter.
 N_CLASSES = len(LETTERS) + 2
 CLASS = {c: i + 1 for i, c in enumerate(LETTERS)}
-REMEMBERED = 200_000
+#: Tokens remembered by a worker; characters whose trigrams are counted at once.
+REMEMBERED, COUNTED_CHARS = 400_000, 500_000
 
 
 def _class_table() -> np.ndarray:
@@ -85,10 +83,16 @@ def count_trigrams(t: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, cls = np.zeros(n ** 3, np.int64), _class_table()
         for b in batches:
-            for text in b.column(0).to_pylist():
-                units = np.frombuffer(f"  {text.lower()}  ".encode("utf-16-le", "surrogatepass"), "<u2")
-                c = cls[units]
+            rows = b.column(0).to_pylist()
+            at = 0
+            while at < len(rows):  # many short texts at a time, apart by two blanks
+                stop, size = at, 0
+                while stop < len(rows) and (stop == at or size < COUNTED_CHARS):
+                    size, stop = size + len(rows[stop]), stop + 1
+                units = "  ".join(["", *rows[at:stop], ""]).lower().encode("utf-16-le", "surrogatepass")
+                c = cls[np.frombuffer(units, "<u2")]
                 total += np.bincount((c[:-2] * n + c[1:-1]) * n + c[2:], minlength=n ** 3)
+                at = stop
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["k", "n"])
 
@@ -157,35 +161,52 @@ def restore(token: str, lm: list, best: int = 3) -> list[str]:
     return [w for w in words if w]
 
 
-class Reader(dict):
-    """``token -> its words``, plain and restored (a bounded table)."""
+class Remembering(dict):
+    """A bounded table of what ``read(key)`` gave."""
 
-    def __init__(self, lm: np.ndarray):
+    def __init__(self, read):
         super().__init__()
+        self.read = read
+
+    def __missing__(self, key: str):
+        got = self.read(key)
+        if len(key) <= 64:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = got
+        return got
+
+
+class Reader:
+    """Words of lower-cased tokens, plain and restored."""
+
+    def __init__(self, lm: np.ndarray):
         self.lm = lm.tolist()
+        self.known = Remembering(self.read)
 
-    def disguised(self, token: str) -> list[str]:
+    def read(self, token: str) -> tuple[str, ...]:
         core = token.strip(EDGE)
+        # A letter can only stand three times where two or more letters repeat.
+        triple = len(set(core)) <= len(core) - 2 and TRIPLE.search(core)
+        if core.isalpha() and not triple:
+            return (core,)
+        plain = WORD.findall(token)
         inner = any(c in LOOKS_LIKE or c in BETWEEN for c in core)
-        if (inner or TRIPLE.search(core)) and WORD.search(core):
-            return restore(core, self.lm)
-        return []
+        return tuple({*plain, *restore(core, self.lm)}) if plain and (inner or triple) else tuple(set(plain))
 
-    def __missing__(self, token: str) -> tuple[str, ...]:
-        got = tuple({*WORD.findall(token), *self.disguised(token)})
-        if len(token) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[token] = got
-        return got
+    def spaced(self, tokens: list[str]) -> set[str]:
+        """Words restored from three or more single characters in a row. The
+        first and the last may be a word of its own ("a l o s e r")."""
+        single = np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1
+        edge = np.flatnonzero(np.diff(np.r_[False, single, False])).tolist()
+        return {w for a, b in zip(edge[::2], edge[1::2], strict=True)
+                for c, d in ((a, b), (a + 1, b), (a, b - 1), (a + 1, b - 1)) if d - c > 2
+                for w in restore("".join(tokens[c:d]), self.lm)}
 
     def words(self, text: str) -> set[str]:
-        """Distinct lower-cased words of a text, plain and restored."""
-        low = text.lower()
-        out = set().union(*map(self.__getitem__, set(low.split())))
-        for m in SPACED.finditer(low):
-            out.update(restore(GAPS.sub("", m[0]), self.lm))
-        return out
+        """Distinct words of a text."""
+        tokens = text.lower().split()
+        return self.spaced(tokens).union(*map(self.known.__getitem__, set(tokens)))
 
 
 def marks_of(word: str) -> list[str]:
@@ -201,23 +222,26 @@ class Model:
 
     def score(self, batch: pd.Series) -> pd.Series:
         if not hasattr(self, "_reader"):
-            self._reader, self._hits = Reader(self.lm), {}
-        marks, known, out = self.marks, self._hits, []
+            self._reader = Reader(self.lm)
+            self._shortest = min(map(len, self.marks), default=1)
+            self._starts = {m[:self._shortest] for m in self.marks}
+            self._known = Remembering(lambda token: self._marks(self._reader.read(token)))
+        out = []
         for text in batch:
-            found: set[str] = set()
-            for w in self._reader.words(text or ""):
-                got = known.get(w)
-                if got is None:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[w] = got = tuple(m for m in marks_of(w) if m in marks)
-                found.update(got)
+            tokens = (text or "").lower().split()
+            found = set().union(*filter(None, map(self._known.__getitem__, set(tokens))),
+                                self._marks(self._reader.spaced(tokens)))
             clean = 1.0 - self.base
             for m in sorted(found):
-                clean *= 1.0 - marks[m]
+                clean *= 1.0 - self.marks[m]
             out.append(1.0 - clean)
         return pd.Series(out, dtype="float64")
 
+    def _marks(self, words) -> tuple[str, ...]:
+        """Marks that some of the words have."""
+        k, starts, marks = self._shortest, self._starts, self.marks
+        return tuple(m for w in words if w[:k] in starts for m in marks_of(w) if m in marks)
+
     def column(self, spark, text: Column) -> Column:
         """The score of a text column."""
         shared = spark.sparkContext.broadcast(self)
@@ -236,9 +260,11 @@ def training_ids(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
         share = int(sample / n * (1 << 20))
         lab = lab.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < share)
     # Broadcast: at most about ``sample`` rows of an id and a flag.
+    # The words are a column of their own: inside the lambda they would be cut again per shingle.
     found = texts(docs).join(F.broadcast(lab), "doc_id").select(
         "doc_id", "toxic", F.xxhash64(F.substring("text", 1, OPENING)).alias("opening"),
-        F.array_min(shingle_hashes(words(F.col("text")), SHINGLE)).alias("least"))
+        words(F.col("text")).alias("w")).select(
+        "doc_id", "toxic", "opening", F.array_min(shingle_hashes(F.col("w"), SHINGLE)).alias("least"))
     # Near-copies share their opening or their least shingle hash.
     one = found.groupBy("opening", "toxic").agg(F.min(F.struct("doc_id", "least")).alias("r"))
     return (one.groupBy("toxic", "r.least").agg(F.min("r.doc_id").alias("doc_id"))
@@ -287,8 +313,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     lexicon = {r["mark"]: r["rate"] for r in told.orderBy(F.desc("gain"), "mark").limit(MAX_MARKS).collect()}
     # Rate of toxic documents among the training documents without a mark.
     model = Model(lm, lexicon, 0.0)
-    bare = train.select("toxic", model.column(docs.sparkSession, F.col("text")).alias("s")).where("s = 0").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).first()
+    # Summed, not filtered: a filter on the score would be pushed below the join, to all documents.
+    unmarked = F.col("s") == 0
+    bare = train.select("toxic", model.column(docs.sparkSession, F.col("text")).alias("s")).agg(
+        F.count_if(unmarked).alias("n"), F.sum(F.when(unmarked, F.col("toxic"))).alias("k")).first()
     return Model(lm, lexicon, ((bare["k"] or 0) + 0.5) / (bare["n"] + 1))
 
 
