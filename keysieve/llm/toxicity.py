@@ -44,7 +44,7 @@ FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 #: Labelled documents that marks are learned from; characters of an opening; the largest lexicon.
 SAMPLE, OPENING, MAX_MARKS = 40_000, 64, 100_000
 #: False marks expected in all; least rate of toxic documents among those with the mark.
-FALSE_MARKS, MIN_RATE = 0.01, 0.7
+FALSE_MARKS, MIN_RATE = 0.01, 0.9
 PREFIXES = (4, 5, 6)
 
 #: Letters that a written sign may stand for.
