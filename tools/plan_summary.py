@@ -11,6 +11,18 @@ import re
 import sys
 
 
+GUIDE = """How to read it:
+
+* **Hash shuffles.** Every candidate-based query has one hash shuffle for the candidate aggregate
+  (partial aggregate before it). Breach-based queries add the fixture corpus (strings counted, then
+  orders per customer) and one exchange per side of the breach join, unless AQE broadcasts a side.
+* **Broadcasts.** Explicit ones are of bounded tables only: per-class fractions (one row per class), the
+  exact-sampling bucket table (at most classes x 4096), `nation` (25 rows), and the candidates of
+  `breach_match_broadcast` after their row count. All others are AQE's, from measured sizes.
+* No query has a Cartesian product or Python evaluation.
+"""
+
+
 def main():
     sys.path.insert(0, ".")
     from pyspark.sql import SparkSession
@@ -28,6 +40,7 @@ def main():
     print("final adaptive plan. It counts hash and round-robin shuffles, broadcast exchanges (with their")
     print("build-side operator), join operators, and Python evaluation. Queries that stage an input or")
     print("write files show only the plan of the returned frame.\n")
+    print(GUIDE)
     print("| query | oracle | hash shuffles | round-robin | broadcasts | joins | python |")
     print("|---|---|---|---|---|---|---|")
     for name in sorted(QUERIES):
