@@ -83,8 +83,7 @@ def quantile(sums: DataFrame, q: float) -> DataFrame:
 
 def truncated_total(sums: DataFrame, limit: int) -> DataFrame:
     """Tokens left when every document is cut at ``limit`` (any number)."""
-    over = sums.where(F.col("context_limit") >= limit).agg(F.max("docs_from").alias("d"),
-                                                          F.max("tokens_from").alias("t"))
-    total = sums.agg(F.max("total_tokens").alias("total"))
-    return total.crossJoin(over).select((F.coalesce("total", F.lit(0)) - F.coalesce("t", F.lit(0))
-                                         + F.coalesce("d", F.lit(0)) * limit).alias("tokens"))
+    over = F.col("context_limit") >= limit
+    from_limit = lambda c: F.coalesce(F.max(F.when(over, F.col(c))), F.lit(0))
+    return sums.agg((F.coalesce(F.max("total_tokens"), F.lit(0)) - from_limit("tokens_from")
+                     + from_limit("docs_from") * limit).alias("tokens"))
