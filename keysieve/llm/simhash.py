@@ -15,7 +15,7 @@ with all keys of i, and its own codeword of i with all keys of j; two linked
 fingerprints meet in one of these 24-bit keys. Within a key every fingerprint
 is compared with the others, so no link is lost, but only a spanning forest of
 the key's links is emitted: a large group of near-copies gives as many rows as
-it has members, not pairs.
+it has members, not pairs. A key with very many members is split over tasks.
 
 Defined results: null is empty; a text without words has fingerprint zero and
 links like any other; rows that repeat an id are each listed; a null id never
@@ -47,6 +47,8 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 BLOCK = 1 << 16
 #: Runs up to this size are compared pair by pair; longer ones grow clusters.
 SMALL_RUN = 32
+#: Members of a key that are compared in one task; a larger key is dealt out.
+MAX_RUN = 200_000
 
 
 def fingerprint(text: str, k: int = SHINGLE, seed: int = SEED) -> int:
@@ -172,30 +174,49 @@ def links_of_runs(key: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.nd
     return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def runs(keyed: DataFrame, max_run: int) -> DataFrame:
+    """``(run, fp)``: fingerprints to be compared with each other, by key. The
+    members of a key with more than ``max_run`` are dealt to parts, and every
+    pair of parts is a run, so no task holds more than two parts of a key."""
+    # Key (26 bits) and pair of parts in one number.
+    run = lambda pair: F.shiftleft("key", 36) + pair
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_run)
+    hot = materialize(sizes.select("key", F.ceil(F.col("n") / max_run).alias("parts")), "hot-keys")
+    if hot.isEmpty():
+        return keyed.select(run(F.lit(0)).alias("run"), "fp")
+    own = F.pmod(F.xxhash64("fp"), F.col("parts"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1),
+                        lambda c: F.least(own, c) * F.col("parts") + F.greatest(own, c))
+    alone = F.array(F.lit(0).cast("long"))
+    return keyed.join(hot, "key", "left").select("key", "fp", F.explode(
+        F.when(F.col("parts").isNull(), alone).otherwise(pairs)).alias("pair")).select(
+        run(F.col("pair")).alias("run"), "fp")
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, max_run: int = MAX_RUN) -> DataFrame:
     """``(a, b)``: links that connect whatever lies within ``max_bits``."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the code's keys are complete for up to 3 differing bits")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, fp = np.empty(0, np.int64), np.empty(0, np.int64)
+        run, fp = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in _then_none(batches):
             if b is not None:
-                key = np.r_[key, b.column(0).to_numpy()]
+                run = np.r_[run, b.column(0).to_numpy()]
                 fp = np.r_[fp, b.column(1).to_numpy()]
-                if not len(key) or key[0] == key[-1]:
+                if not len(run) or run[0] == run[-1]:
                     continue
-                end = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+                end = int(np.searchsorted(run, run[-1]))  # the last run may go on in the next batch
             else:
-                end = len(key)
-            x, y = links_of_runs(key[:end], fp[:end].view(np.uint64), max_bits)
-            key, fp = key[end:], fp[end:]
+                end = len(run)
+            x, y = links_of_runs(run[:end], fp[:end].view(np.uint64), max_bits)
+            run, fp = run[end:], fp[end:]
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))],
                                              names=["a", "b"])
 
     keyed = fps.select("fp").distinct().mapInArrow(_emit_keys, "key long, fp long")
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = keyed.repartition(n, "key").sortWithinPartitions("key", "fp")
+    met = runs(keyed, max_run).repartition(n, "run").sortWithinPartitions("run", "fp")
     return met.mapInArrow(compare, "a long, b long").distinct()
 
 

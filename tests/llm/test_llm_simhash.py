@@ -71,6 +71,19 @@ def test_near_copies(documents):
     assert got == brute_classes(rows)
 
 
+def test_large_keys_are_dealt_out(spark):
+    r = random.Random(6)
+    base = [r.getrandbits(63) for _ in range(3)]
+    fps = sorted({b ^ sum(1 << i for i in r.sample(range(63), r.randint(0, 3))) for b in base for _ in range(120)})
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    want = {(x["node"], x["root"]) for x in components(S.links(df)).collect()}
+    for max_run in (1, 7, 40):
+        got = {(x["node"], x["root"]) for x in components(S.links(df, max_run=max_run)).collect()}
+        assert len({a for a, _ in got}) == len({a for a, _ in want}) == len(fps)
+        groups = lambda c: {frozenset(a for a, x in c if x == k) for _, k in c}
+        assert groups(got) == groups(want)
+
+
 def test_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = sorted((tuple(r) for r in S.simhash_classes(docs).collect()), key=str)
