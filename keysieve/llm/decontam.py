@@ -10,8 +10,9 @@ is always hit: the search loses no pair. A document's shingle hashes are probed
 against the sketches, and every candidate pair is then verified by counting the
 item's shingles, as text, in the document.
 
-Document text is never shuffled: sketches are small and broadcast, in as many
-blocks of items as keep a broadcast under ``block_shingles``.
+The search shuffles candidate pairs only: sketch entries are broadcast, in as
+many blocks as keep a broadcast small. Document text is not shuffled unless
+there are more candidates than may be broadcast.
 
 Words are runs of letters and digits, lower-cased. Defined results: an item or
 document of fewer words than a shingle is one shingle, its whole word sequence;
@@ -33,8 +34,9 @@ from keysieve.llm.common import texts
 from keysieve.operators.lineage import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Shingles of the items whose sketches are broadcast at once (some hundred bytes each).
-BLOCK_SHINGLES = 100_000
+#: Sketch entries broadcast at once (16 bytes each); candidates, and shingles of items, up to
+#: which their tables are broadcast. Beyond, they are joined by shuffles.
+BLOCK_ENTRIES, MAX_BROADCAST, BROADCAST_SHINGLES = 500_000, 500_000, 200_000
 
 
 def words(text: Column) -> Column:
@@ -75,27 +77,43 @@ def sketches(items: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -
                     F.slice("hashes", 1, most.cast("int")).alias("sketch"))
 
 
+def candidates(docs: DataFrame, entries: DataFrame, k: int, block_entries: int) -> DataFrame:
+    """Distinct ``(doc_key, item)`` pairs of ``docs(doc_key, w)`` and
+    ``entries(h, item)`` with a common hash. Entries are broadcast in blocks of
+    hash values, so that a broadcast has about ``block_entries`` rows."""
+    probes = docs.select("doc_key", F.explode(F.array_distinct(shingle_hashes(F.col("w"), k))).alias("h"))
+    n_blocks = max(1, math.ceil(entries.count() / block_entries))
+    found = (probes.join(F.broadcast(entries.where(F.pmod("h", F.lit(n_blocks)) == b)), "h").select("doc_key", "item")
+             for b in range(n_blocks))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, broadcast if it has at most ``rows`` rows; a larger one
+    is joined as the planner sees fit."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD,
-              block_shingles: int = BLOCK_SHINGLES, id_col: str = "doc_id", text_col: str = "text",
+              block_entries: int = BLOCK_ENTRIES, id_col: str = "doc_id", text_col: str = "text",
               item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Pairs ``doc_id, item_id, shared, n_shingles, containment``."""
     bench = texts(items, item_id_col, item_text_col).withColumnRenamed("doc_id", "item_id")
-    sk = materialize(sketches(bench, k, threshold), "sketches")
-    total = sk.agg(F.sum("n_shingles")).first()[0] or 0
-    n_blocks = max(1, math.ceil(total / block_shingles))
-
-    t = texts(docs, id_col, text_col).select("doc_id", words(F.col("text")).alias("w"))
-    probes = t.select("doc_id", "w", F.explode(F.array_distinct(shingle_hashes(F.col("w"), k))).alias("h"))
-
-    def search(block: int) -> DataFrame:
-        part = sk.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(n_blocks)) == block)
-        entries = part.select("item_id", "shingles", "n_shingles", F.explode("sketch").alias("h"))
-        # Few rows come through: documents that hold an entry of a sketch.
-        hits = probes.join(F.broadcast(entries), "h")
-        shared = F.size(F.array_intersect("shingles", shingle_texts(F.col("w"), k)))
-        return hits.select("doc_id", "item_id", "n_shingles", shared.alias("shared"))
-
-    found = reduce(DataFrame.unionByName, map(search, range(n_blocks)))
-    return (found.where(F.col("shared") >= F.col("n_shingles") * threshold - 1e-9).distinct()
+    # Numbered when written: the numbers are fixed from then on.
+    sk = materialize(sketches(bench, k, threshold).withColumn("item", F.monotonically_increasing_id()), "sketches")
+    # Equal keys of different documents only add candidates, which are verified.
+    keyed = texts(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc_key"))
+    split = keyed.select("doc_id", "doc_key", words(F.col("text")).alias("w"))
+    found = materialize(candidates(split, sk.select("item", F.explode("sketch").alias("h")), k, block_entries),
+                        "candidates")
+    # Only documents with a candidate are read further.
+    pairs = keyed.join(broadcast_up_to(found, MAX_BROADCAST), "doc_key").select(
+        "doc_id", "item", words(F.col("text")).alias("w"))
+    shingled = sk.select("item", "item_id", "shingles", "n_shingles")
+    few = (sk.agg(F.sum("n_shingles")).first()[0] or 0) <= BROADCAST_SHINGLES
+    pairs = pairs.join(F.broadcast(shingled) if few else shingled, "item")
+    shared = F.size(F.array_intersect("shingles", shingle_texts(F.col("w"), k)))
+    return (pairs.select("doc_id", "item_id", shared.alias("shared"), "n_shingles")
+            .where(F.col("shared") >= F.col("n_shingles") * threshold - 1e-9).distinct()
             .select("doc_id", "item_id", "shared", "n_shingles",
                     (F.col("shared") / F.col("n_shingles")).alias("containment")))

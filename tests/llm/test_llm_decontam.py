@@ -29,7 +29,7 @@ def run(spark, documents, docs, items, **kw):
     return {tuple(r)[:4] for r in D.contained(documents(docs), items, **kw).collect()}
 
 
-def test_random_passages(spark, documents):
+def test_random_passages(spark, documents, monkeypatch):
     r = random.Random(7)
     items = [(i, repeat_words(r.randint(1, 40), i, tuple(f"v{k}" for k in range(60)))) for i in range(40)]
     docs = [(i, repeat_words(r.randint(0, 80), 100 + i)) for i in range(20)]
@@ -41,7 +41,10 @@ def test_random_passages(spark, documents):
     want = brute(docs, items)
     assert len(want) > 10
     assert run(spark, documents, docs, items) == want
-    assert run(spark, documents, docs, items, block_shingles=50) == want
+    assert run(spark, documents, docs, items, block_entries=20) == want
+    monkeypatch.setattr(D, "MAX_BROADCAST", 0)
+    monkeypatch.setattr(D, "BROADCAST_SHINGLES", 0)
+    assert run(spark, documents, docs, items) == want
 
 
 def test_odd_rows(spark, documents, odd_rows):
