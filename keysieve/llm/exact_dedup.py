@@ -28,9 +28,10 @@ from keysieve.llm.common import texts
 from keysieve.operators.lineage import materialize
 
 WHITE = r"[\x20\x09-\x0D]+"
-#: A chunk has MIN to MAX code points and ends after two characters like these. Texts without
-#: any such pair are cut by length, which only lowers how many chunks near-copies share.
-MIN_CHUNK, MAX_CHUNK, BOUNDARY = 512, 4096, "[d-f][m-p]"
+#: A chunk has MIN to MAX code points and ends after three characters like these, which should be
+#: rare, so that cuts fall back into step after an edit. Texts without any such characters are cut
+#: by length, which only lowers how many chunks near-copies share.
+MIN_CHUNK, MAX_CHUNK, BOUNDARY = 512, 4096, "[d-f][m-p][e-k]"
 
 Identifier = Callable[[Column], Column]
 IDENTIFIERS: tuple[Identifier, ...] = (F.xxhash64, lambda c: F.sha2(c, 256))
