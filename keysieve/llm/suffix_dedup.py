@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +45,13 @@ from keysieve.llm.common import texts
 
 GRAM = 24
 #: Bytes of a block of documents, of a piece hashed at a time, of a shard.
-BLOCK_BYTES, PIECE_BYTES, SHARD_BYTES = 16 << 20, 1 << 20, 1 << 18
+BLOCK_BYTES, PIECE_BYTES, SHARD_BYTES = 8 << 20, 1 << 19, 1 << 18
+#: Buckets of segments per block: a merge takes some twenty numbers per byte.
+BUCKETS_PER_BLOCK = 2
 #: Blocks whose minimisers are compared by one task.
-ASKED_BLOCKS = 8
+ASKED_BLOCKS = 4
+#: Bytes of a segment's name among those of its block.
+KEY = 12
 LAST_ID = np.iinfo(np.int64).max
 U64 = np.uint64
 
@@ -99,10 +104,21 @@ def _unpack48(b: bytes) -> np.ndarray:
     return np.pad(raw, ((0, 0), (0, 2))).view("<u8").ravel()
 
 
+def _packed(*parts: bytes) -> bytes:
+    """Parts in one compressed message."""
+    return zstandard.compress(b"".join([np.array([len(p) for p in parts], np.int64).tobytes(), *parts]), 3)
+
+
+def _unpacked(message: bytes, n: int) -> list[bytes]:
+    raw = zstandard.decompress(message)
+    cuts = 8 * n + np.r_[0, np.cumsum(np.frombuffer(raw, np.int64, n))]
+    return [raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+
+
 def _block(t: pa.Table) -> tuple[list[bytes], np.ndarray]:
     """Texts and ids of a block's documents."""
     ids = t["doc_id"].fill_null(LAST_ID).to_numpy()
-    return [x.encode() for c in t["text"].chunks for x in c.to_pylist()], ids
+    return t["text"].cast(pa.binary()).to_pylist(), ids
 
 
 def _by(part: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -142,10 +158,8 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 ASKED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("grams", pa.binary()), ("shared", pa.binary())])
 TOLD = pa.schema([("block", pa.int32()), ("grams", pa.binary())])
-SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("grams", pa.binary()), ("strings", pa.binary()),
-                  ("contents", pa.binary()), ("least", pa.binary()), ("greatest", pa.binary())])
-ANSWER = pa.schema([("block", pa.int32()), ("grams", pa.binary()), ("keys", pa.binary()), ("runs", pa.binary()),
-                    ("lengths", pa.binary()), ("ids", pa.binary())])
+SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
+ANSWER = pa.schema([("block", pa.int32()), ("payload", pa.binary())])
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()),
                  ("span_starts", pa.list_(pa.int64())), ("span_lengths", pa.list_(pa.int64()))])
 
@@ -153,20 +167,15 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.bi
 def _tell(t: pa.Table) -> pa.Table:
     """To each block, those of its minimisers that two ids have."""
     grams = [_unpack48(b) for b in t["grams"].to_pylist()]
-    shared = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(g)).astype(bool)
-                             for b, g in zip(t["shared"].to_pylist(), grams, strict=True)])
-    source = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-    m = np.concatenate(grams)
-    order = np.argsort(m, kind="stable")
-    s = m[order]
-    first = np.r_[True, s[1:] != s[:-1]]
-    group = np.cumsum(first) - 1
-    starts = np.flatnonzero(first)
-    common = (np.diff(np.r_[starts, len(s)]) > 1) | np.logical_or.reduceat(shared[order], starts)
-    keep = order[common[group]]
-    blocks = t["block"].to_pylist()
-    return _rows([(blocks[i], _pack48(m[k])) for i, k in
-                  ((i, keep[source[keep] == i]) for i in range(len(blocks))) if len(k)], TOLD)
+    shared = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(g)).astype(bool)
+              for b, g in zip(t["shared"].to_pylist(), grams, strict=True)]
+    # A block has a minimiser once, so one that comes twice has two ids as well.
+    s = np.sort(np.concatenate(grams))
+    twice = s[1:][s[1:] == s[:-1]]
+    known = np.unique(np.concatenate([twice, *(g[k] for g, k in zip(grams, shared, strict=True))]))
+    told = [(block, g[known[np.minimum(np.searchsorted(known, g), len(known) - 1)] == g])
+            for block, g in zip(t["block"].to_pylist(), grams, strict=True)] if len(known) else []
+    return _rows([(block, _pack48(g)) for block, g in told if len(g)], TOLD)
 
 
 def _sender(buckets: int):
@@ -194,10 +203,11 @@ def _sender(buckets: int):
         np.maximum.at(greatest, slot, owner)
         m, n = np.empty(len(index), U64), np.empty(len(index), np.int64)
         m[slot], n[slot] = np.concatenate(grams), np.concatenate(strings)
-        contents, block = list(index), t["block"][0].as_py()
-        return _rows([(b, block, m[k].tobytes(), n[k].tobytes(), b"".join([contents[i] for i in k.tolist()]),
-                       least[k].tobytes(), greatest[k].tobytes())
-                      for b, k in _by(((m >> U64(8)) % U64(buckets)).astype(np.int64), buckets)], SENT)
+        contents, block, several = list(index), t["block"][0].as_py(), least < greatest
+        return _rows([(b, block, _packed(
+            _pack48(m[k]), n[k].astype(np.int32).tobytes(), b"".join([contents[i] for i in k.tolist()]),
+            least[k].tobytes(), np.packbits(several[k]).tobytes()))
+            for b, k in _by(((m >> U64(8)) % U64(buckets)).astype(np.int64), buckets)], SENT)
     return send
 
 
@@ -219,18 +229,26 @@ def least_ids(contents: list[bytes], strings: np.ndarray, least: np.ndarray, sha
     return out[whole]
 
 
+def _key(content: bytes) -> bytes:
+    """A segment's name in an answer to a block."""
+    return xxhash.xxh3_128_digest(content)[:KEY]
+
+
 def _solve(t: pa.Table) -> pa.Table:
-    """Answers of a bucket: per block, its segments of which an id smaller than
-    the block's greatest has a string, as runs of strings with their least id."""
-    i64 = lambda name: [np.frombuffer(b, np.int64) for b in t[name].to_pylist()]
-    grams = [np.frombuffer(b, U64) for b in t["grams"].to_pylist()]
-    strings, least, greatest = i64("strings"), i64("least"), i64("greatest")
+    """Answers of a bucket: per block, its segments of which another id than
+    the block's only one has a string, as runs of strings with their least id."""
+    grams, strings, texts_, least, shared = zip(*(_unpacked(b, 5) for b in t["payload"].to_pylist()), strict=True)
+    grams, strings = [_unpack48(b) for b in grams], [np.frombuffer(b, np.int32).astype(np.int64) for b in strings]
+    least = [np.frombuffer(b, np.int64) for b in least]
+    shared = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(n)).astype(bool)
+              for b, n in zip(shared, strings, strict=True)]
     index: dict[bytes, int] = {}
     slots, put = [], index.setdefault
-    for text, n in zip(t["contents"].to_pylist(), strings, strict=True):
+    for text, n in zip(texts_, strings, strict=True):
         ends = np.cumsum(n + LENGTH - 1)
         slots.append(np.array([put(text[a:b], len(index)) for a, b in zip(
             (ends - n - LENGTH + 1).tolist(), ends.tolist(), strict=True)], np.int64))
+    del texts_
     contents, slot = list(index), np.concatenate(slots)
     n_of, gram_of = np.empty(len(contents), np.int64), np.empty(len(contents), U64)
     n_of[slot], gram_of[slot] = np.concatenate(strings), np.concatenate(grams)
@@ -259,14 +277,14 @@ def _solve(t: pa.Table) -> pa.Table:
     lowest = np.minimum.reduceat(ids, start)
 
     rows = []
-    for block, s, most in zip(t["block"].to_pylist(), slots, greatest, strict=True):
-        s = s[lowest[s] < most]
+    for block, s, own, more in zip(t["block"].to_pylist(), slots, least, shared, strict=True):
+        s = s[(lowest[s] < own) | more]
         if len(s):
             k = n_runs[s]
             at = np.repeat(run_from[s] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-            keys = b"".join([xxhash.xxh3_128_digest(contents[i]) for i in s.tolist()])
-            rows.append((block, gram_of[s].tobytes(), keys, k.astype(np.int32).tobytes(),
-                         run_length[at].astype(np.int32).tobytes(), run_id[at].tobytes()))
+            keys = b"".join([_key(contents[i]) for i in s.tolist()])
+            rows.append((block, _packed(_pack48(gram_of[s]), keys, k.astype(np.int32).tobytes(),
+                                        run_length[at].astype(np.int32).tobytes(), run_id[at].tobytes())))
     return _rows(rows, ANSWER)
 
 
@@ -277,19 +295,18 @@ def _cut(t: pa.Table, answers: pa.Table) -> pa.Table:
     docs, ids = _block(t)
     spans: list[list[tuple[int, int]]] = [[] for _ in docs]
     if answers.num_rows:
-        joined = lambda name, kind: np.concatenate(
-            [np.frombuffer(b, kind) for b in answers[name].to_pylist()])
-        known = np.unique(joined("grams", U64))
-        k = joined("runs", np.int32).astype(np.int64)
-        lengths, owners = joined("lengths", np.int32).tolist(), joined("ids", np.int64).tolist()
-        keys = b"".join(answers["keys"].to_pylist())
-        runs = {keys[16 * i:16 * i + 16]: (a, b) for i, (a, b) in enumerate(
+        grams, keys, k, lengths, owners = (b"".join(x) for x in zip(
+            *(_unpacked(b, 5) for b in answers["payload"].to_pylist()), strict=True))
+        known = np.unique(_unpack48(grams))
+        k = np.frombuffer(k, np.int32).astype(np.int64)
+        lengths, owners = np.frombuffer(lengths, np.int32).tolist(), np.frombuffer(owners, np.int64).tolist()
+        runs = {keys[KEY * i:KEY * (i + 1)]: (a, b) for i, (a, b) in enumerate(
             zip((np.cumsum(k) - k).tolist(), np.cumsum(k).tolist(), strict=True))}
         for d, start, n, m in segments(docs):
             hit = known[np.minimum(np.searchsorted(known, m), len(known) - 1)] == m
             for i, a, b in zip(d[hit].tolist(), start[hit].tolist(), (start + n + LENGTH - 1)[hit].tolist(),
                                strict=True):
-                got = runs.get(xxhash.xxh3_128_digest(docs[i][a:b]))
+                got = runs.get(_key(docs[i][a:b]))
                 if got is not None:
                     own = ids[i]
                     for r in range(*got):
@@ -329,6 +346,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     placed = t.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     told = (placed.groupBy("block").applyInArrow(_asker(parts), _ddl(ASKED))
             .groupBy("part").applyInArrow(_tell, _ddl(TOLD)))
-    answers = (placed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_sender(blocks), _ddl(SENT))
+    answers = (placed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+                   _sender(blocks * BUCKETS_PER_BLOCK), _ddl(SENT))
                .groupBy("bucket").applyInArrow(_solve, _ddl(ANSWER)))
     return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut, _ddl(OUT))
