@@ -45,7 +45,7 @@ FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 SAMPLE, OPENING, MAX_MARKS = 40_000, 64, 100_000
 #: False marks expected in all; least rate of toxic documents among those with the mark.
 FALSE_MARKS, MIN_RATE = 0.01, 0.9
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 
 #: Letters that a written sign may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b",
