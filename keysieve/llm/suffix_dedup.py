@@ -11,15 +11,20 @@ the whole corpus:
    have equal minimisers, and neighbouring strings mostly share one, so a text
    falls into segments, each a run of strings with one minimiser.
 2. Blocks report which minimisers they have (48 bits each; an accidental match
-   only costs time). Minimisers of one document alone are done with.
+   only costs time) and about how many bytes of distinct segments. Minimisers
+   of one document alone are done with; those with over ``HOT_BYTES`` are hot.
 3. Segments with the others are sent, each content once per block with its
-   least and greatest id, to the bucket of their minimiser. A bucket merges the
-   transforms of its shards, finds for every string the least id that has it,
-   and answers the blocks.
+   least and greatest id, to the bucket of their minimiser. Segments with a hot
+   one are sent as single strings, each to the bucket of its own hash. A bucket
+   merges the transforms of its shards, finds for every string the least id that
+   has it, and answers the blocks.
 4. Blocks mark what the answers cover and cut it out.
 
-A passage in a third of all documents is one segment per block, not one per
-document. Blocks and buckets both grow in number with the text, their size is
+Inside a passage that a third of all documents have, segments are equal and sent
+once per block. At its two ends, and around a phrase shorter than ``LENGTH``,
+they reach into each document's own text and differ but share the minimiser,
+which is then hot; the strings, which are all that is compared, spread over all
+buckets. Blocks and buckets both grow in number with the text, their size is
 bounded; messages between them are one row per pair of a block and a bucket.
 
 Defined results: a null text is empty; a null id is larger than any other, and
@@ -48,6 +53,9 @@ GRAM = 24
 BLOCK_BYTES, PIECE_BYTES, SHARD_BYTES = 8 << 20, 1 << 19, 1 << 18
 #: Buckets of segments per block: a merge takes some twenty numbers per byte.
 BUCKETS_PER_BLOCK = 2
+#: Bytes of distinct segments (of a block each) from which a minimiser is hot; bytes of a usual
+#: segment at most, in which they are reported.
+HOT_BYTES, UNIT = 1 << 19, 2 * LENGTH - GRAM
 #: Blocks whose minimisers are compared by one task.
 ASKED_BLOCKS = 4
 #: Bytes of a segment's name among those of its block.
@@ -65,9 +73,10 @@ def _smallest(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:n], x[width - span:width - span + n])
 
 
-def segments(docs: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(document, start, strings, minimiser)`` arrays, some documents at a
-    time: runs of ``strings`` strings from byte ``start`` on, minimisers 48 bits."""
+def segments(docs: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(document, start, strings, minimiser, print)`` arrays, some documents
+    at a time: runs of ``strings`` strings from byte ``start`` on, minimisers 48
+    bits, prints (sums of the segment's hashes) to count distinct segments by."""
     at = 0
     while at < len(docs):
         stop, size = at, 0
@@ -89,9 +98,10 @@ def segments(docs: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
             new[1:] &= ~inside[:-1] | (low[1:] != low[:-1])
             start = np.flatnonzero(new)
             if len(start):
-                run = np.cumsum(new)[inside] - 1
-                doc = owner[start]
-                yield doc + at, start - (np.cumsum(lens) - lens)[doc], np.bincount(run), low[start]
+                n = np.bincount(np.cumsum(new)[inside] - 1)
+                doc, total = owner[start], np.r_[U64(0), np.cumsum(h)]
+                yield (doc + at, start - (np.cumsum(lens) - lens)[doc], n, low[start],
+                       total[start + n + LENGTH - GRAM] - total[start])
         at = stop
 
 
@@ -129,23 +139,28 @@ def _by(part: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield p, order[cuts[p]:cuts[p + 1]]
 
 
-def _minimisers(docs: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct minimisers of a block, and which of them two ids have."""
-    found = [(m, ids[d]) for d, _, _, m in segments(docs)]
+def _minimisers(docs: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct minimisers of a block, which of them two ids have, and the
+    bytes of their distinct segments as a power of two in quarters of UNIT."""
+    found = [(m, ids[d], n + LENGTH - 1, mark) for d, _, n, m, mark in segments(docs)]
     if not found:
-        return np.empty(0, U64), np.empty(0, bool)
-    m, d = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.argsort(m, kind="stable")
-    m, d = m[order], d[order]
-    first = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
-    return m[first], np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first)
+        return np.empty(0, U64), np.empty(0, bool), np.empty(0, np.uint8)
+    m, d, size, mark = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((mark, m))
+    m, d, size, mark = m[order], d[order], size[order], mark[order]
+    new = np.r_[True, m[1:] != m[:-1]]
+    first = np.flatnonzero(new)
+    new[1:] |= mark[1:] != mark[:-1]
+    size = np.add.reduceat(np.where(new, size, 0), first)
+    return (m[first], np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first),
+            np.ceil(4 * np.log2(np.maximum(size / UNIT, 1))).astype(np.uint8))
 
 
 def _asker(parts: int):
     def ask(t: pa.Table) -> pa.Table:
-        m, shared = _minimisers(*_block(t))
+        m, shared, size = _minimisers(*_block(t))
         block = t["block"][0].as_py()
-        rows = [(p, block, _pack48(m[k]), np.packbits(shared[k]).tobytes())
+        rows = [(p, block, _pack48(m[k]), np.packbits(shared[k]).tobytes(), size[k].tobytes())
                 for p, k in _by((m % U64(parts)).astype(np.int64), parts)]
         return _rows(rows, ASKED)
     return ask
@@ -156,26 +171,40 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
-ASKED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("grams", pa.binary()), ("shared", pa.binary())])
-TOLD = pa.schema([("block", pa.int32()), ("grams", pa.binary())])
+ASKED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("grams", pa.binary()), ("shared", pa.binary()),
+                   ("size", pa.binary())])
+TOLD = pa.schema([("block", pa.int32()), ("grams", pa.binary()), ("hot", pa.binary())])
 SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
 ANSWER = pa.schema([("block", pa.int32()), ("payload", pa.binary())])
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()),
                  ("span_starts", pa.list_(pa.int64())), ("span_lengths", pa.list_(pa.int64()))])
 
 
-def _tell(t: pa.Table) -> pa.Table:
-    """To each block, those of its minimisers that two ids have."""
-    grams = [_unpack48(b) for b in t["grams"].to_pylist()]
-    shared = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(g)).astype(bool)
-              for b, g in zip(t["shared"].to_pylist(), grams, strict=True)]
-    # A block has a minimiser once, so one that comes twice has two ids as well.
-    s = np.sort(np.concatenate(grams))
-    twice = s[1:][s[1:] == s[:-1]]
-    known = np.unique(np.concatenate([twice, *(g[k] for g, k in zip(grams, shared, strict=True))]))
-    told = [(block, g[known[np.minimum(np.searchsorted(known, g), len(known) - 1)] == g])
-            for block, g in zip(t["block"].to_pylist(), grams, strict=True)] if len(known) else []
-    return _rows([(block, _pack48(g)) for block, g in told if len(g)], TOLD)
+def _teller(hot_bytes: int):
+    def tell(t: pa.Table) -> pa.Table:
+        """To each block, those of its minimisers that two ids have, and which are hot."""
+        grams = [_unpack48(b) for b in t["grams"].to_pylist()]
+        shared = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(g)).astype(bool)
+                  for b, g in zip(t["shared"].to_pylist(), grams, strict=True)]
+        size = np.concatenate([np.frombuffer(b, np.uint8) for b in t["size"].to_pylist()])
+        s = np.concatenate(grams)
+        order = np.argsort(s, kind="stable")
+        s = s[order]
+        first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+        total = np.add.reduceat(UNIT * 2.0 ** (size[order] / 4), first)
+        # A block has a minimiser once, so one that comes twice has two ids as well.
+        twice = np.diff(np.r_[first, len(s)]) > 1
+        known = s[first]
+        twice |= np.isin(known, np.concatenate([g[k] for g, k in zip(grams, shared, strict=True)]))
+        known, hot = known[twice], total[twice] > hot_bytes
+        rows = []
+        for block, g in zip(t["block"].to_pylist(), grams, strict=True) if len(known) else ():
+            at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+            hit = known[at] == g
+            if hit.any():
+                rows.append((block, _pack48(g[hit]), np.packbits(hot[at[hit]]).tobytes()))
+        return _rows(rows, TOLD)
+    return tell
 
 
 def _sender(buckets: int):
@@ -184,18 +213,30 @@ def _sender(buckets: int):
         if not t.num_rows or not told.num_rows:
             return _rows([], SENT)
         docs, ids = _block(t)
-        known = np.sort(np.concatenate([_unpack48(b) for b in told["grams"].to_pylist()]))
+        known = [_unpack48(b) for b in told["grams"].to_pylist()]
+        hot = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(g)).astype(bool)
+                              for b, g in zip(told["hot"].to_pylist(), known, strict=True)])
+        known = np.concatenate(known)
+        order = np.argsort(known)
+        known, hot = known[order], hot[order]
         index: dict[bytes, int] = {}
-        grams, strings, who = [], [], []
-        for d, start, n, m in segments(docs):
+        grams, strings, who, apart = [], [], [], []
+        for d, start, n, m, _ in segments(docs):
             at = np.minimum(np.searchsorted(known, m), len(known) - 1)
             hit = known[at] == m
-            d, start, n = d[hit], start[hit], n[hit]
+            d, start, n, m, single = d[hit], start[hit], n[hit], m[hit], hot[at[hit]]
+            if single.any():  # each string of a hot segment by itself
+                times = np.where(single, n, 1)
+                first = np.repeat(np.cumsum(times) - times, times)
+                start = np.repeat(start, times) + np.arange(len(first)) - first
+                n = np.repeat(np.where(single, 1, n), times)
+                d, m, single = (np.repeat(x, times) for x in (d, m, single))
             put = index.setdefault
             slot = np.array([put(docs[i][a:b], len(index)) for i, a, b in zip(
                 d.tolist(), start.tolist(), (start + n + LENGTH - 1).tolist(), strict=True)], np.int64)
-            grams.append(m[hit])
+            grams.append(m)
             strings.append(n)
+            apart.append(single)
             who.append((slot, ids[d]))
         slot, owner = (np.concatenate(x) for x in zip(*who, strict=True))
         least, greatest = np.full(len(index), LAST_ID), np.full(len(index), np.iinfo(np.int64).min)
@@ -204,10 +245,13 @@ def _sender(buckets: int):
         m, n = np.empty(len(index), U64), np.empty(len(index), np.int64)
         m[slot], n[slot] = np.concatenate(grams), np.concatenate(strings)
         contents, block, several = list(index), t["block"][0].as_py(), least < greatest
+        route = m.copy()
+        for i in np.unique(slot[np.concatenate(apart)]).tolist():
+            route[i] = xxhash.xxh3_64_intdigest(contents[i])
         return _rows([(b, block, _packed(
             _pack48(m[k]), n[k].astype(np.int32).tobytes(), b"".join([contents[i] for i in k.tolist()]),
             least[k].tobytes(), np.packbits(several[k]).tobytes()))
-            for b, k in _by(((m >> U64(8)) % U64(buckets)).astype(np.int64), buckets)], SENT)
+            for b, k in _by(((route >> U64(8)) % U64(buckets)).astype(np.int64), buckets)], SENT)
     return send
 
 
@@ -255,11 +299,12 @@ def _solve(t: pa.Table) -> pa.Table:
     least_of = np.full(len(contents), LAST_ID)
     np.minimum.at(least_of, slot, np.concatenate(least))
 
-    # Strings of a segment that is alone with its minimiser occur in no other segment.
+    # Strings of a segment that is alone with its minimiser occur in no other segment, nor do those
+    # of segments that are one string each (contents are distinct).
     order = np.argsort(gram_of, kind="stable")
-    g = gram_of[order]
-    same = np.r_[False, g[1:] == g[:-1]]
-    several = order[same | np.r_[same[1:], False]]
+    first = np.flatnonzero(np.r_[True, np.diff(gram_of[order]) != 0])
+    members = np.diff(np.r_[first, len(order)])
+    several = order[np.repeat((members > 1) & (np.maximum.reduceat(n_of[order], first) > 1), members)]
     ids = np.repeat(least_of, n_of)
     start = np.cumsum(n_of) - n_of
     if len(several):
@@ -297,22 +342,30 @@ def _cut(t: pa.Table, answers: pa.Table) -> pa.Table:
     if answers.num_rows:
         grams, keys, k, lengths, owners = (b"".join(x) for x in zip(
             *(_unpacked(b, 5) for b in answers["payload"].to_pylist()), strict=True))
-        known = np.unique(_unpack48(grams))
+        grams = _unpack48(grams)
+        known = np.unique(grams)
         k = np.frombuffer(k, np.int32).astype(np.int64)
+        single = np.frombuffer(lengths, np.int32)[np.cumsum(k) - k] == 1
+        single = np.isin(known, grams[single & (k == 1)])  # may have been sent as single strings
         lengths, owners = np.frombuffer(lengths, np.int32).tolist(), np.frombuffer(owners, np.int64).tolist()
         runs = {keys[KEY * i:KEY * (i + 1)]: (a, b) for i, (a, b) in enumerate(
             zip((np.cumsum(k) - k).tolist(), np.cumsum(k).tolist(), strict=True))}
-        for d, start, n, m in segments(docs):
-            hit = known[np.minimum(np.searchsorted(known, m), len(known) - 1)] == m
-            for i, a, b in zip(d[hit].tolist(), start[hit].tolist(), (start + n + LENGTH - 1)[hit].tolist(),
-                               strict=True):
-                got = runs.get(_key(docs[i][a:b]))
+        for d, start, n, m, _ in segments(docs):
+            at = np.minimum(np.searchsorted(known, m), len(known) - 1)
+            hit = known[at] == m
+            for i, a, b, apart in zip(d[hit].tolist(), start[hit].tolist(), (start + n + LENGTH - 1)[hit].tolist(),
+                                      single[at[hit]].tolist(), strict=True):
+                got, own = runs.get(_key(docs[i][a:b])), ids[i]
                 if got is not None:
-                    own = ids[i]
                     for r in range(*got):
                         if owners[r] < own:
                             spans[i].append((a, a + lengths[r] + LENGTH - 1))
                         a += lengths[r]
+                elif apart:
+                    for c in range(a, b - LENGTH + 1):
+                        got = runs.get(_key(docs[i][c:c + LENGTH]))
+                        if got is not None and owners[got[0]] < own:
+                            spans[i].append((c, c + LENGTH))
     rows = []
     for i, doc in enumerate(docs):
         out: list[list[int]] = []
@@ -335,7 +388,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Per row: ``doc_id, n_bytes, kept`` (the remaining bytes), ``span_starts,
     span_lengths`` (the maximal removed runs, in bytes)."""
     t = texts(docs, id_col, text_col)
@@ -345,7 +398,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # By id and text, so that rows without an id are spread too.
     placed = t.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     told = (placed.groupBy("block").applyInArrow(_asker(parts), _ddl(ASKED))
-            .groupBy("part").applyInArrow(_tell, _ddl(TOLD)))
+            .groupBy("part").applyInArrow(_teller(hot_bytes), _ddl(TOLD)))
     answers = (placed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
                    _sender(blocks * BUCKETS_PER_BLOCK), _ddl(SENT))
                .groupBy("bucket").applyInArrow(_solve, _ddl(ANSWER)))

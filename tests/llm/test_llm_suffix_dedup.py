@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from llm_helpers import repeat_words
 
@@ -85,3 +87,32 @@ def test_merge_sorts_all_suffixes():
         assert got == sorted(got) and sorted(position) == list(range(bounds[-1]))
         for a, b, c in zip(got, got[1:], common[1:]):
             assert c == next((q for q in range(5) if a[10 * q:10 * q + 10] != b[10 * q:10 * q + 10]), 5)
+
+
+PHRASE = "Licensed under the Apache License, Version 2.0."
+
+
+def around(n, seed=1):
+    """Documents of their own that share a phrase of 47 bytes; some repeat an earlier one's surroundings."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(40))
+    pairs = [(word(), word()) for _ in range(n)]
+    return [(i, f"{a} {PHRASE} {b}" if i % 7 else f"{pairs[i // 2][0]} {PHRASE} {b}") for i, (a, b) in enumerate(pairs)]
+
+
+def test_frequent_phrase_is_dealt_to_all_buckets():
+    rows, buckets, most = around(3000), 16, {}
+    blocks = [pa.table({"block": pa.array([k] * len(part), pa.int32()), "doc_id": [d for d, _ in part],
+                        "text": [t for _, t in part]}) for k in range(3) if (part := rows[k::3])]
+    told = S._teller(20_000)(pa.concat_tables([S._asker(1)(b) for b in blocks]))
+    for b in blocks:
+        k = b["block"][0].as_py()
+        for r in S._sender(buckets)(b, told.filter(pa.compute.equal(told["block"], k))).to_pylist():
+            most[r["bucket"]] = most.get(r["bucket"], 0) + len(S._unpacked(r["payload"], 5)[2])
+    assert len(most) == buckets and max(most.values()) < 1.5 * sum(most.values()) / buckets
+
+
+@pytest.mark.parametrize("hot_bytes", [0, 300, 5000])
+def test_hot_minimisers_lose_no_link(documents, hot_bytes):
+    rows = around(150) + [(None, "= " * 70 + PHRASE), (500, "= " * 90), (3, "= " * 60 + "x"), (501, "= " * 33 + PHRASE)]
+    assert run(documents(rows), block_bytes=4000, hot_bytes=hot_bytes) == brute(rows)
