@@ -2,9 +2,10 @@
 
 ``STAGES`` lists (name, function); a function takes ``(spark, docs, sf_dir)``
 and returns a DataFrame that is written and read again as the next one's docs.
-All but the last keep the columns of ``documents``. Rows that repeat an id stay
-or go together; rows without an id are never told apart by exact or near
-deduplication and all stay there.
+All but the last keep the columns of ``documents``. Toxicity, near deduplication
+and decontamination decide per row, whatever its id. Exact deduplication decides
+per id: rows that repeat an id stay or go together there, and rows without an id
+stay; near deduplication then leaves one row of each class of such copies too.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from keysieve.operators.lineage import materialize
 
 #: SQL can express neither the toxicity model nor the fingerprints: tested against brute force.
 ORACLE_SQL = None
+#: Column of a row's number inside a stage.
+ROW = "__row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,17 +37,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each class of linked fingerprints."""
-    out = simhash.simhash_classes(docs).where(F.col("doc_id").isNotNull())
-    gone = (out.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"))
-            .where(~F.col("kept")))
-    return keep_ids(docs, gone, "left_anti")
+    """One row, that of the smallest id (null last), of each class of linked fingerprints."""
+    # Numbered when written: the numbers are fixed from then on.
+    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    classes = simhash.simhash_classes(rows, id_col=ROW).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    members = materialize(classes.join(ids, "row"), "members")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    # Written, so that both sides of the join are plain shuffles, whose hot partitions Spark splits.
+    kept = materialize(members.groupBy("component_id").agg(first["row"].alias("kept"), F.count(F.lit(1)).alias("n"))
+                       .where("n > 1"), "kept")
+    gone = members.join(kept, "component_id").where("row <> kept").select(F.col("row").alias("doc_id"))
+    return keep_ids(rows, gone, "left_anti", ROW).drop(ROW)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    hits = decontam.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id")
-    return keep_ids(docs, hits, "left_anti")
+    """Documents that hold no benchmark item; equal texts hold the same."""
+    hits = decontam.contained(docs, table(spark, sf_dir, "benchmark"), digest=True).select("text_sha256").distinct()
+    return docs.join(hits, decontam.text_digest(F.col("text")) == hits["text_sha256"], "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,10 @@ def candidates(docs: DataFrame, entries: DataFrame, k: int, block_entries: int)
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def text_digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
+
+
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     """A written table, broadcast if it has at most ``rows`` rows; a larger one
     is joined as the planner sees fit."""
@@ -96,8 +100,9 @@ def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
 
 def contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD,
               block_entries: int = BLOCK_ENTRIES, id_col: str = "doc_id", text_col: str = "text",
-              item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Pairs ``doc_id, item_id, shared, n_shingles, containment``."""
+              item_id_col: str = "item_id", item_text_col: str = "text", digest: bool = False) -> DataFrame:
+    """Pairs ``doc_id, item_id, shared, n_shingles, containment``; with
+    ``digest`` also ``text_sha256``, which tells rows of one id apart."""
     bench = texts(items, item_id_col, item_text_col).withColumnRenamed("doc_id", "item_id")
     # Numbered when written: the numbers are fixed from then on.
     sk = materialize(sketches(bench, k, threshold).withColumn("item", F.monotonically_increasing_id()), "sketches")
@@ -106,14 +111,16 @@ def contained(docs: DataFrame, items: DataFrame, k: int = SHINGLE, threshold: fl
     split = keyed.select("doc_id", "doc_key", words(F.col("text")).alias("w"))
     found = materialize(candidates(split, sk.select("item", F.explode("sketch").alias("h")), k, block_entries),
                         "candidates")
+    own = [text_digest(F.col("text")).alias("text_sha256")] if digest else []
     # Only documents with a candidate are read further.
     pairs = keyed.join(broadcast_up_to(found, MAX_BROADCAST), "doc_key").select(
-        "doc_id", "item", words(F.col("text")).alias("w"))
+        "doc_id", *own, "item", words(F.col("text")).alias("w"))
     shingled = sk.select("item", "item_id", "shingles", "n_shingles")
     few = (sk.agg(F.sum("n_shingles")).first()[0] or 0) <= BROADCAST_SHINGLES
     pairs = pairs.join(F.broadcast(shingled) if few else shingled, "item")
     shared = F.size(F.array_intersect("shingles", shingle_texts(F.col("w"), k)))
-    return (pairs.select("doc_id", "item_id", shared.alias("shared"), "n_shingles")
+    named = ["text_sha256"] if digest else []
+    return (pairs.select("doc_id", "item_id", shared.alias("shared"), "n_shingles", *named)
             .where(F.col("shared") >= F.col("n_shingles") * threshold - 1e-9).distinct()
             .select("doc_id", "item_id", "shared", "n_shingles",
-                    (F.col("shared") / F.col("n_shingles")).alias("containment")))
+                    (F.col("shared") / F.col("n_shingles")).alias("containment"), *named))

@@ -49,6 +49,20 @@ def test_stages_keep_columns_and_odd_rows(spark, sf_dir, documents, odd_rows):
     assert sum(none for none, _ in kept) == 2
 
 
+def test_decontamination_decides_per_row(spark, sf_dir, documents):
+    item = next(r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r["text"].split()) > 9)
+    rows = [(None, f"before {item} after"), (None, "a clean text of no id"), (4, item), (4, "another clean text"), (5, None)]
+    got = rows_of(corpus_pipeline.drop_contaminated(spark, documents(rows), sf_dir))
+    assert sorted(got, key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
+def test_near_copies_decide_per_row(spark, sf_dir, documents):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(200)) for w in "abc")
+    rows = [(None, a), (None, a), (9, a), (None, b), (None, b + " "), (7, c), (7, c), (7, b[:300]), (8, c)]
+    got = rows_of(corpus_pipeline.drop_near_copies(spark, documents(rows), sf_dir))
+    assert sorted((str(d), t.strip()) for d, t in got) == sorted([("9", a), ("None", b), ("7", c), ("7", b[:300])])
+
+
 def test_registered():
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
