@@ -3,7 +3,10 @@
 Disguised words (look-alike digits and signs, letters set apart, letters
 repeated) are read as a noisy channel: every written character could stand for
 some letters, which gives a lattice, and a Viterbi search under a character
-trigram model finds the likeliest words. The trigram model is counted over all
+trigram model finds the likeliest words. Signs at a token's ends are read both
+as marks and as letters, tokens of signs alone as letters unless they are a
+number, and letters set apart as one word or several. A ``*`` hides a vowel or
+nothing, so words masked beyond that (``sh**``) are not found. The trigram model is counted over all
 documents. Restored words join the plain ones, and the text is scored by the
 marks it holds: words and word beginnings that labelled toxic documents hold
 significantly more often than clean ones (a binomial test corrected for the
@@ -56,6 +59,12 @@ REPLACED, HIDDEN, REPEATED = math.log(0.1), math.log(0.02), math.log(0.3)
 
 WORD = regex.compile(r"[^\W\d_]+")
 EDGE = ".,;:?!\"'()[]{}<>&%#~-_=*"
+#: Without the signs that may stand for a letter.
+PLAIN_EDGE = "".join(c for c in EDGE if c not in LOOKS_LIKE and c != "*")
+#: Numbers, prices, times and the like are not read as letters.
+NUMBER = regex.compile(r"[-+$€(\[#~<>=.'\"]*\d+(?:[-.,:/()+x*']+\d+)*[-+%$€)\].,;:!?*'\"]*")
+#: Letters of a word set apart, where others follow; single characters in a row, some of them wider apart.
+LONGEST, SPACED, GAP = 16, regex.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)"), regex.compile(r"\s{2,}")
 
 TRIPLE = regex.compile(r"([^\W\d_])\1\1")
 
@@ -132,18 +141,22 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(token: str, lm: list, best: int = 3) -> list[str]:
+def restore(token: str, lm: list, best: int = 3, several: bool = False) -> list[str]:
     """The likeliest words behind a token, by Viterbi search over the lattice;
-    the state is the last two character classes, ``lm[a][b][c]`` a log-probability."""
+    the state is the last two character classes, ``lm[a][b][c]`` a log-probability.
+    With ``several``, a word may end after any place."""
     other = N_CLASSES - 1
     states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-    for options in lattice(token):
+    places = lattice(token)
+    if several:
+        places = [x for place in places for x in (place, [("", 0.0), (" ", 0.0)])][:-1]
+    for options in places:
         new: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a0, b0), (score, path) in states.items():
             for letters, cost in options:
                 a, b, s = a0, b0, score + cost
                 for c in letters:
-                    k = CLASS.get(c, other)
+                    k = 0 if c == " " else CLASS.get(c, other)
                     s += lm[a][b][k]
                     a, b = b, k
                 if (a, b) not in new or new[a, b][0] < s:
@@ -157,8 +170,8 @@ def restore(token: str, lm: list, best: int = 3) -> list[str]:
         while path:
             path, letters = path
             parts.append(letters)
-        words.append("".join(reversed(parts)))
-    return [w for w in words if w]
+        words.extend("".join(reversed(parts)).split())
+    return words
 
 
 class Remembering(dict):
@@ -185,28 +198,51 @@ class Reader:
         self.known = Remembering(self.read)
 
     def read(self, token: str) -> tuple[str, ...]:
-        core = token.strip(EDGE)
+        core, wide = token.strip(EDGE), token.strip(PLAIN_EDGE)
         # A letter can only stand three times where two or more letters repeat.
         triple = len(set(core)) <= len(core) - 2 and TRIPLE.search(core)
-        if core.isalpha() and not triple:
+        if core.isalpha() and not triple and wide == core:
             return (core,)
         plain = WORD.findall(token)
-        inner = any(c in LOOKS_LIKE or c in BETWEEN for c in core)
-        return tuple({*plain, *restore(core, self.lm)}) if plain and (inner or triple) else tuple(set(plain))
-
-    def spaced(self, tokens: list[str]) -> set[str]:
+        if not plain:  # signs and digits alone may spell a word of three letters or more
+            signs = sum(c in LOOKS_LIKE for c in wide) > 2 and len(set(wide)) > 1 and not NUMBER.fullmatch(token)
+            return tuple({*restore(wide, self.lm), *restore(core, self.lm)}) if signs else ()
+        found = {*plain}
+        if triple or any(c in LOOKS_LIKE or c in BETWEEN for c in core):
+            found.update(restore(core, self.lm))
+        if wide != core:  # signs at the ends may be letters as well as marks
+            for x in {wide, wide.rstrip(EDGE), wide.lstrip(EDGE)} - {core}:
+                found.update(restore(x, self.lm))
+        return tuple(found)
+
+    def spaced(self, tokens: list[str], text: str) -> set[str]:
         """Words restored from three or more single characters in a row. The
-        first and the last may be a word of its own ("a l o s e r")."""
+        first and the last may be a word of its own ("a l o s e r"). Words end
+        where the gap is wider than one, where the search finds it likeliest, and
+        at any place up to ``LONGEST`` from an end ("y o u i d i o t")."""
         single = np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1
         edge = np.flatnonzero(np.diff(np.r_[False, single, False])).tolist()
-        return {w for a, b in zip(edge[::2], edge[1::2], strict=True)
-                for c, d in ((a, b), (a + 1, b), (a, b - 1), (a + 1, b - 1)) if d - c > 2
-                for w in restore("".join(tokens[c:d]), self.lm)}
+        runs = [(a, b) for a, b in zip(edge[::2], edge[1::2], strict=True) if b - a > 2]
+        found = {w for a, b in runs
+                 for c, d in ((a, b), (a + 1, b), (a, b - 1), (a + 1, b - 1)) if d - c > 2
+                 for w in restore("".join(tokens[c:d]), self.lm)}
+        for a, b in runs:
+            run = "".join(tokens[a:b])
+            if any(map(str.isalpha, run)):
+                found.update(restore(run, self.lm, several=True))
+                for k in range(3, min(LONGEST, len(run) - 1) + 1):
+                    found.update(restore(run[:k], self.lm) + restore(run[-k:], self.lm))
+        if runs:
+            for run in SPACED.findall(text):
+                for part in GAP.split(run) if GAP.search(run) else ():
+                    found.update(restore("".join(part.split()), self.lm))
+        return found
 
     def words(self, text: str) -> set[str]:
         """Distinct words of a text."""
-        tokens = text.lower().split()
-        return self.spaced(tokens).union(*map(self.known.__getitem__, set(tokens)))
+        text = text.lower()
+        tokens = text.split()
+        return self.spaced(tokens, text).union(*map(self.known.__getitem__, set(tokens)))
 
 
 def marks_of(word: str) -> list[str]:
@@ -228,9 +264,10 @@ class Model:
             self._known = Remembering(lambda token: self._marks(self._reader.read(token)))
         out = []
         for text in batch:
-            tokens = (text or "").lower().split()
+            text = (text or "").lower()
+            tokens = text.split()
             found = set().union(*filter(None, map(self._known.__getitem__, set(tokens))),
-                                self._marks(self._reader.spaced(tokens)))
+                                self._marks(self._reader.spaced(tokens, text)))
             clean = 1.0 - self.base
             for m in sorted(found):
                 clean *= 1.0 - self.marks[m]

@@ -33,6 +33,18 @@ def test_disguised_words_are_restored(model):
     assert (model.score(pd.Series(texts)) > T.THRESHOLD).all()
 
 
+def test_words_of_signs_alone_at_the_ends_and_set_apart(model):
+    r = T.Reader(model.lm)
+    for written, word in (("@$$", "ass"), ("@55", "ass"), ("!diot", "idiot"), ("(unt,", "cunt"), ("\"!d!0t!\"", "idiot"),
+                          ("evi!", "evil"), ("y o u i d i o t", "idiot"), ("m o r o n   i d i o t", "moron"),
+                          ("m o r o n   i d i o t", "idiot")):
+        assert word in r.words(written), written
+    for number in ("455", "$455", "(455)", "4,550.55", "+1-455", "10:45!", "$$$$", "!!!"):
+        assert not r.words(number), number
+    texts = ["oh !diot", "y o u i d i o t", "m o r o n   y o u"]
+    assert (model.score(pd.Series(texts)) > T.THRESHOLD).all()
+
+
 def test_no_text_gets_the_base_score(model):
     s = model.score(pd.Series(["", None, "the of and", "555-7280", "4348649190265535", "a" * 200_000, "☃😀"]))
     assert (s == s[0]).all() and 0 <= s[0] < T.THRESHOLD
