@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keysieve.llm import chat, decontam, exact_dedup, lm_score, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from keysieve.llm import (chat, decontam, exact_dedup, fingerprints, lm_score, packing, simhash, spelling, suffix_dedup,
+                          token_counts, toxicity, url_filter, vector_codes)
 from keysieve.llm.common import table
 from keysieve.llm.registry import query
 
@@ -105,3 +106,68 @@ def op6(spark, d):
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"),
                       F.size("span_starts").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_spelling_variants", r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+bytes AS (SELECT w, flatten(list_transform(string_split(id || ':' || w, ''), lambda c: CASE WHEN ord(c) < 128
+  THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END)) AS b FROM runs),
+crc AS (SELECT w, xor(list_reduce([4294967295] || b, lambda c, x: list_reduce([xor(c, x), 0, 0],
+  lambda y, k: xor(y >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+    3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(y & 15) + 1]))),
+  4294967295) AS h FROM bytes),
+noisy AS (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word FROM crc),
+v AS (SELECT word, count(*) AS n FROM noisy WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+cut AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM v, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT cut.word, cut.n, v.word, v.n FROM cut JOIN v ON rest = v.word
+  UNION SELECT v.word, v.n, cut.word, cut.n FROM cut JOIN v ON rest = v.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS top, max(other_n) AS top_n FROM near GROUP BY word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 10 * n THEN top END AS form,
+  CASE WHEN top_n >= 10 * n THEN top_n END AS form_n FROM v LEFT JOIN best USING (word)),
+way(word, root, further) AS (SELECT word, word, form FROM f
+  UNION ALL SELECT way.word, f.word, f.form FROM way JOIN f ON way.further = f.word)
+SELECT word, n, n_near, form, form_n, root FROM f JOIN (SELECT word, root FROM way WHERE further IS NULL) USING (word)""")
+def op11(spark, d):
+    return spelling.spelling_variants(table(spark, d, "documents"), noise=spelling.NOISE)
+
+
+@query("op12_document_fingerprints")
+def op12(spark, d):
+    return fingerprints.edited_fingerprints(table(spark, d, "documents"))
+
+
+def _nearest(books: str, pick: str) -> str:
+    """Aggregate ``pick`` over (squared distance, entry) of each part in ``p`` to the entries of ``books``."""
+    distance = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"SELECT p.p, r, any_value(x) AS x, {pick.format(f'({distance}, e)')} FROM p JOIN {books} b ON p.p = b.p GROUP BY p.p, r"
+
+
+def _moved(assigned: str, books: str) -> str:
+    """Entries of ``books`` at the floor of their parts' means."""
+    return f"""SELECT p, e, coalesce(m.c, b.c) AS c FROM {books} b LEFT JOIN (
+  SELECT p, e, list(y ORDER BY i) AS c FROM (
+    SELECT p, e, i, (sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*) AS y
+    FROM {assigned}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY p, e, i) GROUP BY p, e) m USING (p, e)"""
+
+
+@query("op13_vector_codes", f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v,
+    row_number() OVER () AS r FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, vec_id, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x FROM k, range(16) t(p)),
+c0 AS (SELECT p, e, x AS c FROM p JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM k) USING (r)
+  WHERE e < 64),
+a0 AS ({_nearest("c0", "arg_min(e, {}) AS e")}),
+c1 AS ({_moved("a0", "c0")}),
+a1 AS ({_nearest("c1", "arg_min(e, {}) AS e")}),
+c2 AS ({_moved("a1", "c1")}),
+a2 AS ({_nearest("c2", "min({}) AS best")}),
+o AS (SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256
+FROM o JOIN k USING (r)""")
+def op13(spark, d):
+    return vector_codes.vector_codes(table(spark, d, "embeddings"))
