@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from keysieve.config import checkpoint_dir, scratch_path
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under the session's checkpoint dir and
     return a scan of it.
 
@@ -16,10 +16,11 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     re-running the pipeline, and a lost executor recomputes from that table.
     (An eager ``checkpoint()`` of an unpersisted frame computes it twice:
     once for its count and once more to write the checkpoint files; the
-    table write computes it once and stores it compressed and columnar.)"""
+    table write computes it once and stores it compressed and columnar, by the
+    session's codec if none is named.)"""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.parquet(path)
 
 
