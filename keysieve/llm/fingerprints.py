@@ -137,9 +137,13 @@ def sums(block: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([e for e, _ in parts]), np.concatenate([c for _, c in parts])
 
 
-def to_hex(exact: np.ndarray, counts: np.ndarray) -> list[str]:
+def to_bytes(exact: np.ndarray, counts: np.ndarray) -> list[bytes]:
     lanes = np.mod(counts, 1 << 32).astype(">u4")
-    return [a.tobytes().hex() + b.tobytes().hex() for a, b in zip(exact.astype(">u8"), lanes, strict=True)]
+    return [a.tobytes() + b.tobytes() for a, b in zip(exact.astype(">u8"), lanes, strict=True)]
+
+
+def to_hex(exact: np.ndarray, counts: np.ndarray) -> list[str]:
+    return [b.hex() for b in to_bytes(exact, counts)]
 
 
 def from_hex(fingerprints: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,11 +203,13 @@ def change(prints: DataFrame, changes: DataFrame) -> DataFrame:
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
+#: The same with fingerprints as bytes, which are half as long.
+COMPACT = RESULT.replace("fingerprint string", "fingerprint binary")
 INSIDE, FIRST, LAST = 0, 1, 2
 
 
 def edited_rows(doc: list, text: list[str], following: list[str]) -> list[list]:
-    """Columns of ``RESULT``: each text, its edit (the last half replaced by the
+    """Columns of ``COMPACT``: each text, its edit (the last half replaced by the
     start of ``following``) and both fingerprints. The edit's fingerprint is the
     text's, less the paragraphs from the cut on, plus those of the edit."""
     n = [len(t) for t in text]
@@ -222,7 +228,7 @@ def edited_rows(doc: list, text: list[str], following: list[str]) -> list[list]:
         raise ValueError("rows must follow each other")
     after = tuple(np.concatenate([x[1:], y]) for x, y in zip(own, ahead, strict=True))
     sha = [hashlib.sha256(e.encode()).hexdigest() for e in edits]
-    return [doc, n, sha, to_hex(*own), to_hex(*edit), likeness(own, edit).tolist(), likeness(own, after).tolist()]
+    return [doc, n, sha, to_bytes(*own), to_bytes(*edit), likeness(own, edit).tolist(), likeness(own, after).tolist()]
 
 
 def _batch(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:
@@ -246,8 +252,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = [F.desc_nulls_last("doc_id"), F.asc("h"), F.asc("k")]
     rows = (t.withColumns({"h": F.xxhash64("text"), "k": F.monotonically_increasing_id()})
             .repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "text"))
-    walk_ddl = f"{RESULT}, edge int, part int, text string"
-    walk_schema, result_schema = (to_arrow_schema(StructType.fromDDL(s)) for s in (walk_ddl, RESULT))
+    walk_ddl = f"{COMPACT}, edge int, part int, text string"
+    walk_schema, row_schema = (to_arrow_schema(StructType.fromDDL(s)) for s in (walk_ddl, COMPACT))
 
     def edge(kind: int, doc, text: str) -> pa.RecordBatch:
         return _batch(walk_schema, [[doc], *([None] for _ in range(6)), [kind], [TaskContext.get().partitionId()], [text]])
@@ -269,7 +275,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if doc:
             yield edge(LAST, doc[0], text[0])
 
-    walked = materialize(rows.mapInArrow(walk, walk_ddl), "walked")
+    walked = materialize(rows.mapInArrow(walk, walk_ddl), "walked", "zstd")
     first = walked.where(F.col("edge") == FIRST).select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     last = walked.where(F.col("edge") == LAST).select("doc_id", "text", "part")
     parts = first.select(F.col("next_part").alias("part"))
@@ -280,7 +286,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, text, following in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                yield _batch(result_schema, edited_rows([doc], [text], [following]))
+                yield _batch(row_schema, edited_rows([doc], [text], [following]))
 
-    inside = walked.where(F.col("edge") == INSIDE).select(*result_schema.names)
-    return inside.unionByName(pairs.mapInArrow(close, RESULT))
+    inside = walked.where(F.col("edge") == INSIDE).select(*row_schema.names)
+    both = inside.unionByName(pairs.mapInArrow(close, COMPACT))
+    return both.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
