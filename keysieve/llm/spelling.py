@@ -44,7 +44,7 @@ MIN_LENGTH, MIN_COUNT, RATIO, NOISE = 7, 2, 10, 31
 #: Letter groups, and the most levels of the trie's top (four bits each in a shard's number).
 GROUPS, TOP = 16, 6
 #: Words that a shard should have, and words or visitors of one task.
-SHARD, PART = 20_000, 200_000
+SHARD, PART = 20_000, 40_000
 #: Pairs compared at a time times their length.
 BLOCK = 1 << 23
 #: Ranges of at most so many words are compared without going down further.
