@@ -28,4 +28,5 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from keysieve.plans import (  # noqa: F401
-        q_features, q_breach, q_profile, q_sampling, q_metrics, q_io, q_models)
+        q_breach, q_corpus, q_features, q_io, q_metrics, q_models, q_profile, q_sampling,
+        q_summaries)
