@@ -2,10 +2,11 @@
 
 Stages with a deterministic result (assembler, indexers) have SQL twins. A
 fitted model's numbers can't come from SQL, so the model queries return what
-must hold of them and can: rows trained on and scored, the confusion matrix's
-total, classes covered, and comparisons (a saved model scores like the fitted
-one, a model beats the length rule of ML-15). ``REPORTS`` has the models'
-classification reports themselves, under the queries' names.
+must hold of them and can: rows trained on and scored, classes covered, whether
+the held-out macro F1 is over the query's floor and most rows of every class
+are found (a predictor of one class, or of shuffled labels, fails both), and
+whether a saved model scores like the fitted one. ``<name>_report`` queries
+return classification reports; ``REPORTS`` has one for each model query.
 
 The labelled, matched candidates are staged once, without their plaintext: the
 hash bits that sampling needs, features, label, band and encoded sequence.
@@ -29,6 +30,7 @@ from keysieve.plans.oracle import md5_bits, sql
 from keysieve.plans.q_sampling import BALANCED_CTES as _BAL
 from keysieve.plans.q_sampling import PER_CLASS
 from keysieve.plans.registry import query
+from keysieve.sources import io
 from keysieve.sources import tables as T
 
 FOLDS, PARTS, TRAIN_FRACTION = 3, 10, 0.8
@@ -41,12 +43,13 @@ def exposure(spark, d):
     return features.with_frequency_band(m)
 
 
-def staged(spark, d, with_sequence: bool = False) -> DataFrame:
+def staged(spark, d, with_sequence: bool = False, with_id: bool = False) -> DataFrame:
     """What the models need of every candidate, as a table without plaintext;
-    the encoded sequence only for the models that read it."""
+    the encoded sequence only for the models that read it, the digest only
+    where rows are given out."""
     ex, pos = ML.sequence_columns(exposure(spark, d)) if with_sequence else (exposure(spark, d), [])
     return materialize(ex.select(
-        *ML.STRENGTH_FEATURES, "has_letter_and_digit", "password_strength", "common_or_rare", *pos,
+        *ML.STRENGTH_FEATURES, "has_letter_and_digit", "password_strength", "common_or_rare", *pos, *["sha1"] * with_id,
         S.hash_bits("password", S.SALT_BALANCE).alias("balance_bits"),
         S.below_fraction(S.hash_bits("password", S.SALT_SPLIT), TRAIN_FRACTION).alias("in_train"),
         (S.hash_bits("password", S.SALT_FOLD) % FOLDS).cast("int").alias("fold"),
@@ -56,11 +59,11 @@ def staged(spark, d, with_sequence: bool = False) -> DataFrame:
 POSITIONS = [f"pos_{i:02d}" for i in range(20)]
 
 
-def balanced(spark, d, with_sequence: bool = False):
+def balanced(spark, d, with_sequence: bool = False, with_id: bool = False):
     """(train, test) of the balanced split. The training side (about PER_CLASS
     rows per class) is read by many fit passes, so it is staged too; the
     held-out side is scored in one pass."""
-    tagged = S.balanced_flags(staged(spark, d, with_sequence).drop("in_train"), PER_CLASS,
+    tagged = S.balanced_flags(staged(spark, d, with_sequence, with_id).drop("in_train"), PER_CLASS,
                               out="in_train", bits="balance_bits")
     return (materialize(tagged.where("in_train"), "train"), tagged.where(~F.col("in_train")))
 
@@ -77,24 +80,33 @@ def report(pred, model: PipelineModel | None = None):
     return M.classification_report(M.confusion_long(pred), labels)
 
 
-def held(train: DataFrame, pred: DataFrame) -> DataFrame:
-    """One row: ``train_rows, test_rows, classes`` (of the held-out rows),
-    ``matrix_total`` and ``beats_rule``: as accurate as the length rule at least."""
-    hit = (F.col(M.TRUE_COL) == F.col(M.PRED_COL)).cast("int")
-    ruled = M.rule_baseline(pred, out="ruled").withColumn("hit", hit)
-    cells = ruled.groupBy(M.TRUE_COL, M.PRED_COL).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("hit").alias("hits"),
-        F.sum((F.col(M.TRUE_COL) == F.col("ruled")).cast("int")).alias("rule_hits"))
-    return cells.agg(F.lit(train.count()).cast("bigint").alias("train_rows"), F.sum("n").alias("test_rows"),
-                     F.count_distinct(M.TRUE_COL).alias("classes"), F.sum("n").alias("matrix_total"),
-                     (F.sum("hits") >= F.sum("rule_hits")).alias("beats_rule"))
+#: Macro F1 on held-out rows that a model must reach.
+TREE_FLOOR, SEQUENCE_FLOOR = 0.95, 0.78
 
 
-def held_sql(ctes: str, tagged: str) -> str:
+def quality(pred: DataFrame, floor: float) -> DataFrame:
+    """One row: ``test_rows, classes`` (that occur as truth), ``macro_f1_ok``
+    (at least ``floor``) and ``recall_ok`` (over half the rows of every class)."""
+    summary = F.col("class").isin("accuracy", "macro avg", "weighted avg")
+    one = F.when(~summary & (F.col("support") > 0), F.col("recall"))
+    return M.classification_report(M.confusion_long(pred)).agg(
+        F.max(F.when(F.col("class") == "accuracy", F.col("support"))).alias("test_rows"), F.count(one).alias("classes"),
+        (F.max(F.when(F.col("class") == "macro avg", F.col("f1"))) >= floor).alias("macro_f1_ok"),
+        (F.min(one) > 0.5).alias("recall_ok"))
+
+
+def held(train: DataFrame, pred: DataFrame, floor: float) -> DataFrame:
+    """:func:`quality` of the held-out rows, and ``train_rows``."""
+    n = train.agg(F.count(F.lit(1)).alias("train_rows"))
+    both = quality(pred, floor).unionByName(n, allowMissingColumns=True)  # a row each
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
+
+
+def held_sql(ctes: str, tagged: str, extra: str = "") -> str:
     return sql(f"""
 SELECT count(*) FILTER (WHERE in_train) AS train_rows, count(*) FILTER (WHERE NOT in_train) AS test_rows,
        count(DISTINCT password_strength) FILTER (WHERE NOT in_train) AS classes,
-       count(*) FILTER (WHERE NOT in_train) AS matrix_total, true AS beats_rule FROM {tagged}""", ctes)
+       true AS macro_f1_ok, true AS recall_ok{extra} FROM {tagged}""", ctes)
 
 
 _RAW = f"""rawtag AS (
@@ -104,12 +116,12 @@ _RAW = f"""rawtag AS (
 REPORTS = {}
 
 
-def model_query(name: str, oracle: str):
-    """Registers ``fn(spark, d) -> (train, model, predictions)``."""
+def model_query(name: str, oracle: str, floor: float = TREE_FLOOR, with_report: bool = False):
+    """Registers ``fn(spark, d) -> (train, model, predictions)``, if asked with its report."""
     def register(fn):
         def checks(spark, d):
             train, _, pred = fn(spark, d)
-            return held(train, pred)
+            return held(train, pred, floor)
 
         def full(spark, d):
             _, model, pred = fn(spark, d)
@@ -118,6 +130,8 @@ def model_query(name: str, oracle: str):
         checks.__doc__ = full.__doc__ = fn.__doc__
         REPORTS[name] = full
         query(name, oracle)(checks)
+        if with_report:
+            query(f"{name}_report")(full)
         return fn
     return register
 
@@ -234,7 +248,7 @@ def dt_metrics(spark, d):
             M.weighted_metrics(cells))
 
 
-@model_query("rf_strength", held_sql(_RAW, "rawtag"))
+@model_query("rf_strength", held_sql(_RAW, "rawtag"), with_report=True)
 def rf_strength(spark, d):
     """Random forest (10 trees) on the raw class mix, 80/20 split."""
     train, test = raw_split(spark, d)
@@ -242,7 +256,7 @@ def rf_strength(spark, d):
     return train, model, ML.predict(model, test)
 
 
-@model_query("rf_balanced", held_sql(_BAL, "baltag"))
+@model_query("rf_balanced", held_sql(_BAL, "baltag"), with_report=True)
 def rf_balanced(spark, d):
     """Random forest on the balanced set with the breach band as 11th feature."""
     train, test = balanced(spark, d)
@@ -260,7 +274,7 @@ def gbt_strength(spark, d):
     return train, model, ML.predict(model, test)
 
 
-@model_query("seq_classifier", held_sql(_BAL, "baltag"))
+@model_query("seq_classifier", held_sql(_BAL, "baltag"), SEQUENCE_FLOOR, with_report=True)
 def seq_classifier(spark, d):
     """Sequence model: logistic regression over one-hot (position, char)."""
     train, test = balanced(spark, d, with_sequence=True)
@@ -268,7 +282,7 @@ def seq_classifier(spark, d):
     return train, model, ML.predict(model, test)
 
 
-@model_query("seq_perceptron", held_sql(_BAL, "baltag"))
+@model_query("seq_perceptron", held_sql(_BAL, "baltag"), SEQUENCE_FLOOR)
 def seq_perceptron(spark, d):
     """Sequence model: a perceptron with one hidden layer over the same input."""
     train, test = balanced(spark, d, with_sequence=True)
@@ -316,15 +330,14 @@ def tuning_flow(spark, train: DataFrame, test: DataFrame) -> DataFrame:
     model.write().overwrite().save(path)
     again = ML.predict(PipelineModel.load(path), test).select(*cols)
     differing = pred.exceptAll(again).count() + again.exceptAll(pred).count()
-    checks = held(train, pred)
+    checks = held(train, pred, TREE_FLOOR)
     decoded = pred.agg(F.count_if(F.col("common_or_rare") != F.col("common_or_rare_decoded"))).first()[0]
     return checks.select("*", F.lit(differing).cast("bigint").alias("differing_rows"),
                          F.lit(decoded).cast("bigint").alias("wrong_bands"))
 
 
 def _flow_sql(ctes, tagged):
-    return held_sql(ctes, tagged).replace("true AS beats_rule", "true AS beats_rule, 0::BIGINT AS differing_rows, "
-                                          "0::BIGINT AS wrong_bands")
+    return held_sql(ctes, tagged, ", 0::BIGINT AS differing_rows, 0::BIGINT AS wrong_bands")
 
 
 @query("rf_raw_tuned", _flow_sql(_RAW, "rawtag"))
@@ -359,17 +372,28 @@ def importances(spark, d):
 
 
 @query("score_full", sql(f"""
-SELECT ({md5_bits('password', S.SALT_PARTS)} % {PARTS})::INT AS split_id, count(*) AS n, true AS beats_rule
+SELECT ({md5_bits('password', S.SALT_PARTS)} % {PARTS})::INT AS split_id, count(*) AS n, true AS balanced_accuracy_ok
 FROM baltag WHERE NOT in_train GROUP BY 1""", _BAL))
 def score_full(spark, d):
     """Score every held-out row with the balanced forest; rows per part, and
-    whether its accuracy there is at least the length rule's."""
+    whether the mean of the classes' recalls there is over the floor."""
     train, test = balanced(spark, d)
     model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES)
-    pred = M.rule_baseline(ML.predict(model, test), out="ruled")
-    hits = lambda c: F.sum((F.col(M.TRUE_COL) == F.col(c)).cast("int"))
-    return pred.groupBy("split_id").agg(F.count(F.lit(1)).alias("n"),
-                                        (hits(M.PRED_COL) >= hits("ruled")).alias("beats_rule"))
+    hit = F.col(M.TRUE_COL) == F.col(M.PRED_COL)
+    per = ML.predict(model, test).groupBy("split_id", M.TRUE_COL).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(hit.cast("double")).alias("recall"))
+    return per.groupBy("split_id").agg(F.sum("n").alias("n"), (F.avg("recall") >= TREE_FLOOR).alias("balanced_accuracy_ok"))
+
+
+@query("scored_set")
+def scored_set(spark, d):
+    """The held-out rows scored by the balanced forest, written and read again:
+    ``sha1`` instead of the string, true and predicted label, band."""
+    train, test = balanced(spark, d, with_id=True)
+    model = ML.fit_strength_model(train, ML.random_forest(), ML.STRENGTH_FEATURES_BAND, band_col="common_or_rare")
+    path = scratch_path(spark, "scored-set")
+    io.write_parquet(ML.predict(model, test).select("sha1", M.TRUE_COL, M.PRED_COL, "common_or_rare", "split_id"), path)
+    return io.read_parquet(spark, path)
 
 
 @query("model_roundtrip", sql("""

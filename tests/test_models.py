@@ -27,6 +27,54 @@ def test_report_of_the_balanced_forest_has_every_class(spark, sf_dir):
     assert rep["accuracy"]["precision"] > 0.9
 
 
+@pytest.fixture(scope="module")
+def split(spark, sf_dir):
+    return Q.balanced(spark, sf_dir)
+
+
+def checks(train, pred, floor):
+    r = Q.held(train, pred, floor).first()
+    assert r["train_rows"] == train.count() and r["test_rows"] == pred.count() and r["classes"] == 3
+    return r["macro_f1_ok"], r["recall_ok"]
+
+
+@pytest.mark.parametrize("floor", [Q.TREE_FLOOR, Q.SEQUENCE_FLOOR])
+def test_useless_predictors_fail_the_checks(split, floor):
+    train, test = split
+    true = test.withColumn(M.TRUE_COL, F.col("password_strength"))
+    for c in ("weak", "medium", "Strong"):
+        assert checks(train, true.withColumn(M.PRED_COL, F.lit(c)), floor) == (False, False)
+    by_chance = F.element_at(F.array(*map(F.lit, ("weak", "medium", "Strong"))), (F.pmod(F.xxhash64("balance_bits"), F.lit(3)) + 1).cast("int"))
+    assert checks(train, true.withColumn(M.PRED_COL, by_chance), floor) == (False, False)
+    # Right on all but one class.
+    no_medium = F.when(F.col(M.TRUE_COL) == "medium", "weak").otherwise(F.col(M.TRUE_COL))
+    assert checks(train, true.withColumn(M.PRED_COL, no_medium), floor)[1] is False
+    assert checks(train, true.withColumn(M.PRED_COL, F.col(M.TRUE_COL)), floor) == (True, True)
+
+
+def test_a_model_of_shuffled_labels_fails_the_checks(split):
+    from keysieve.operators import models as ML
+    train, test = split
+    shuffled = train.withColumn("password_strength", F.element_at(
+        F.array(*map(F.lit, ("weak", "medium", "Strong"))), (F.pmod(F.xxhash64("balance_bits"), F.lit(3)) + 1).cast("int")))
+    model = ML.fit_strength_model(shuffled, ML.random_forest(), ML.STRENGTH_FEATURES)
+    ok = checks(train, ML.predict(model, test), Q.SEQUENCE_FLOOR)
+    assert ok == (False, False)
+
+
+def test_scored_set_has_every_held_out_row_once(spark, sf_dir):
+    from keysieve.operators import breach as B
+    from keysieve.sources import tables as T
+    scored = Q.scored_set(spark, sf_dir)
+    assert scored.columns == ["sha1", M.TRUE_COL, M.PRED_COL, "common_or_rare", "split_id"]
+    _, test = Q.balanced(spark, sf_dir)
+    assert scored.count() == scored.select("sha1").distinct().count() == test.count()
+    known = B.with_digest(T.labelled(spark, sf_dir)).select("sha1", F.col("password_strength").alias("label"))
+    joined = scored.join(known, "sha1")
+    assert joined.count() == scored.count() and joined.where(F.col("label") != F.col(M.TRUE_COL)).isEmpty()
+    assert scored.where(F.col(M.TRUE_COL) != F.col(M.PRED_COL)).count() < 0.02 * scored.count()
+
+
 def test_letter_digit_tree_metrics(spark, sf_dir):
     counts, weighted = (df.first() for df in Q.dt_metrics(spark, sf_dir))
     assert sum(counts[f"{c}_pct"] for c in ("tp", "tn", "fp", "fn")) == pytest.approx(100, abs=1e-4)
