@@ -37,12 +37,12 @@ def confusion_long(pred: DataFrame, true_col: str = TRUE_COL,
 
 
 def confusion_pivot(cells: DataFrame, classes: list[str] = CLASS_ORDER,
-                    other: bool = False) -> DataFrame:
+                    other: bool = True) -> DataFrame:
     """Rows = true class, one BIGINT column per predicted class (0 filled).
 
     Written as conditional sums rather than ``pivot`` so no extra job is
     fired to discover the pivot values. Predictions of a class that isn't named
-    are in the column ``other``, which is there only if ``other=True``."""
+    are in the column ``other``, unless ``other=False`` leaves it out."""
     return (cells.groupBy(TRUE_COL)
             .agg(*[F.sum(F.when(F.col(PRED_COL) == c, F.col("n")).otherwise(0))
                    .cast("bigint").alias(c) for c in classes],

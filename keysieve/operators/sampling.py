@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keysieve.functions.digest import below_fraction, hash_bits
+from keysieve.functions.digest import TWO_POW_32, below_fraction, hash_bits
 
 SALT_SAMPLE = "sample"
 SALT_SPLIT = "split"
+SALT_WEIGHTED = "weighted"
 SALT_BALANCE = "balance"
 SALT_FOLD = "fold"
 SALT_PARTS = "parts"
@@ -108,18 +109,14 @@ def sample_by_class_union(df: DataFrame, per_class: int = 15000,
                           salt: str = SALT_BALANCE,
                           max_fraction: float = MAX_FRACTION) -> DataFrame:
     """The per-class filter + sample + union form of balancing; returns the
-    same rows as the training side of :func:`balanced_split`."""
-    from keysieve.functions.charclass import CLASS_ORDER
-    frac = class_fractions(df, per_class, label_col, max_fraction)
-    parts = []
-    for c in classes or CLASS_ORDER:
-        part = df.where(F.col(label_col) == c)
-        parts.append(part.join(F.broadcast(frac), label_col)
-                     .where(below_fraction(hash_bits(key, salt), F.col("_fraction")))
-                     .drop("_fraction").select(*df.columns))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    same rows as the training side of :func:`balanced_split`: of all classes
+    that occur (their names are taken to the driver), or of ``classes``."""
+    frac = class_fractions(df, per_class, label_col, max_fraction).collect()  # a row per class
+    key_bits = hash_bits(key, salt)
+    out = df.where(F.lit(False))
+    for r in frac:
+        if classes is None or r[label_col] in classes:
+            out = out.unionByName(df.where((F.col(label_col) == r[label_col]) & below_fraction(key_bits, r["_fraction"])))
     return out
 
 
@@ -159,3 +156,37 @@ def exact_per_class(df: DataFrame, per_class: int,
             .withColumn("_r", F.row_number().over(rank))
             .where(F.col("_r") <= F.col("_need"))
             .select(*df.columns))
+
+
+#: Parts of a power of two that an exponential key's histogram tells apart.
+KEY_STEPS = 1024
+
+
+def exponential_key(weight: str, key: str = "password", salt: str = SALT_WEIGHTED) -> F.Column:
+    """A row's waiting time at rate ``weight``: the rows of the least ones are a
+    weighted sample without replacement. Null unless the weight is positive."""
+    u = (hash_bits(key, salt).cast("double") + 0.5) / F.lit(TWO_POW_32)
+    return F.when(F.col(weight) > 0, -F.log(u) / F.col(weight).cast("double"))
+
+
+def weighted_sample(df: DataFrame, n: int, weight: str = "freq", key: str = "password",
+                    salt: str = SALT_WEIGHTED) -> DataFrame:
+    """Exactly ``n`` rows (all with a positive weight, if there are fewer),
+    drawn without replacement with chances by ``weight``: those of the least
+    ``(exponential key, key)``. ``key`` should be distinct.
+
+    No table is sorted. A histogram of the keys' logarithms, a few ten thousand
+    buckets at most, tells the bucket in which the n-th row lies; rows of lower
+    buckets are taken as they are, and only that bucket, well under a
+    thousandth of the rows, is ordered. ``df`` is read once for the histogram
+    and once for each of the two parts. Fires a job."""
+    k = df.withColumn("_e", exponential_key(weight, key, salt)).where("_e is not null")
+    k = k.withColumn("_b", F.floor(F.log2("_e") * KEY_STEPS))
+    hist = k.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_b"))
+    last = (hist.withColumn("_cum", upto).where(F.col("_cum") - F.col("_n") < n)
+            .agg(F.max("_b").alias("b"), F.max(F.col("_cum") - F.col("_n")).alias("before")).first())
+    if last["b"] is None:
+        return df.where(F.lit(False))
+    edge = k.where(F.col("_b") == last["b"]).orderBy("_e", key).limit(n - last["before"])
+    return k.where(F.col("_b") < last["b"]).unionByName(edge).select(*df.columns)

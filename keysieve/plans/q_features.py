@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keysieve.functions import sequence
+from keysieve.functions import sequence, sql_surface
 from keysieve.functions.charclass import FLAG_COLUMNS
 from keysieve.operators import breach, features
 from keysieve.plans.oracle import FEATURE_NAMES, encode_sql, sql
@@ -64,3 +64,29 @@ def drop_plaintext(spark, d):
     return (T.labelled(spark, d)
             .withColumn("encoded_pass", sequence.encode("password"))
             .select("encoded_pass", "password_strength"))
+
+
+def _sql_over_candidates(spark, d, text):
+    """``text``, a query in Spark SQL over the view ``pw_candidates``."""
+    sql_surface.register(spark)
+    T.candidates(spark, d).createOrReplaceTempView("pw_candidates")
+    return spark.sql(text)
+
+
+@query("strength_label_sql", sql("SELECT password, score, password_strength FROM labelled"))
+def strength_label_sql(spark, d):
+    """The rows of ``strength_label`` by a query in SQL text."""
+    return _sql_over_candidates(spark, d, """
+        SELECT password, pw_score(password) AS score, pw_strength(password) AS password_strength FROM pw_candidates""")
+
+
+@query("sql_functions", sql(f"""
+SELECT password, {FEATURE_NAMES.rsplit(',', 1)[0]}, sha1, prefix, suffix, {encode_sql('password')} AS encoded_pass
+FROM digested WHERE score >= 3"""))
+def sql_functions(spark, d):
+    """Flags, digest parts and encoding of the medium and strong candidates, in SQL text."""
+    flags = ", ".join(f"pw_{c}(password) AS {c}" for c in FLAG_COLUMNS)
+    return _sql_over_candidates(spark, d, f"""
+        SELECT password, {flags}, pw_sha1(password) AS sha1, pw_range_prefix(password) AS prefix,
+               pw_range_suffix(password) AS suffix, pw_encode(password) AS encoded_pass
+        FROM pw_candidates WHERE pw_strength(password) <> 'weak'""")

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keysieve.operators import features
+from keysieve.operators import intervals as I
 from keysieve.operators import metrics as M
 from keysieve.operators.sampling import SALT_PARTS, split_ids
 from keysieve.plans.oracle import md5_bits, sql
@@ -73,7 +74,8 @@ def confusion_long(spark, d):
 SELECT true_label,
        coalesce(sum(n) FILTER (WHERE predicted_label = 'weak'), 0)::BIGINT AS weak,
        coalesce(sum(n) FILTER (WHERE predicted_label = 'medium'), 0)::BIGINT AS medium,
-       coalesce(sum(n) FILTER (WHERE predicted_label = 'Strong'), 0)::BIGINT AS Strong
+       coalesce(sum(n) FILTER (WHERE predicted_label = 'Strong'), 0)::BIGINT AS Strong,
+       coalesce(sum(n) FILTER (WHERE predicted_label NOT IN ('weak', 'medium', 'Strong')), 0)::BIGINT AS other
 FROM cells GROUP BY true_label"""))
 def confusion_pivot(spark, d):
     return M.confusion_pivot(cells(spark, d))
@@ -131,3 +133,35 @@ def binary_confusion(spark, d):
     """TP/TN/FP/FN of ``has_letter_and_digit`` against the rule "has a digit"."""
     f = features.with_features(T.candidates(spark, d))
     return M.binary_confusion(f, truth="has_letter_and_digit", prediction="has_digits")
+
+
+def _bootstrap_sql(name: str, by: str, values: str, extra: str = "") -> str:
+    """The bootstrap of ``values`` (a mean per row) over hash blocks of ``ruled``."""
+    steps = " + ".join(f"(u >= {s})::BIGINT" for s in I.poisson_steps())
+    group, tail = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
+    return sql(f"""
+SELECT {group}n, round({name}, 6) AS {name}, round(q[1], 6) AS {name}_low, round(q[2], 6) AS {name}_high{extra}
+FROM (SELECT {group}any_value(n) AS n, any_value(v / n) AS {name}, quantile_cont(CASE WHEN wn > 0 THEN wv / wn END, [0.025, 0.975]) AS q
+      FROM (SELECT {group}r, sum(n)::BIGINT AS n, sum(v) AS v, sum(w * n) AS wn, sum(w * v) AS wv FROM blocks JOIN drawn USING (block)
+            GROUP BY {group}r){tail})""", f"""
+blocks AS (SELECT {group}block, count(*) AS n, sum({values}) AS v
+  FROM (SELECT *, {md5_bits('password', I.SALT_BLOCK)} % {I.BLOCKS} AS block FROM ruled) GROUP BY {group}block),
+drawn AS (SELECT block, r, {steps} AS w FROM (
+  SELECT b AS block, r, ('0x' || substr(md5(b::VARCHAR || '|{I.SALT_WEIGHT}' || (r // {I.PER_HASH})::VARCHAR), 4 * (r % {I.PER_HASH})::INT + 1, 4))::INT AS u
+  FROM range({I.BLOCKS}) t(b), range({I.REPLICATES}) s(r)))""")
+
+
+@query("accuracy_interval", _bootstrap_sql("accuracy", "true_label", "(true_label = predicted_label)::INT"))
+def accuracy_interval(spark, d):
+    """Accuracy of the length rule per true class, with bootstrap intervals."""
+    return I.accuracy_interval(ruled(spark, d), M.TRUE_COL, M.PRED_COL, "password", [M.TRUE_COL])
+
+
+@query("accuracy_difference", _bootstrap_sql("difference", "", """(true_label = predicted_label)::INT
+  - (true_label = CASE WHEN length < 8 THEN 'weak' WHEN length < 16 THEN 'medium' ELSE 'Strong' END)::INT""",
+    ", round(q[1], 6) > 0 OR round(q[2], 6) < 0 AS told_apart"))
+def accuracy_difference(spark, d):
+    """The length rule against the one that calls strong what has 16 characters
+    or more: the paired difference of their accuracies."""
+    both = M.rule_baseline(ruled(spark, d), out="second", strong_from=16)
+    return I.accuracy_difference(both, M.TRUE_COL, M.PRED_COL, "second", "password")

@@ -13,6 +13,7 @@ from keysieve.sources import tables as T
 SAMPLE_FRACTION = 0.01
 LIMITED_FRACTION = 0.5
 LIMITED_ROWS = 10000
+WEIGHTED_ROWS = 5000
 TRAIN_FRACTION = 0.8
 FOLDS = 3
 PER_CLASS = 15000
@@ -27,10 +28,11 @@ baltag AS (
   FROM labelled l JOIN balfrac USING (password_strength))"""
 
 
-def _labelled_once(spark, d):
-    """(password, label) of every candidate, checkpointed: the balancing
-    queries read it more than once (class counts, histogram, branches)."""
-    return materialize(T.labelled(spark, d).select("password", "password_strength"))
+def _labelled(spark, d):
+    """(password, label) of every candidate. The balancing queries read it more
+    than once (class counts, histogram, branches); it is not staged, as it is
+    plaintext, and the branches of a plan share its exchange."""
+    return T.labelled(spark, d).select("password", "password_strength")
 
 
 @query("hash_sample", sql(f"""
@@ -45,9 +47,9 @@ SELECT count(*) AS rows, true AS near_the_mean, 0::BIGINT AS foreign_rows FROM c
 def native_sample(spark, d):
     """Spark's Bernoulli sample, 1 %, seed 42: its size is within six standard
     deviations of the mean, and it has rows of the table only."""
-    cand = materialize(T.candidates(spark, d))
-    sample = materialize(S.native_sample(cand, SAMPLE_FRACTION, seed=42))
-    foreign = sample.join(cand, ["password", "freq"], "left_anti")
+    cand = materialize(T.candidates(spark, d).select(F.sha1("password").alias("sha1"), "freq"), "digests")
+    sample = materialize(S.native_sample(cand, SAMPLE_FRACTION, seed=42), "sample")
+    foreign = sample.join(cand, ["sha1", "freq"], "left_anti")
     parts = (cand.select(F.lit("rows").alias("of")).unionByName(sample.select(F.lit("sampled").alias("of")))
              .unionByName(foreign.select(F.lit("foreign").alias("of"))))
     n, p = F.col("rows"), SAMPLE_FRACTION
@@ -64,6 +66,14 @@ def limited_sample(spark, d):
     return S.limited_sample(T.candidates(spark, d), LIMITED_FRACTION, LIMITED_ROWS)
 
 
+@query("weighted_sample", sql(f"""
+SELECT password, freq FROM candidates
+ORDER BY -ln(({md5_bits('password', S.SALT_WEIGHTED)}::DOUBLE + 0.5) / 4294967296.0) / freq, password LIMIT {WEIGHTED_ROWS}"""))
+def weighted_sample(spark, d):
+    """A fixed number of candidates, drawn without replacement by their frequency."""
+    return S.weighted_sample(T.candidates(spark, d), WEIGHTED_ROWS)
+
+
 @query("train_test_split", sql(f"""
 SELECT password, CASE WHEN {md5_bits('password', S.SALT_SPLIT)} < {TRAIN_FRACTION} * 4294967296
                       THEN 'train' ELSE 'test' END AS split
@@ -81,34 +91,30 @@ def kfold_assign(spark, d):
 @query("balanced_train", sql(
     "SELECT password, password_strength FROM baltag WHERE in_train", BALANCED_CTES))
 def balanced_train(spark, d):
-    """Balancing reads its input twice (class counts, then the filter), so the
-    labelled frame is checkpointed once rather than recomputed."""
-    train, _ = S.balanced_split(_labelled_once(spark, d), PER_CLASS)
+    """Balancing reads its input twice: class counts, then the filter."""
+    train, _ = S.balanced_split(_labelled(spark, d), PER_CLASS)
     return train
 
 
 @query("balanced_test", sql(
     "SELECT password, password_strength FROM baltag WHERE NOT in_train", BALANCED_CTES))
 def balanced_test(spark, d):
-    _, test = S.balanced_split(_labelled_once(spark, d), PER_CLASS)
+    _, test = S.balanced_split(_labelled(spark, d), PER_CLASS)
     return test
 
 
 @query("union_by_class", sql(
     "SELECT password, password_strength FROM baltag WHERE in_train", BALANCED_CTES))
 def union_by_class(spark, d):
-    """Per-class filter + sample, then union. The labelled frame feeds four
-    branches (three classes and the fraction table), so it is checkpointed
-    once instead of being recomputed per branch."""
-    return S.sample_by_class_union(_labelled_once(spark, d), PER_CLASS)
+    """Per-class filter + sample, then union."""
+    return S.sample_by_class_union(_labelled(spark, d), PER_CLASS)
 
 
 @query("holdout_anti_join", sql(
     "SELECT password, password_strength FROM baltag WHERE NOT in_train", BALANCED_CTES))
 def holdout_anti_join(spark, d):
-    """Test set as all rows minus the training keys (the frame feeds three
-    branches, so it is checkpointed once)."""
-    full = _labelled_once(spark, d)
+    """Test set as all rows minus the training keys."""
+    full = _labelled(spark, d)
     train, _ = S.balanced_split(full, PER_CLASS)
     return S.holdout(full, train)
 
@@ -120,8 +126,8 @@ SELECT password, password_strength FROM (
                             ORDER BY {md5_bits('password', S.SALT_BALANCE)}, password) AS r
   FROM labelled) WHERE r <= {EXACT_PER_CLASS}"""))
 def balanced_exact(spark, d):
-    """Two passes (bucket histogram, selection) over one checkpointed input."""
-    return S.exact_per_class(_labelled_once(spark, d), EXACT_PER_CLASS)
+    """Two passes over the input: bucket histogram, selection."""
+    return S.exact_per_class(_labelled(spark, d), EXACT_PER_CLASS)
 
 
 @query("balanced_class_counts", sql("""
@@ -129,7 +135,7 @@ SELECT password_strength, count(*) FILTER (WHERE in_train) AS train_rows,
        count(*) FILTER (WHERE NOT in_train) AS test_rows FROM baltag GROUP BY 1""", BALANCED_CTES))
 def balanced_class_counts(spark, d):
     """Per class: training rows and held-out rows of the balanced split."""
-    tagged = S.balanced_flags(_labelled_once(spark, d), PER_CLASS)
+    tagged = S.balanced_flags(_labelled(spark, d), PER_CLASS)
     return tagged.groupBy("password_strength").agg(
         F.count_if("in_train").alias("train_rows"),
         F.count_if(~F.col("in_train")).alias("test_rows"))

@@ -63,7 +63,8 @@ def test_report_covers_classes_that_are_not_listed(spark):
     assert rep["other"]["recall"] == pytest.approx(5 / 9, abs=1e-6) and rep["weak"]["precision"] == 0.5
     listed = {r["class"] for r in M.classification_report(cells, ["weak", "absent"]).collect()}
     assert listed == set(rep) | {"absent"}
-    pivot = {r[M.TRUE_COL]: r["other"] for r in M.confusion_pivot(cells, other=True).collect()}
+    pivot = {r[M.TRUE_COL]: r["other"] for r in M.confusion_pivot(cells).collect()}
+    assert "other" not in M.confusion_pivot(cells, other=False).columns
     assert pivot == {"weak": 0, "other": 5, None: 0}
 
 
@@ -115,3 +116,13 @@ def test_pivot_total_equals_rows(spark, labelled):
     total = piv.select(sum(F.col(c) for c in ["weak", "medium", "Strong"]).alias("t")) \
         .agg(F.sum("t")).first()[0]
     assert total == labelled.count()
+
+
+def test_union_form_has_every_class_that_occurs(spark):
+    rows = [(f"w{i}", "weak") for i in range(400)] + [(f"o{i}", "other") for i in range(300)] + [("n", None)]
+    df = spark.createDataFrame(rows, "password string, password_strength string")
+    train, _ = S.balanced_split(df, 100)
+    union = S.sample_by_class_union(df, 100)
+    assert train.exceptAll(union).count() == 0 and union.exceptAll(train).count() == 0
+    assert {r[0] for r in union.select("password_strength").distinct().collect()} == {"weak", "other"}
+    assert {r[1] for r in S.sample_by_class_union(df, 100, classes=["other"]).collect()} == {"other"}
