@@ -16,7 +16,7 @@ from keysieve.operators import breach, features
 from keysieve.sources import breach as breach_src
 from keysieve.sources import io, wordlist
 
-AUDIT_COLUMNS = ["password", "freq", "is_lower", "is_upper", "is_digit",
+AUDIT_COLUMNS = ["password", "sha1", "freq", "is_lower", "is_upper", "is_digit",
                  "has_letter_and_digit", "has_digits", "has_upper", "has_lower", "has_symbols",
                  "has_spaces", "has_special_characters", "length", "score",
                  "password_strength", "breach_count", "exposed", "common_or_rare"]
@@ -44,7 +44,8 @@ def removed(candidates: DataFrame, max_length: int | None = None) -> DataFrame:
 def audit_frame(candidates: DataFrame, corpus: DataFrame, charset: str = "UTF-8",
                 keep_plaintext: bool = True, max_length: int | None = None) -> DataFrame:
     """Lazy audit of a raw candidate column ``password`` (with repeats), and
-    its ``password_bytes`` if there are any, against a canonical corpus."""
+    its ``password_bytes`` if there are any, against a canonical corpus.
+    ``sha1`` tells apart byte strings that decode to one string."""
     lab = features.label(cleaned(candidates, max_length))
     exp = breach.match_breach(lab, corpus, how="left", charset=charset)
     out = features.with_frequency_band(exp).select(*AUDIT_COLUMNS)

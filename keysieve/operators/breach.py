@@ -52,9 +52,9 @@ def match_breach(candidates: DataFrame, corpus: DataFrame, how: str = "inner",
     (candidate columns only). ``match_on="suffix"`` compares the last 35 hex
     digits, for corpora whose prefixes are lost (it cuts the digest, so a
     bucketed corpus is shuffled). ``strategy="auto"`` leaves the choice to
-    Catalyst/AQE; ``"broadcast"`` writes the candidates once and broadcasts
+    Catalyst/AQE; ``"broadcast"`` counts the candidates and broadcasts
     them if they have at most ``broadcast_max_rows`` rows (which must be given);
-    with more rows the join is planned as in ``auto``, from the written table.
+    with more rows the join is planned as in ``auto``.
     """
     if match_on not in ("range", "suffix"):
         raise ValueError(f"match_on must be 'range' or 'suffix', not {match_on!r}")
@@ -71,8 +71,8 @@ def match_breach(candidates: DataFrame, corpus: DataFrame, how: str = "inner",
     if strategy == "broadcast":
         if broadcast_max_rows is None or how != "inner":
             raise ValueError("a broadcast of the candidates needs an inner join and broadcast_max_rows")
-        cand = materialize(cand, "candidates")
-        if cand.count() <= broadcast_max_rows:
+        # Counted by their staged keys: no plaintext is written.
+        if materialize(cand.select(JOIN_KEY), "keys").count() <= broadcast_max_rows:
             cand = F.broadcast(cand)
     elif strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")

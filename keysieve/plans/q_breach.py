@@ -14,6 +14,10 @@ from keysieve.sources import tables as T
 
 #: Candidates (a short string, a digest and two parts of it) that may be broadcast.
 BROADCAST_ROWS = 500_000
+#: Digests counted as often are written as range files, a file for each.
+COMMON = 10
+#: Name of the bucketed corpus in the catalog; a later call takes its place.
+COMPACT_TABLE = "keysieve_compact_corpus"
 MATCH_COLS = ["password", "freq", "sha1", "prefix", "suffix", "breach_count"]
 
 
@@ -34,7 +38,7 @@ def breach_match_inner(spark, d):
 
 @query("breach_match_broadcast", sql(f"SELECT {', '.join(MATCH_COLS)} FROM matched"))
 def breach_match_broadcast(spark, d):
-    """Candidate side written once, and broadcast only if its row count allows."""
+    """Candidate side counted, and broadcast only if its row count allows."""
     return B.match_breach(T.candidates(spark, d), T.breach(spark, d), strategy="broadcast",
                           broadcast_max_rows=BROADCAST_ROWS).select(*MATCH_COLS)
 
@@ -89,29 +93,31 @@ def breach_parse(spark, d):
     return breach_src.read_breach_ranges(spark, path)
 
 
-def range_lines(spark, d):
-    """The corpus as lines of range files: named by prefix, with and without
-    extensions, in a folder that looks like a prefix, with CRLF, and with
+def _stray(spark, d):
+    """Lines that are none of a corpus."""
+    return T.table(spark, d, "benchmark").select(F.explode(F.array("text", F.concat("text", F.lit(":12")))).alias("value"))
+
+
+def range_files(spark, d):
+    """The corpus as files on disk, in a folder that looks like a prefix.
+    Common digests are ``SUFFIX:COUNT`` lines in a folder per prefix, plain ones
+    with CRLF or gzipped ones; the others are ``SHA1:COUNT`` lines, with
     benchmark texts as stray lines between them."""
-    r = T.breach_ranges(spark, d)
-    kind = F.pmod(F.col("breach_count"), F.lit(4))
-    name = (F.when(kind == 0, F.col("prefix")).when(kind == 1, F.concat("prefix", F.lit(".txt")))
-            .when(kind == 2, F.concat(F.lower("prefix"), F.lit(".txt.gz")))
-            .otherwise(F.concat(F.lit("prefix="), "prefix", F.lit("/part-00000.txt"))))
-    lines = r.select(F.concat("suffix", F.lit(":"), F.col("breach_count").cast("string"),
-                              F.when(kind == 1, "\r").otherwise("")).alias("value"),
-                     F.concat(F.lit("file:/corpus/20251/"), name).alias("path"))
-    stray = T.table(spark, d, "benchmark").select(
-        F.explode(F.array("text", F.concat("text", F.lit(":12")))).alias("value"),
-        F.lit("file:/corpus/20251/ABCDE").alias("path"))
-    return lines.unionByName(stray)
+    r = T.breach_ranges(spark, d).withColumn("n", F.col("breach_count").cast("string"))
+    ranged, path = r.where(F.col("breach_count") >= COMMON), f"{scratch_path(spark, 'ranges')}/20251"
+    even = F.col("breach_count") % 2 == 0
+    for part, end, codec in ((ranged.where(even), "\r", "none"), (ranged.where(~even), "", "gzip")):
+        (part.select("prefix", F.concat("suffix", F.lit(":"), "n", F.lit(end)).alias("value")).repartition("prefix")
+         .write.mode("append").partitionBy("prefix").option("compression", codec).text(path))
+    rare = r.where(F.col("breach_count") < COMMON).select(F.concat(F.lower(F.concat("prefix", "suffix")), F.lit(":"), "n").alias("value"))
+    rare.unionByName(_stray(spark, d)).write.mode("append").option("compression", "gzip").text(f"{path}/whole")
+    return path
 
 
 @query("breach_ranges_parse", sql("SELECT prefix, suffix, breach_count FROM breach"))
 def breach_ranges_parse(spark, d):
-    """Range-file lines (see ``range_lines``) parsed to the canonical corpus."""
-    parsed = breach_src.parse_lines(range_lines(spark, d)).where("ok")
-    return breach_src.with_range(breach_src.corpus(parsed))
+    """The written range files (see ``range_files``) read to the canonical corpus."""
+    return breach_src.with_range(breach_src.corpus(breach_src.read_breach_ranges(spark, range_files(spark, d))))
 
 
 @query("breach_duplicates_left", sql(
@@ -130,7 +136,8 @@ def breach_compact_match(spark, d):
     """Re-lay the corpus as a table bucketed by digest (a one-off job), then
     match candidates against it; the corpus side is not shuffled."""
     path = scratch_path(spark, "breach-compact")
-    table = breach_src.compact_breach(T.breach(spark, d), "corpus_" + path.rsplit("-", 1)[1], path, buckets=8)
+    spark.sql(f"DROP TABLE IF EXISTS {COMPACT_TABLE}")
+    table = breach_src.compact_breach(T.breach(spark, d), COMPACT_TABLE, path, buckets=8)
     return B.match_breach(T.candidates(spark, d), table).select(*MATCH_COLS)
 
 
@@ -140,7 +147,8 @@ FROM (SELECT (SELECT count(*) FROM breach) AS accepted,
              (SELECT count(*) FROM breach) + (SELECT 2 * count(*) FROM benchmark) AS lines)"""))
 def breach_rejects(spark, d):
     """Line accounting of the corpus parser over good and stray lines."""
-    return breach_src.count_rejects(range_lines(spark, d))
+    good = T.breach_ranges(spark, d).select(F.concat("prefix", "suffix", F.lit(":"), F.col("breach_count").cast("string")).alias("value"))
+    return breach_src.count_rejects(good.unionByName(_stray(spark, d)).withColumn("path", F.lit("file:/corpus/all.txt")))
 
 
 @query("breach_corpus", sql("SELECT prefix, suffix, breach_count FROM breach"))

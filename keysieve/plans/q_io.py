@@ -81,7 +81,7 @@ def split_parts(spark, d):
 
 
 _AUDIT_SQL = sql(f"""
-SELECT a.password, a.freq, {', '.join(audit.AUDIT_COLUMNS[2:14])}, a.password_strength,
+SELECT a.password, upper(sha1(a.password)) AS sha1, a.freq, {', '.join(audit.AUDIT_COLUMNS[3:15])}, a.password_strength,
        coalesce(b.breach_count, 0) AS breach_count, (b.breach_count IS NOT NULL)::INT AS exposed,
        CASE WHEN coalesce(b.breach_count, 0) >= 10 THEN 'common' ELSE 'rare' END AS common_or_rare
 FROM wlab a LEFT JOIN breach b
