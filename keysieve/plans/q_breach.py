@@ -14,8 +14,8 @@ from keysieve.sources import tables as T
 
 #: Candidates (a short string, a digest and two parts of it) that may be broadcast.
 BROADCAST_ROWS = 500_000
-#: Digests counted as often are written as range files, a file for each.
-COMMON = 10
+#: Digests counted as often are written as range files, a file for each, by so many tasks.
+COMMON, WRITERS = 20, 16
 #: Name of the bucketed corpus in the catalog; a later call takes its place.
 COMPACT_TABLE = "keysieve_compact_corpus"
 MATCH_COLS = ["password", "freq", "sha1", "prefix", "suffix", "breach_count"]
@@ -100,14 +100,14 @@ def _stray(spark, d):
 
 def range_files(spark, d):
     """The corpus as files on disk, in a folder that looks like a prefix.
-    Common digests are ``SUFFIX:COUNT`` lines in a folder per prefix, plain ones
+    Very common digests are ``SUFFIX:COUNT`` lines in a folder per prefix, plain ones
     with CRLF or gzipped ones; the others are ``SHA1:COUNT`` lines, with
     benchmark texts as stray lines between them."""
     r = T.breach_ranges(spark, d).withColumn("n", F.col("breach_count").cast("string"))
     ranged, path = r.where(F.col("breach_count") >= COMMON), f"{scratch_path(spark, 'ranges')}/20251"
     even = F.col("breach_count") % 2 == 0
     for part, end, codec in ((ranged.where(even), "\r", "none"), (ranged.where(~even), "", "gzip")):
-        (part.select("prefix", F.concat("suffix", F.lit(":"), "n", F.lit(end)).alias("value")).repartition("prefix")
+        (part.select("prefix", F.concat("suffix", F.lit(":"), "n", F.lit(end)).alias("value")).repartition(WRITERS, "prefix")
          .write.mode("append").partitionBy("prefix").option("compression", codec).text(path))
     rare = r.where(F.col("breach_count") < COMMON).select(F.concat(F.lower(F.concat("prefix", "suffix")), F.lit(":"), "n").alias("value"))
     rare.unionByName(_stray(spark, d)).write.mode("append").option("compression", "gzip").text(f"{path}/whole")

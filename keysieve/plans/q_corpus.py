@@ -8,7 +8,7 @@ from keysieve.config import scratch_path
 from keysieve.operators import breach_reduced as R
 from keysieve.operators import profile
 from keysieve.plans.oracle import sql
-from keysieve.plans.q_breach import COMMON, MATCH_COLS
+from keysieve.plans.q_breach import COMMON, MATCH_COLS, WRITERS
 from keysieve.plans.registry import query
 from keysieve.sources import breach as breach_src
 from keysieve.sources import corpus_store as store
@@ -46,13 +46,13 @@ def breach_bloom_match(spark, d):
 
 def write_range_files(lines, path):
     """``lines(prefix, value)`` as a folder ``prefix=0A1B2`` of text per prefix."""
-    lines.select("prefix", "value").repartition("prefix").write.partitionBy("prefix").text(path)
+    lines.select("prefix", "value").repartition(WRITERS, "prefix").write.partitionBy("prefix").text(path)
 
 
 @query("breach_refresh", sql("SELECT prefix, suffix, breach_count FROM breach"))
 def breach_refresh(spark, d):
     """A store of an older corpus brought up to date by range files. In the
-    prefixes of the common digests the store has older counts and a digest that
+    prefixes of the very common digests the store has older counts and a digest that
     is no longer listed; only these are downloaded again."""
     now = T.breach(spark, d)
     ranges = breach_src.with_range(now)

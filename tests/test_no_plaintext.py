@@ -10,10 +10,8 @@ from keysieve.plans.registry import QUERIES, load_all
 
 load_all()
 
-STAGING = ["breach_match_broadcast", "breach_bloom_match", "breach_pruned_match", "breach_watchlist", "breach_refresh",
-           "balanced_train", "balanced_test", "union_by_class", "holdout_anti_join", "balanced_exact",
-           "balanced_class_counts", "native_sample", "heavy_hitters", "length_quantiles_merged", "exposure_set_sizes",
-           "rf_balanced", "scored_set"]
+STAGING = ["breach_match_broadcast", "breach_bloom_match", "breach_watchlist", "balanced_train", "native_sample",
+           "heavy_hitters", "exposure_set_sizes", "scored_set"]
 
 
 def staged_files(spark):
