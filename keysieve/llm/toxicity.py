@@ -14,9 +14,11 @@ number of marks tested, so the rule is the same at every size). A text's score
 is the noisy-or of its marks' smoothed rates, else the rate of texts without.
 
 Marks are learned from labelled documents of the training folds only, at most
-about ``SAMPLE`` of them (drawn by a hash), one per opening and one per least
-shingle hash, so a text with thousands of near-copies counts about once. Label, language, source and id are never
-inputs of a score.
+about ``SAMPLE`` of them (drawn by a hash). Of near-copies with one label, found
+by MinHash keys and verified over all their five-word shingles, one counts, so
+that a text with thousands of copies does not outweigh the others; texts that
+share a header or a passage each count. Label, language, source and id are
+never inputs of a score.
 
 Defined results: a null or empty text has no marks and gets that base score; a
 null id is held out; rows that repeat an id are scored each; of labels that
@@ -44,8 +46,10 @@ from keysieve.llm.decontam import SHINGLE, shingle_hashes, words
 from keysieve.operators.lineage import materialize
 
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-#: Labelled documents that marks are learned from; characters of an opening; the largest lexicon.
-SAMPLE, OPENING, MAX_MARKS = 40_000, 64, 100_000
+#: Labelled documents that marks are learned from.
+SAMPLE = 40_000
+#: Least share of common shingles of near-copies; keys by which they are found.
+SAME, BANDS = 0.8, 4
 #: False marks expected in all; least rate of toxic documents among those with the mark.
 FALSE_MARKS, MIN_RATE = 0.01, 0.9
 PREFIXES = (4, 5, 6, 7, 8)
@@ -285,9 +289,46 @@ class Model:
         return F.pandas_udf(lambda s: shared.value.score(s), "double")(text)
 
 
+def family_keys(found: DataFrame) -> DataFrame:
+    """``(row, toxic, key)``: ``BANDS`` keys of each row of ``found(row, toxic,
+    h)``, a non-empty array of shingle hashes: pairs of MinHash values."""
+    draw = np.random.default_rng(7)
+    factors, shifts = (draw.integers(1, 1 << 63, 2 * BANDS, dtype=np.uint64) for _ in range(2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(2)
+            h = lists.flatten().to_numpy().view(np.uint64)
+            starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+            for k in range(BANDS):
+                key = np.zeros(len(starts), np.uint64)
+                for j in (2 * k, 2 * k + 1):
+                    x = (h ^ shifts[j]) * (factors[j] | np.uint64(1))
+                    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                    key = (key ^ np.minimum.reduceat(x, starts)) * (factors[j] | np.uint64(1)) if len(starts) else key
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array((key + np.uint64(k)).view(np.int64))],
+                                                 names=["row", "toxic", "key"])
+
+    return found.select("row", "toxic", "h").mapInArrow(run, "row long, toxic int, key long")
+
+
+def near_copies(found: DataFrame) -> DataFrame:
+    """Rows of the table ``found(row, toxic, h)`` that are near-copies, by all
+    their shingles, of a row of the same label and a smaller number. Rows that
+    share a key are compared with the least of them only: a key that unlike
+    texts share (a header's) drops none, and no group is compared pair by pair."""
+    keyed = materialize(family_keys(found), "family-keys")
+    first = keyed.groupBy("key", "toxic").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    pairs = keyed.join(first, ["key", "toxic"]).where("row <> first").select("row", "first").distinct()
+    one, other = found.select("row", "h"), found.select(F.col("row").alias("first"), F.col("h").alias("g"))
+    both = F.size(F.array_intersect("h", "g"))
+    return (pairs.join(one, "row").join(other, "first")
+            .where(both >= SAME * (F.size("h") + F.size("g") - both)).select("row").distinct())
+
+
 def training_ids(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``(doc_id, toxic)``: training-fold labelled documents, at most about
-    ``sample``, one of each family of near-copies with the same label."""
+    ``sample``, without verified near-copies of others with the same label."""
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .dropna().where(id_bucket("doc_id", FOLDS) != HELD_OUT)
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -298,14 +339,13 @@ def training_ids(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
         lab = lab.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < share)
     # Broadcast: at most about ``sample`` rows of an id and a flag.
     # The words are a column of their own: inside the lambda they would be cut again per shingle.
-    found = texts(docs).join(F.broadcast(lab), "doc_id").select(
-        "doc_id", "toxic", F.xxhash64(F.substring("text", 1, OPENING)).alias("opening"),
-        words(F.col("text")).alias("w")).select(
-        "doc_id", "toxic", "opening", F.array_min(shingle_hashes(F.col("w"), SHINGLE)).alias("least"))
-    # Near-copies share their opening or their least shingle hash.
-    one = found.groupBy("opening", "toxic").agg(F.min(F.struct("doc_id", "least")).alias("r"))
-    return (one.groupBy("toxic", "r.least").agg(F.min("r.doc_id").alias("doc_id"))
-            .select("doc_id", "toxic"))
+    found = texts(docs).join(F.broadcast(lab), "doc_id").select("doc_id", "toxic", words(F.col("text")).alias("w"))
+    h = F.array_distinct(shingle_hashes(F.col("w"), SHINGLE))
+    # Texts without words are copies of each other. Written, so the numbers stay.
+    found = materialize(found.select("doc_id", "toxic", F.when(F.size("w") > 0, h).otherwise(F.array(F.lit(0).cast("long"))).alias("h"))
+                        .withColumn("row", F.monotonically_increasing_id()), "shingles")
+    gone = materialize(near_copies(found), "near-copies")
+    return found.join(gone, "row", "left_anti").select("doc_id", "toxic").distinct()
 
 
 def count_marks(t: DataFrame, lm: np.ndarray) -> DataFrame:
@@ -346,8 +386,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     gain = side(F.col("toxic"), share, F.lit(prior)) + side(F.col("clean"), 1 - share, F.lit(1 - prior))
     need = F.log(F.lit(max(1, marks.count()) / FALSE_MARKS))
     rate = (F.col("toxic") + 0.5) / (n + 1)
-    told = marks.where((gain > need) & (rate >= MIN_RATE)).select("mark", rate.alias("rate"), gain.alias("gain"))
-    lexicon = {r["mark"]: r["rate"] for r in told.orderBy(F.desc("gain"), "mark").limit(MAX_MARKS).collect()}
+    told = marks.where((gain > need) & (rate >= MIN_RATE)).select("mark", rate.alias("rate"))
+    # Some of the words of at most ``sample`` documents.
+    lexicon = {r["mark"]: r["rate"] for r in told.collect()}
     # Rate of toxic documents among the training documents without a mark.
     model = Model(lm, lexicon, 0.0)
     # Summed, not filtered: a filter on the score would be pushed below the join, to all documents.

@@ -100,3 +100,74 @@ def test_copies_of_a_text_count_once(spark, documents):
     rows = [(i, "an odd remark " * 8 if k < 40 else f"text {i} of its own " + "ab" * (i % 7)) for k, i in enumerate(train)]
     m = T.fit(documents(rows), labelled(spark, [(i, int(k < 40)) for k, i in enumerate(train)]))
     assert not m.marks
+
+
+def probe(header):
+    """1,200 labelled, pairwise different documents, 200 of them toxic with one mark."""
+    r = random.Random(3)
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1][:1200]
+    own = lambda: " ".join("".join(r.choice("aeioubdgkl") for _ in range(6)) for _ in range(40))
+    rows = [(i, header + own() + (" clearmark " if k < 200 else " ") + own()) for k, i in enumerate(ids)]
+    return rows, [(i, int(k < 200)) for k, i in enumerate(ids)]
+
+
+@pytest.mark.parametrize("header", ["", "A header of one site, the same on all of its pages, of well over sixty-four characters. "])
+def test_a_common_header_makes_no_family(spark, documents, header):
+    rows, lab = probe(header)
+    docs, labels = documents(rows), labelled(spark, lab)
+    assert T.training_ids(docs, labels).count() == 1200
+    m = T.fit(docs, labels)
+    assert "clearmark" in m.marks
+    assert (m.score(pd.Series([t for _, t in rows[:200]])) > T.THRESHOLD).all()
+
+
+def test_verified_near_copies_count_once(spark, documents):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("aeioubdgkl") for _ in range(6))
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    base = [[word() for _ in range(120)] for _ in range(5)]
+    rows, lab = [], []
+    for k, i in enumerate(ids[:600]):
+        w = list(base[k % 5])
+        w[r.randrange(120)] = word()  # one word of 120: five of 116 shingles differ
+        rows.append((i, " ".join(w)))
+        lab.append((i, 0))
+    rows += [(ids[600], rows[0][1]), (ids[601], None), (ids[602], ""), (ids[603], rows[0][1])]
+    lab += [(ids[600], 1), (ids[601], 0), (ids[602], 0), (ids[603], 1)]
+    got = [tuple(x) for x in T.training_ids(documents(rows), labelled(spark, lab)).collect()]
+    # Five families, the toxic copies and the empty texts: one of each, or little more.
+    assert 7 <= len(got) <= 10 and sum(t for _, t in got) == 1
+
+
+def paths(token):
+    """All readings of a lattice and their costs."""
+    out = [("", 0.0)]
+    for options in T.lattice(token):
+        out = [(t + x, c + k) for t, c in out for x, k in options]
+    return out
+
+
+def test_restore_finds_the_likeliest_reading(model):
+    lm, r = model.lm.tolist(), random.Random(5)
+    for _ in range(300):
+        token = "".join(r.choice("abdeilost013457@$!*.") for _ in range(r.randint(1, 6)))
+
+        def value(text, cost):
+            c = [0, 0, *(T.CLASS.get(x, T.N_CLASSES - 1) for x in text), 0]
+            return cost + sum(lm[a][b][d] for a, b, d in zip(c, c[1:], c[2:]))
+
+        best = max(value(t, c) for t, c in paths(token))
+        top = T.restore(token, lm, best=1)
+        got = max((value(t, c) for t, c in paths(token) if t.split() == top), default=None)
+        assert got == pytest.approx(best, abs=1e-4), token
+
+
+def test_score_is_a_recount_of_marks(spark, model):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    texts, reader = [x["text"] for x in rows], T.Reader(model.lm)
+    for t, s in zip(texts, model.score(pd.Series(texts)), strict=True):
+        marks = {m for w in reader.words(t or "") for m in T.marks_of(w)} & model.marks.keys()
+        clean = 1 - model.base
+        for m in marks:
+            clean *= 1 - model.marks[m]
+        assert s == pytest.approx(1 - clean, abs=1e-9)
