@@ -45,8 +45,16 @@ def test_stages_keep_columns_and_odd_rows(spark, sf_dir, documents, odd_rows):
         assert out.columns == docs.columns, name
         assert stage(spark, documents([]), sf_dir).isEmpty()
     kept = sorted((r[0] is None, r[0]) for r in corpus_pipeline.drop_copies(spark, docs, sf_dir).select("doc_id").collect())
-    assert [d for none, d in kept if not none] == [2, 5, 5, 6, 7, 8, 10, 11, 13, 14, 15, 16]
-    assert sum(none for none, _ in kept) == 2
+    assert [d for none, d in kept if not none] == [2, 5, 6, 7, 8, 10, 11, 13, 14, 15, 16]
+    assert sum(none for none, _ in kept) == 1  # "lonely"; the other text without an id is that of 6
+
+
+def test_exact_copies_decide_per_row(spark, sf_dir, documents):
+    rows = [(None, "a text"), (None, "a text"), (None, "at e xt"), (5, "a text"), (5, "other"), (3, "a  text"), (2, "a  text"), (None, None)]
+    got = rows_of(corpus_pipeline.drop_copies(spark, documents(rows), sf_dir))
+    assert sorted(got, key=str) == sorted([(2, "a  text"), (5, "other"), (None, None)], key=str)
+    many = [(None, "same")] * 400 + [(None, "sa me")] * 3 + [(8, "same")]
+    assert sorted(rows_of(corpus_pipeline.drop_copies(spark, documents(many), sf_dir))) == [(None, "sa me")]
 
 
 def test_decontamination_decides_per_row(spark, sf_dir, documents):
