@@ -24,7 +24,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import HashingTF, IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -145,6 +145,19 @@ def fit_sequence_model(train: DataFrame, pos: list[str], label_col: str = "passw
     return PipelineModel(stages=fitted.stages + [back])
 
 
+def fit_ngram_model(train: DataFrame, col: str = "grams", label_col: str = "password_strength", buckets: int = 1 << 12,
+                    max_iter: int = 50, reg: float = 1e-4) -> PipelineModel:
+    """Multinomial logistic regression over the counts of hashed n-grams
+    (``functions.ngrams.buckets``), as sparse vectors of ``buckets`` places.
+    Sees which character sequences occur, not where."""
+    idx = fit_indexer(train, [label_col], [LABEL], handle_invalid="error")
+    counts = HashingTF(inputCol=col, outputCol=FEATURES, numFeatures=buckets)
+    est = LogisticRegression(labelCol=LABEL, featuresCol=FEATURES, family="multinomial", maxIter=max_iter, regParam=reg)
+    fitted = Pipeline(stages=[idx, counts, est]).fit(train)
+    back = IndexToString(inputCol=PREDICTION, outputCol=PRED_COL, labels=idx.labelsArray[0])
+    return PipelineModel(stages=fitted.stages + [back])
+
+
 def cross_validate(train: DataFrame, estimator, grid, label_col: str = LABEL,
                    fold_col: str = "fold", parallelism: int = 2,
                    metric: str = "accuracy") -> CrossValidatorModel:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from keysieve.functions import sequence, sql_surface
+from pyspark.sql import functions as F
+
+from keysieve.functions import ngrams, sequence, sql_surface
 from keysieve.functions.charclass import FLAG_COLUMNS
 from keysieve.operators import breach, features
-from keysieve.plans.oracle import FEATURE_NAMES, encode_sql, sql
+from keysieve.plans.oracle import FEATURE_NAMES, encode_sql, md5_bits, sql
 from keysieve.plans.registry import query
 from keysieve.sources import tables as T
 
@@ -90,3 +92,16 @@ def sql_functions(spark, d):
         SELECT password, {flags}, pw_sha1(password) AS sha1, pw_range_prefix(password) AS prefix,
                pw_range_suffix(password) AS suffix, pw_encode(password) AS encoded_pass
         FROM pw_candidates WHERE pw_strength(password) <> 'weak'""")
+
+
+@query("hashed_ngrams", sql(f"""
+SELECT password, count(*) AS grams, count(DISTINCT bucket) AS buckets, sum(bucket)::BIGINT AS bucket_sum
+FROM (SELECT password, {md5_bits('substr(s, i, n)', ngrams.SALT)} % {ngrams.BUCKETS} AS bucket
+      FROM (SELECT password, chr(2) || lower(password) || chr(3) AS s, unnest([1, 2, 3]) AS n FROM candidates),
+           LATERAL (SELECT unnest(range(1, length(s) - n + 2)) AS i))
+GROUP BY password"""))
+def hashed_ngrams(spark, d):
+    """Buckets of each candidate's character n-grams: their number, distinct ones and sum."""
+    b = T.candidates(spark, d).select("password", ngrams.buckets("password").alias("b"))
+    return b.select("password", F.size("b").cast("bigint").alias("grams"), F.size(F.array_distinct("b")).cast("bigint").alias("buckets"),
+                    F.aggregate("b", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("bucket_sum"))

@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keysieve.config import scratch_path
+from keysieve.functions import ngrams
 from keysieve.operators import breach as B
 from keysieve.operators import features
+from keysieve.operators import grid as G
 from keysieve.operators import metrics as M
 from keysieve.operators import models as ML
 from keysieve.operators import sampling as S
@@ -43,13 +45,13 @@ def exposure(spark, d):
     return features.with_frequency_band(m)
 
 
-def staged(spark, d, with_sequence: bool = False, with_id: bool = False) -> DataFrame:
+def staged(spark, d, with_sequence: bool = False, with_id: bool = False, with_grams: bool = False) -> DataFrame:
     """What the models need of every candidate, as a table without plaintext;
-    the encoded sequence only for the models that read it, the digest only
-    where rows are given out."""
+    the encoded sequence or the grams' buckets only for the models that read
+    them, the digest only where rows are given out."""
     ex, pos = ML.sequence_columns(exposure(spark, d)) if with_sequence else (exposure(spark, d), [])
     return materialize(ex.select(
-        *ML.STRENGTH_FEATURES, "has_letter_and_digit", "password_strength", "common_or_rare", *pos, *["sha1"] * with_id,
+        *ML.STRENGTH_FEATURES, "has_letter_and_digit", "password_strength", "common_or_rare", *pos, *["sha1"] * with_id, *[ngrams.buckets("password").alias("grams")] * with_grams,
         S.hash_bits("password", S.SALT_BALANCE).alias("balance_bits"),
         S.below_fraction(S.hash_bits("password", S.SALT_SPLIT), TRAIN_FRACTION).alias("in_train"),
         (S.hash_bits("password", S.SALT_FOLD) % FOLDS).cast("int").alias("fold"),
@@ -59,11 +61,11 @@ def staged(spark, d, with_sequence: bool = False, with_id: bool = False) -> Data
 POSITIONS = [f"pos_{i:02d}" for i in range(20)]
 
 
-def balanced(spark, d, with_sequence: bool = False, with_id: bool = False):
+def balanced(spark, d, **with_columns: bool):
     """(train, test) of the balanced split. The training side (about PER_CLASS
     rows per class) is read by many fit passes, so it is staged too; the
     held-out side is scored in one pass."""
-    tagged = S.balanced_flags(staged(spark, d, with_sequence, with_id).drop("in_train"), PER_CLASS,
+    tagged = S.balanced_flags(staged(spark, d, **with_columns).drop("in_train"), PER_CLASS,
                               out="in_train", bits="balance_bits")
     return (materialize(tagged.where("in_train"), "train"), tagged.where(~F.col("in_train")))
 
@@ -81,7 +83,7 @@ def report(pred, model: PipelineModel | None = None):
 
 
 #: Macro F1 on held-out rows that a model must reach.
-TREE_FLOOR, SEQUENCE_FLOOR = 0.95, 0.78
+TREE_FLOOR, SEQUENCE_FLOOR, NGRAM_FLOOR = 0.95, 0.78, 0.65
 
 
 def quality(pred: DataFrame, floor: float) -> DataFrame:
@@ -290,6 +292,15 @@ def seq_perceptron(spark, d):
     return train, model, ML.predict(model, test)
 
 
+@model_query("seq_ngrams", held_sql(_BAL, "baltag"), NGRAM_FLOOR)
+def seq_ngrams(spark, d):
+    """Sequence model: logistic regression over hashed character n-grams, which
+    sees neither places nor length, so it is weaker than the positional ones."""
+    train, test = balanced(spark, d, with_grams=True)
+    model = ML.fit_ngram_model(train)
+    return train, model, ML.predict(model, test)
+
+
 _GRID = """grid AS (SELECT unnest([2, 4, 6])::INT AS max_depth, imp AS impurity
                     FROM (SELECT unnest(['gini', 'entropy']) AS imp))"""
 
@@ -352,6 +363,25 @@ def rf_balanced_tuned(spark, d):
     return tuning_flow(spark, *balanced(spark, d))
 
 
+@query("cv_grid_resumed", sql(f"""
+SELECT max_depth, impurity, {FOLDS}::BIGINT AS folds, true AS is_share, {3 * FOLDS}::INT AS fitted_first, {3 * FOLDS}::INT AS fitted_then
+FROM grid""", _GRID))
+def cv_grid_resumed(spark, d):
+    """The grid search of ``cv_grid`` as finished stages: a first run over half
+    of the points, then one over all, which fits only what was left."""
+    train, _ = balanced(spark, d)
+    lab = ML.fit_indexer(train, ["password_strength"], [ML.LABEL], handle_invalid="error")
+    table = ML.assembled(lab.transform(train), ML.STRENGTH_FEATURES)
+    rf, root = ML.random_forest(), scratch_path(spark, "grid")
+    grid = ML.depth_impurity_grid(rf)
+    _, first = G.search(table, rf, grid[:3], root, range(FOLDS))
+    scores, then = G.search(table, rf, grid, root, range(FOLDS))
+    point = F.from_json("parameters", "maxDepth string, impurity string")
+    return G.mean_scores(scores).select(
+        point["maxDepth"].cast("int").alias("max_depth"), point["impurity"].alias("impurity"), "folds",
+        F.col("metric").between(0, 1).alias("is_share"), F.lit(first).alias("fitted_first"), F.lit(then).alias("fitted_then"))
+
+
 @query("feature_importance", sql(
     "SELECT unnest(" + str(ML.STRENGTH_FEATURES_BAND) + ") AS feature, true AS is_share, 1.0::DOUBLE AS total"))
 def feature_importance(spark, d):
