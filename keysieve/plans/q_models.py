@@ -27,6 +27,7 @@ from keysieve.operators import grid as G
 from keysieve.operators import metrics as M
 from keysieve.operators import models as ML
 from keysieve.operators import sampling as S
+from keysieve.operators.importance import permutation_importance
 from keysieve.operators.lineage import materialize
 from keysieve.plans.oracle import md5_bits, sql
 from keysieve.plans.q_sampling import BALANCED_CTES as _BAL
@@ -401,6 +402,31 @@ def importances(spark, d):
                                  ML.STRENGTH_FEATURES_BAND)
 
 
+def permuted_importances(spark, d, seed: int = 0):
+    """Permutation importances of the balanced forest on the held-out rows,
+    with a constant as one more feature of the model."""
+    train, test = (df.withColumn("constant", F.lit(1)) for df in balanced(spark, d, with_id=True))
+    names = [*ML.STRENGTH_FEATURES, "constant"]
+    model = ML.fit_strength_model(train, ML.random_forest(), names)
+    rows = materialize(test.select("sha1", "password_strength", *names), "held-out")
+    hit = (F.col(M.TRUE_COL) == F.col(M.PRED_COL)).cast("double")
+    return permutation_importance(lambda x: ML.predict(model, x), rows, names, "sha1", hit, seed)
+
+
+@query("permutation_importance", sql(f"""
+SELECT feature, count(*) AS rows, true AS in_bounds, feature = 'constant' AS is_constant, feature = 'length' AS matters
+FROM baltag, (SELECT unnest({[*ML.STRENGTH_FEATURES, "constant"]}) AS feature) WHERE NOT in_train GROUP BY feature""", _BAL))
+def permutation_importance_checks(spark, d):
+    """Per feature: rows scored, importance within a share's bounds, nothing for
+    the constant, and over a twentieth of the accuracy for the length, which the
+    label depends on most."""
+    imp = F.col("importance")
+    return permuted_importances(spark, d).select(
+        "feature", "rows", imp.between(-0.01, 1).alias("in_bounds"),
+        ((F.col("feature") == "constant") & (imp == 0)).alias("is_constant"),
+        ((F.col("feature") == "length") & (imp > 0.05)).alias("matters"))
+
+
 @query("score_full", sql(f"""
 SELECT ({md5_bits('password', S.SALT_PARTS)} % {PARTS})::INT AS split_id, count(*) AS n, true AS balanced_accuracy_ok
 FROM baltag WHERE NOT in_train GROUP BY 1""", _BAL))
