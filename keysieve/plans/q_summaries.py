@@ -53,6 +53,7 @@ def exposure_set_sizes(spark, d):
         F.count(F.lit(1)).alias("candidates"), F.sum("exposed").cast("bigint").alias("exposed"))
     exact = exact.withColumn("unexposed", F.col("candidates") - F.col("exposed"))
     est = Y.set_sizes(a, b).select(*(F.col(c).alias(f"e_{c}") for c in ("candidates", "exposed", "unexposed")), "error")
-    both = exact.select(F.lit(1).alias("k"), "*").join(est.select(F.lit(1).alias("k"), "*"), "k")  # a row each
+    both = exact.unionByName(est, allowMissingColumns=True)  # a row each
+    both = both.agg(*(F.max(c).alias(c) for c in both.columns))
     return both.select("candidates", "exposed", "unexposed", *(
         (F.abs(F.col(c) - F.col(f"e_{c}")) <= F.col("error")).alias(f"{c}_within") for c in ("candidates", "exposed", "unexposed")))
