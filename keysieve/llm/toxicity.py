@@ -15,9 +15,10 @@ is the noisy-or of its marks' smoothed rates, else the rate of texts without.
 
 Marks are learned from labelled documents of the training folds only, at most
 about ``SAMPLE`` of them (drawn by a hash). Of near-copies with one label, found
-by MinHash keys and verified over all their five-word shingles, one counts, so
-that a text with thousands of copies does not outweigh the others; texts that
-share a header or a passage each count. Label, language, source and id are
+by MinHash keys and verified over all their five-word shingles (half of which
+must be common, as in copies of one original), one counts, so that a text with
+thousands of copies does not outweigh the others; texts that share a header or
+a passage each count. Label, language, source and id are
 never inputs of a score.
 
 Defined results: a null or empty text has no marks and gets that base score; a
@@ -48,8 +49,9 @@ from keysieve.operators.lineage import materialize
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 #: Labelled documents that marks are learned from.
 SAMPLE = 40_000
-#: Least share of common shingles of near-copies; keys by which they are found.
-SAME, BANDS = 0.8, 4
+#: Least share of common shingles inside a family; keys by which its members are found. Two texts
+#: that are each 0.8-near to one original, which need not be labelled, have half in common or more.
+SAME, BANDS = 0.5, 4
 #: False marks expected in all; least rate of toxic documents among those with the mark.
 FALSE_MARKS, MIN_RATE = 0.01, 0.9
 PREFIXES = (4, 5, 6, 7, 8)
