@@ -16,9 +16,10 @@ def shingles(text, k=5):
 def brute(docs, items, t=0.8):
     out = set()
     for d, x in docs:
-        ds = shingles(x)
         for i, y in items:
             s = shingles(y)
+            # A short item has one shingle, of all its words.
+            ds = shingles(x, min([5, *(len(v.split()) for v in s)]))
             if s and len(s & ds) >= t * len(s) - 1e-9:
                 out.add((d, i, len(s & ds), len(s)))
     return out
@@ -54,6 +55,16 @@ def test_odd_rows(spark, documents, odd_rows):
     assert run(spark, documents, [], items) == set() == run(spark, documents, odd_rows, [])
 
 
+def test_short_items_inside_long_documents(spark, documents):
+    items = [(1, "lazy"), (2, "lazy dog"), (3, "the lazy dog"), (4, "lazy dog and more"), (5, "jumps over the lazy dog"),
+             (6, "more"), (7, "dog lazy"), (8, "LAZY, dog!"), (9, "absent"), (10, "over the lazy dog and more or less today")]
+    docs = [(1, "a quick brown fox jumps over the lazy dog and more of the same"), (2, "lazy"), (3, "The lazy dog"),
+            (4, "lazydog more"), (None, "lazy dog"), (5, None), (6, repeat_words(5000, 3) + " lazy dog " + repeat_words(5000, 4))]
+    got = run(spark, documents, docs, items)
+    assert got == brute(docs, items)
+    assert {i for d, i, *_ in got if d == 1} == {1, 2, 3, 4, 5, 6, 8}
+
+
 def test_sketch_covers_what_a_match_may_lack(spark):
     items = spark.createDataFrame([(i, repeat_words(n, i, tuple(f"v{k}" for k in range(500))))
                                    for i, n in enumerate((1, 5, 6, 9, 14, 15, 30, 59, 60, 200))], "item_id long, text string")
