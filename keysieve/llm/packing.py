@@ -1,9 +1,10 @@
 """Best-fit-decreasing packing of token pieces into fixed-length sequences.
 
 Documents are encoded, closed with an end id and, if longer than a sequence,
-cut into whole sequences (the first piece takes the rest). Pieces are packed by
-length only: groups of a bounded number of pieces, drawn by a hash, are packed
-independently, longest first, each into the open sequence with the least room
+cut into whole sequences (the first piece takes the rest). Pieces are numbered
+when they are written and packed by length only: groups of a bounded number of
+pieces, drawn by a hash of the number, so that equal rows are spread like all
+others, are packed independently, longest first, each into the open sequence with the least room
 that still fits. A segment tree over the remaining capacities (one leaf per
 capacity, holding how many open sequences have it) finds that sequence in
 log2(capacity) steps. The number of groups grows with the pieces, so no task
@@ -112,29 +113,32 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """``cut`` (its columns and ``length``) with ``sequence_id`` and ``offset``.
-    ``cut`` should be a table: it is counted, then read once more."""
-    n_groups = max(1, math.ceil(cut.count() / group))
-    cols = cut.columns
-    rows = cut.withColumn("__group", F.pmod(F.xxhash64(*cols), F.lit(n_groups)).cast("int"))
+    """``cut`` (its columns and ``length``) with ``sequence_id`` and ``offset``."""
+    # The numbers are fixed once the rows are written.
+    rows = materialize(cut.withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    n_groups = max(1, math.ceil(rows.count() / group))
 
     def packed(g: pa.Table) -> pa.Table:
         # A full order, so that a lost task packs alike when it runs again.
-        g = g.sort_by([("length", "descending"), *((c, "ascending") for c in cols if c != "length")])
+        g = g.sort_by([("length", "descending"), ("__row", "ascending")])
         bins, offsets = best_fit(g["length"].to_numpy(), capacity)
         ids = bins * n_groups + g["__group"].to_numpy()
-        return (g.drop_columns("__group").append_column("sequence_id", pa.array(ids, pa.int64()))
+        return (g.drop_columns(["__row", "__group"]).append_column("sequence_id", pa.array(ids, pa.int64()))
                 .append_column("offset", pa.array(offsets, pa.int64())))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return rows.groupBy("__group").applyInArrow(packed, f"{schema}, sequence_id long, offset long")
+    return grouped(rows, n_groups).groupBy("__group").applyInArrow(packed, f"{schema}, sequence_id long, offset long")
+
+
+def grouped(rows: DataFrame, n_groups: int) -> DataFrame:
+    """Numbered rows dealt to groups by a hash of their number."""
+    return rows.withColumn("__group", F.pmod(F.xxhash64("__row"), F.lit(n_groups)).cast("int"))
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
                    end_id: int = END_ID, group: int = GROUP) -> DataFrame:
     """Per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-    cut = materialize(pieces(docs, path, capacity, end_id, with_ids=False), "pieces")
-    return pack(cut, capacity, group)
+    return pack(pieces(docs, path, capacity, end_id, with_ids=False), capacity, group)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, path: str | None = None, capacity: int = CAPACITY,

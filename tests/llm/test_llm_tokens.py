@@ -124,6 +124,15 @@ def test_pack_in_groups(spark, sf_dir, tokenizer):
     assert n <= 1.01 * -(-total // 1024) + 1
 
 
+def test_equal_rows_without_an_id_are_spread(spark):
+    docs = spark.range(100_000).selectExpr("cast(null as long) as doc_id", "'one two three' as text")
+    packed = P.pack_documents(docs, group=1000)
+    sizes = [r["count"] for r in packed.groupBy((F.col("sequence_id") % 100).alias("g")).count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) == 100 and max(sizes) <= 2000
+    used = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("offset").alias("last")).collect()
+    assert all(r["n"] <= 1024 for r in used) and len(used) <= 1.01 * sum(r["n"] for r in used) / 1024 + 100
+
+
 def test_sequences_hold_the_documents(documents, tokenizer):
     rows = [(i, "one two three " * i) for i in range(0, 700, 50)]
     docs = documents(rows)
