@@ -10,8 +10,8 @@ latest start at that height. Both are window functions.
 
 The sweep runs twice: over hosts, which finds the innermost rule host and with
 it the chain of rule hosts around it; then, for every rule host of the chain,
-over paths. Each sweep is split into ``salts`` independent ones by a hash of
-the row, so a host with a third of all pages is spread over tasks; the rules
+over paths. Each sweep is split into independent ones by a hash of the row,
+of at most about ``PER_SALT`` rows (the number follows the table), so a host with a third of all pages is spread over tasks; the rules
 (not the pages) are repeated for each.
 
 Defined results: a url that is null or has no ``://`` has an empty host and
@@ -23,6 +23,7 @@ host are no rules; repeated rows come back each; an empty table gives an empty r
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from keysieve.llm.common import ascii_lower
 
-SALTS = 64
+#: Rows of one independent sweep, and the fewest sweeps.
+PER_SALT, SALTS = 500_000, 64
 END = b"\xff"
 
 
@@ -92,8 +94,9 @@ def clean_rules(rules: DataFrame) -> DataFrame:
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                default: str = "allow", salts: int = SALTS) -> DataFrame:
+                default: str = "allow", salts: int | None = None, per_salt: int = PER_SALT) -> DataFrame:
     """Per row: ``page_id, host, path, rule, verdict``."""
+    salts = salts or max(SALTS, math.ceil(pages.count() / per_salt))
     r = clean_rules(rules)
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))

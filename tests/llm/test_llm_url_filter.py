@@ -43,6 +43,8 @@ def test_random_rules(spark):
                 f"{r.choice(paths)}{r.choice(['', '2', '/x', '?q=/es/', '#es'])}") for i in range(400)]
     for n in (0, 1, 5, 40):
         assert run(spark, urls, rules[:n], salts=4) == brute(urls, rules[:n])
+    # More sweeps than the least number: the number follows the table.
+    assert run(spark, urls, rules, per_salt=3) == brute(urls, rules)
 
 
 def test_odd_urls(spark):
