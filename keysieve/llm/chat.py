@@ -11,14 +11,15 @@ chained 256-bit digests of role and text.
 
 Defined results: rows that repeat a conversation, turn, role and text count
 once; turns are ordered by number (null first), then role, then text; a null
-role is ``user``, a null text is empty; rows with a null conversation id form
-one conversation; markers inside a text are broken up (``<|`` becomes ``< |``);
+role is ``user``, a null text is empty; a row with a null conversation id is a
+conversation of its own, of one turn without a number (rows of equal role and
+text once); markers inside a text are broken up (``<|`` becomes ``< |``);
 an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, STOP = "<|im_start|>", "<|im_end|>"
@@ -26,19 +27,27 @@ START, STOP = "<|im_start|>", "<|im_end|>"
 
 def conversations(turns: DataFrame) -> DataFrame:
     """``(conv_id, turns)``: each conversation's turns in order."""
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+    conv = F.col("conv_id").cast("long")
+    rows = turns.select(conv.alias("conv_id"), F.when(conv.isNotNull(), F.col("turn").cast("long")).alias("turn"),
                         F.coalesce("role", F.lit("user")).alias("role"),
                         F.coalesce("text", F.lit("")).alias("text")).distinct()
-    return rows.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    # Rows without an id are set apart by what they say, and so spread over all tasks.
+    alone = F.when(F.col("conv_id").isNull(), one_turn("role", "text"))
+    return rows.groupBy("conv_id", alone.alias("alone")).agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")).drop("alone")
+
+
+def one_turn(role: Column | str, text: Column | str) -> Column:
+    """Digests of role and text, one after the other."""
+    return F.concat(*(F.sha2((F.col(c) if isinstance(c, str) else c).cast("binary"), 256) for c in (role, text)))
 
 
 def with_prefix_hashes(convs: DataFrame) -> DataFrame:
     """Adds ``hashes``: entry i digests the first i turns (role and text)."""
     # The empty array of the right type; the digest of a prefix extends that of the one before.
     none = F.slice(F.array(F.lit("")), 1, 0)
-    digest = lambda before, t: F.sha2(F.concat(
-        before, F.sha2(t["role"].cast("binary"), 256), F.sha2(t["text"].cast("binary"), 256)).cast("binary"), 256)
+    digest = lambda before, t: F.sha2(
+        F.concat(before, one_turn(t["role"], t["text"])).cast("binary"), 256)
     return convs.withColumn("hashes", F.aggregate("turns", none, lambda acc, t: F.concat(
         acc, F.array(digest(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit("")), t)))))
 
@@ -51,8 +60,10 @@ def maximal(hashed: DataFrame) -> DataFrame:
                 .select((F.col("i") + 1).alias("n_turns"), "whole").distinct())
     same = h.groupBy("n_turns", "whole").agg(F.min("conv_id").alias("first_id"),
                                              F.count(F.lit(1)).alias("n_copies"))
-    stay = same.join(extended, ["n_turns", "whole"], "left_anti").select("first_id", "n_copies")
-    return h.drop("hashes", "whole").join(stay, h["conv_id"].eqNullSafe(stay["first_id"])).drop("first_id")
+    stay = same.join(extended, ["n_turns", "whole"], "left_anti")
+    # By content too: conversations without an id differ in it.
+    return (h.drop("hashes").join(stay, ["n_turns", "whole"])
+            .where(F.col("conv_id").eqNullSafe(F.col("first_id"))).drop("first_id", "whole"))
 
 
 def render(turns_col: str = "turns"):

@@ -30,10 +30,10 @@ def op1(spark, d):
 
 
 @query("op2_chat_formatting", r"""
-WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
-           FROM conversations),
+WITH t AS (SELECT DISTINCT conv_id, CASE WHEN conv_id IS NOT NULL THEN turn END AS turn,
+             coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations),
 c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn, role, text) AS turns, count(*)::INT AS n_turns
-      FROM t GROUP BY conv_id),
+      FROM t GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN {'r': role, 't': text} END),
 p AS (SELECT DISTINCT i.n AS n_turns, c.turns[1:i.n] AS turns
       FROM c, LATERAL (SELECT unnest(range(1, c.n_turns)) AS n) i),
 u AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, n_turns, turns FROM c GROUP BY n_turns, turns)

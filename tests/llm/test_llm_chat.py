@@ -4,14 +4,17 @@ from keysieve.llm import chat as C
 
 
 def brute(rows):
+    # A row without an id is a conversation of its own.
     convs = {}
     for conv, turn, role, text in set(rows):
-        convs.setdefault(conv, []).append((turn is not None, turn or 0, role or "user", text or ""))
+        row = (turn is not None, turn or 0, role or "user", text or "")
+        convs.setdefault((conv,) if conv is not None else (None, *row[2:]), set()).add(row if conv is not None else (0, 0, *row[2:]))
     turns = {c: tuple((r, t) for _, _, r, t in sorted(v)) for c, v in convs.items()}
     out = []
-    for c, v in turns.items():
-        same = sorted((x for x, u in turns.items() if u == v), key=lambda x: (x is None, x))
-        if any(u[:len(v)] == v and len(u) > len(v) for u in turns.values()) or same[0] != c:
+    for k, v in turns.items():
+        c = k[0]
+        same = sorted((x for x, u in turns.items() if u == v), key=lambda x: (x[0] is None, x))
+        if any(u[:len(v)] == v and len(u) > len(v) for u in turns.values()) or same[0] != k:
             continue
         text = "".join(f"<|im_start|>{r.replace('<|', '< |')}\n{t.replace('<|', '< |')}<|im_end|>\n" for r, t in v)
         out.append((c, len(v), len(same), text))
@@ -41,6 +44,16 @@ def test_odd_turns(spark):
     assert run(spark, []) == []
 
 
+def test_rows_without_an_id_stay_apart(spark):
+    rows = [(None, t, r, x) for t, r, x in ((0, "user", "hello"), (1, "assistant", "hi"), (0, "user", "other"), (7, "user", "other"),
+                                            (None, None, "other"), (0, "user", "a"), (0, "user", "alone"))]
+    rows += [(1, 0, "user", "a"), (2, 0, "user", "hello"), (2, 1, "user", "more")]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    # "hello" begins conversation 2, "a" is conversation 1.
+    assert [r[:3] for r in got] == [(1, 1, 2), (2, 2, 1)] + [(None, 1, 1)] * 3
+
+
 def test_many_copies(spark):
     rows = [(c, t, "user", f"t{t}") for c in range(2000) for t in range(1 + c % 3)]
     assert [r[:3] for r in run(spark, rows)] == [(2, 3, 666)]
