@@ -6,7 +6,9 @@ Burrows-Wheeler transforms are merged (``bwt_merge``) and the repeated
 intervals read off. Work is brought together by content, so that no task needs
 the whole corpus:
 
-1. Documents form blocks of a bounded number of bytes. The strings of a text
+1. Documents form blocks of a bounded number of bytes, dealt by a hash of id and
+   text; rows that repeat both over ``REPEATS`` times are numbered, written and
+   dealt by number too, so that no block gets them all. The strings of a text
    are grouped by their smallest ``GRAM``-byte hash (minimiser): equal strings
    have equal minimisers, and neighbouring strings mostly share one, so a text
    falls into segments, each a run of strings with one minimiser.
@@ -47,6 +49,7 @@ from pyspark.sql import functions as F
 
 from keysieve.llm.bwt_merge import DEPTH, LENGTH, merged
 from keysieve.llm.common import texts
+from keysieve.operators.lineage import materialize
 
 GRAM = 24
 #: Bytes of a block of documents, of a piece hashed at a time, of a shard.
@@ -56,6 +59,8 @@ BUCKETS_PER_BLOCK = 2
 #: Bytes of distinct segments (of a block each) from which a minimiser is hot; bytes of a usual
 #: segment at most, in which they are reported.
 HOT_BYTES, UNIT = 1 << 19, 2 * LENGTH - GRAM
+#: Rows of equal id and text that may share a block.
+REPEATS = 16
 #: Blocks whose minimisers are compared by one task.
 ASKED_BLOCKS = 4
 #: Bytes of a segment's name among those of its block.
@@ -387,16 +392,28 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
+def place(t: DataFrame, blocks: int, repeats: int = REPEATS) -> DataFrame:
+    """Rows ``(doc_id, text)`` with their ``block``, the same whenever it is computed."""
+    keyed = t.withColumn("key", F.xxhash64("doc_id", "text"))
+    often = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > repeats).select("key"),
+                        "often")
+    # A row's number is fixed once it is written.
+    many = materialize(keyed.join(often, "key", "left_semi").select(
+        "doc_id", "text", F.xxhash64("key", F.monotonically_increasing_id()).alias("key")), "repeated")
+    return (keyed.join(often, "key", "left_anti").select("doc_id", "text", "key").unionByName(many)
+            .select("doc_id", "text", F.pmod(F.col("key"), F.lit(blocks)).cast("int").alias("block")))
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = BLOCK_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, hot_bytes: int = HOT_BYTES,
+                 repeats: int = REPEATS) -> DataFrame:
     """Per row: ``doc_id, n_bytes, kept`` (the remaining bytes), ``span_starts,
     span_lengths`` (the maximal removed runs, in bytes)."""
     t = texts(docs, id_col, text_col)
     size = t.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     parts = max(1, math.ceil(blocks / ASKED_BLOCKS))
-    # By id and text, so that rows without an id are spread too.
-    placed = t.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    placed = place(t, blocks, repeats)
     told = (placed.groupBy("block").applyInArrow(_asker(parts), _ddl(ASKED))
             .groupBy("part").applyInArrow(_teller(hot_bytes), _ddl(TOLD)))
     answers = (placed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(

@@ -116,3 +116,17 @@ def test_frequent_phrase_is_dealt_to_all_buckets():
 def test_hot_minimisers_lose_no_link(documents, hot_bytes):
     rows = around(150) + [(None, "= " * 70 + PHRASE), (500, "= " * 90), (3, "= " * 60 + "x"), (501, "= " * 33 + PHRASE)]
     assert run(documents(rows), block_bytes=4000, hot_bytes=hot_bytes) == brute(rows)
+
+
+def test_equal_rows_are_spread_over_blocks(spark):
+    rows = spark.range(100_000).selectExpr("cast(null as long) as doc_id", "'one and the same text' as text")
+    sizes = [r["count"] for r in S.place(rows, 100).groupBy("block").count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) == 100 and max(sizes) <= 2000
+
+
+@pytest.mark.parametrize("repeats", [0, 3])
+def test_repeated_rows_cover_no_more_than_one(documents, repeats):
+    x, y = repeat_words(40, 1), repeat_words(40, 2)
+    rows = [(None, x)] * 60 + [(4, x)] * 30 + [(3, f"{y} {x}"), (9, y), (9, y), (None, f"{x} {y}"), (2, None), (2, None), (5, "")] * 5
+    assert run(documents(rows), block_bytes=800, repeats=repeats) == brute(rows)
+    assert run(documents(rows[60:]), block_bytes=800, repeats=repeats) == brute(rows[60:])
