@@ -3,13 +3,13 @@
 A text is normalised (ASCII white space deleted) and cut at places that its own
 characters decide, so copies are cut alike. Every chunk gets an identifier, and
 a text becomes its recipe: the ordered list of its chunks' identifiers. Equal
-texts have equal recipes; only recipes, a few bytes per kilobyte of text, are
-shuffled to find the groups.
+texts have equal recipes; recipes, some bytes per kilobyte of text, are shuffled
+to find the groups, not the texts.
 
-Identifiers are verified: the distinct chunks (combined on the map side, so a
-chunk that a third of the documents hold is shuffled once per task) must never
-share an identifier. If two do, the next longer identifier is taken. Equal
-recipes therefore mean equal texts, not just equal hashes.
+Identifiers are verified: the distinct chunks are shuffled once (combined on the
+map side, so a chunk that a third of the documents hold moves once per task) and
+must never share an identifier. If two do, the next longer identifier is taken;
+with 128 bits that is not expected for any corpus. Equal recipes therefore mean equal texts, not just equal hashes.
 
 Defined results: a null text is empty, and all empty or white-space texts are
 one group; a null id comes after every other id; rows that repeat an id and a
@@ -34,7 +34,7 @@ WHITE = r"[\x20\x09-\x0D]+"
 MIN_CHUNK, MAX_CHUNK, BOUNDARY = 512, 4096, "[d-f][m-p][e-k]"
 
 Identifier = Callable[[Column], Column]
-IDENTIFIERS: tuple[Identifier, ...] = (F.xxhash64, lambda c: F.sha2(c, 256))
+IDENTIFIERS: tuple[Identifier, ...] = (lambda c: F.unhex(F.md5(c.cast("binary"))), lambda c: F.sha2(c, 256))
 
 
 def normalise(text: Column) -> Column:
