@@ -17,12 +17,12 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 @query("op1_decontamination", r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-       lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM dw WHERE len(w) > 0),
-its AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+its AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
        lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM iw WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2),
+       lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM dw, (SELECT DISTINCT k FROM its) WHERE len(w) >= k),
 size AS (SELECT item_id, count(*)::INT AS n_shingles FROM its GROUP BY item_id),
-hit AS (SELECT doc_id, item_id, count(*)::INT AS shared FROM ds JOIN its USING (s) GROUP BY 1, 2)
+hit AS (SELECT doc_id, item_id, count(*)::INT AS shared FROM ds JOIN its USING (k, s) GROUP BY 1, 2)
 SELECT doc_id, item_id, shared, n_shingles, shared / n_shingles AS containment
 FROM hit JOIN size USING (item_id) WHERE shared >= 0.8 * n_shingles - 1e-9""")
 def op1(spark, d):
