@@ -1,7 +1,9 @@
 """A small gated recurrent language model in numpy.
 
-Words are factored into classes: a softmax over classes, then one inside the
-class. A unit's input weights are a row per input id, so no embedding product
+Frequent words are factored into classes: a softmax over classes, then one inside
+the class. The tail of less frequent words is factored once more: clusters, which
+are classes too, then groups of a cluster, then words of a group; a step learns
+only the groups it meets. A unit's input weights are a row per input id, so no embedding product
 is needed. Sequences run side by side in lanes, longest first, so that at every
 step the lanes still running are a prefix; each lane's state is carried from
 window to window, and gradients stop at the window's edge.
@@ -16,17 +18,22 @@ import numpy as np
 
 WINDOW, LANES = 32, 512
 NAMES = ("x", "u", "cw", "cb", "ww", "wb")
+#: Groups of a cluster of tail words, words of a group.
+GROUPS, PER_GROUP = 128, 16
 
 
 @dataclass
 class Sizes:
     """Targets: ``per_class`` word ids in each class, then the end, then
     ``rare`` (every other word); end and rare are classes of one id. Input ids
-    from ``rare`` on are kinds of rare words, ``n_in`` in all."""
+    from ``rare`` on are kinds of rare words, ``n_in`` in all. Ids from
+    ``tail_at`` on are ``tail`` words more, targets after ``rare``."""
     n_in: int
     n_classes: int
     per_class: int
     hidden: int
+    tail: int = 0
+    tail_at: int = 0
 
     @property
     def n_words(self) -> int:
@@ -40,25 +47,40 @@ class Sizes:
     def rare(self) -> int:
         return self.n_words + 1
 
+    @property
+    def clusters(self) -> int:
+        return -(-self.tail // (GROUPS * PER_GROUP))
+
+    def targets(self, y: np.ndarray) -> np.ndarray:
+        known = np.minimum(y, self.rare)
+        return np.where(y >= self.tail_at, y - self.tail_at + self.rare + 1, known) if self.tail else known
+
 
-def initial(s: Sizes, class_p: np.ndarray, word_p: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
+def initial(s: Sizes, class_p: np.ndarray, word_p: np.ndarray, seed: int = 7,
+            tail_p: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Output weights are zero and biases log-probabilities, so that training
-    starts from the unigram model. ``word_p[c, w]`` sums to one in each class."""
+    starts from the unigram model. ``word_p[c, w]`` sums to one in each class;
+    ``tail_p[c, g, w]`` are the tail's, in any unit."""
     rng, h = np.random.default_rng(seed), s.hidden
     p = {"x": rng.normal(0, 0.5, (s.n_in, 3 * h)), "u": rng.normal(0, h ** -0.5, (h, 3 * h)),
-         "cw": np.zeros((h, s.n_classes)), "cb": np.log(class_p),
+         "cw": np.zeros((h, s.n_classes + s.clusters)), "cb": np.log(class_p),
          "ww": np.zeros((s.n_classes - 2, h, s.per_class)), "wb": np.log(word_p)}
     p["x"][:, :h] += 1.0  # a state that lasts
+    if s.tail:
+        group_p = tail_p.sum(2)
+        p |= {"gw": np.zeros((s.clusters, h, GROUPS)), "gb": np.log(group_p / group_p.sum(1, keepdims=True)),
+              "tw": np.zeros((s.clusters * GROUPS, h, PER_GROUP)),
+              "tb": np.log(tail_p / group_p[:, :, None]).reshape(-1, PER_GROUP)}
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
 def flat(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in NAMES])
+    return np.concatenate([x.ravel() for x in p.values()])
 
 
 def unflat(v: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k in NAMES:
+    for k in like:
         out[k] = v[at:at + like[k].size].reshape(like[k].shape).astype(np.float32)
         at += like[k].size
     return out
@@ -107,10 +129,11 @@ def windows(docs: list[np.ndarray], start: int, width: int = WINDOW,
 
 
 class Runner:
-    """One pass over windows with a fixed or learning model."""
+    """One pass over windows with a fixed or learning model. ``inputs`` gives
+    each id's input row, if that isn't the id."""
 
-    def __init__(self, p: dict[str, np.ndarray], s: Sizes):
-        self.p, self.s = p, s
+    def __init__(self, p: dict[str, np.ndarray], s: Sizes, inputs: np.ndarray | None = None):
+        self.p, self.s, self.inputs = p, s, inputs
         self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
         self.steps, self.h = 0, np.zeros((s.hidden, 0), np.float32)
 
@@ -120,7 +143,7 @@ class Runner:
         p, k = self.p, self.s.hidden
         if first:
             self.h = np.zeros((k, at[0]), np.float32)
-        gates, kept, lo = np.take(p["x"].T, x, axis=1), [], 0
+        gates, kept, lo = np.ascontiguousarray(np.take(p["x"], x, axis=0).T), [], 0
         outs = np.empty((k, len(x)), np.float32)
         h, u = self.h, p["u"].T
         for n in at:
@@ -147,6 +170,9 @@ class Runner:
         p, k, n_classes = self.p, self.s.per_class, self.s.n_classes
         n_words = self.s.n_words
         cls = np.where(target < n_words, target // k, target - n_words + n_classes - 2)
+        if self.s.tail:
+            tail = np.flatnonzero(target > self.s.rare)
+            cls[tail] = n_classes + (target[tail] - self.s.rare - 1) // (GROUPS * PER_GROUP)
         logp, e, at = _log_softmax(p["cw"].T @ outs, p["cb"], cls)
         grad, d_out = {}, None
         if learn:
@@ -167,10 +193,58 @@ class Runner:
                 e[w, at] -= 1
                 grad["ww"][c], grad["wb"][c] = o @ e.T, e.sum(1)
                 d_out[:, own] += p["ww"][c] @ e
+        if self.s.tail and len(tail):
+            self._tail(outs, target, tail, learn, logp, grad, d_out)
         return logp, grad, d_out
 
+    def _tail(self, outs, target, tail, learn: bool, logp, grad, d_out) -> None:
+        """Adds what groups and words of a group say of the ``tail`` columns."""
+        p = self.p
+        tail = tail[np.argsort(target[tail], kind="stable")]
+        group, word = np.divmod(target[tail] - self.s.rare - 1, PER_GROUP)
+        cluster, place = np.divmod(group, GROUPS)
+        if learn:
+            grad["gw"], grad["gb"] = np.zeros_like(p["gw"]), np.zeros_like(p["gb"])
+        cuts = np.searchsorted(cluster, np.arange(self.s.clusters + 1))
+        for c in np.unique(cluster).tolist():
+            part = slice(cuts[c], cuts[c + 1])
+            own = tail[part]
+            o = outs[:, own]
+            lp, e, at = _log_softmax(p["gw"][c].T @ o, p["gb"][c], place[part])
+            logp[own] += lp
+            if learn:
+                e[place[part], at] -= 1
+                grad["gw"][c], grad["gb"][c] = o @ e.T, e.sum(1)
+                d_out[:, own] += p["gw"][c] @ e
+        o, w = np.ascontiguousarray(outs[:, tail].T), p["tw"][group]
+        e = (o[:, None, :] @ w)[:, 0]
+        e += p["tb"][group]
+        e -= e.max(1, keepdims=True)
+        at = np.arange(len(tail))
+        own = e[at, word]
+        np.exp(e, out=e)
+        total = e.sum(1)
+        logp[tail] += own - np.log(total)
+        if learn:
+            e /= total[:, None]
+            e[at, word] -= 1
+            d_out[:, tail] += (w @ e[:, :, None])[:, :, 0].T
+            first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            rows, cuts = group[first], [*first.tolist(), len(group)]
+            each = np.empty((len(rows), *w.shape[1:]), np.float32)
+            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+                np.dot(o[lo:hi].T, e[lo:hi], out=each[i])
+            grad["tw"], grad["tb"] = (rows, each), (rows, np.add.reduceat(e, first, axis=0))
+
     def backward(self, at: list[int], x: np.ndarray, kept: list, d_out: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of input rows and recurrence through the window."""
+        (rows, own), u = self._backward(at, x, kept, d_out)
+        gx = np.zeros_like(self.p["x"])
+        gx[rows] = own
+        return {"x": gx, "u": u}
+
+    def _backward(self, at: list[int], x: np.ndarray, kept: list, d_out: np.ndarray):
+        """Numbers and gradients of the input rows met, gradient of the recurrence."""
         p, k = self.p, self.s.hidden
         d_gate = np.empty((3 * k, len(x)), np.float32)
         d_rec = np.empty((3 * k, len(x)), np.float32)
@@ -198,41 +272,41 @@ class Runner:
             dh += dz_keep
             prev[:, lo:hi] = h
             hi = lo
-        order = np.argsort(x.astype(np.uint16), kind="stable")
+        order = np.argsort(x.astype(np.uint16) if self.s.n_in <= 1 << 16 else x, kind="stable")
         xs = x[order]
         first = np.flatnonzero(np.r_[True, xs[1:] != xs[:-1]])
-        gx = np.zeros_like(p["x"])
-        gx[xs[first]] = np.add.reduceat(np.take(d_gate, order, axis=1), first, axis=1).T
-        return {"x": gx, "u": prev @ d_rec.T}
+        return (xs[first], np.add.reduceat(np.take(d_gate, order, axis=1), first, axis=1).T), prev @ d_rec.T
 
     def learn(self, at, x, target, first, rate: float) -> None:
-        """One Adam step on a window."""
+        """One Adam step on a window; of input rows and groups, on those met."""
         outs, kept = self.forward(at, x, first)
         _, grad, d_out = self.output(outs, target, True)
-        grad |= self.backward(at, x, kept, d_out)
+        grad["x"], grad["u"] = self._backward(at, x, kept, d_out)
         self.steps += 1
         fix = np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
         for k, g in grad.items():
+            rows, g = g if isinstance(g, tuple) else (slice(None), g)
             g /= len(x)
-            m, v = self.moments[k]
+            m, v = (a[rows] for a in self.moments[k])
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            self.p[k] -= np.float32(rate * fix) * m / (np.sqrt(v) + np.float32(1e-6))
+            self.moments[k][0][rows], self.moments[k][1][rows] = m, v
+            self.p[k][rows] -= np.float32(rate * fix) * m / (np.sqrt(v) + np.float32(1e-6))
 
 
 def train(runner: Runner, docs: list[np.ndarray], rate: float) -> None:
     """Learns from the documents."""
     s = runner.s
     for _, at, x, y, first in windows(docs, s.end):
-        runner.learn(at, x, np.minimum(y, s.rare), first, rate)
+        runner.learn(at, x if runner.inputs is None else runner.inputs[x], s.targets(y), first, rate)
 
 
 def log_likelihood(runner: Runner, docs: list[np.ndarray]) -> np.ndarray:
     """Natural-log probability of each document's ids."""
     total, s = np.zeros(len(docs)), runner.s
     for group, at, x, y, first in windows(docs, s.end):
-        outs, _ = runner.forward(at, x, first)
-        logp, _, _ = runner.output(outs, np.minimum(y, s.rare), False)
+        outs, _ = runner.forward(at, x if runner.inputs is None else runner.inputs[x], first)
+        logp, _, _ = runner.output(outs, s.targets(y), False)
         lo = 0
         for n in at:
             total[group[:n]] += logp[lo:lo + n]

@@ -6,9 +6,10 @@ over its share of the documents and the tasks' weights are averaged, in
 ``ROUNDS`` rounds that together see every training document once. Scoring
 carries the state through the whole document.
 
-The model predicts among the most frequent words, the end and ``rare``, which
-stands for all other words; a rare word's own probability follows from its
-count. So model and unigram base are distributions over the same events: the
+The model predicts each of the ``HEAD`` most frequent words, the end and ``rare``,
+which stands for all other words; a rare word's own probability follows from its
+count. Classes and clusters of words follow the training vocabulary up to
+``HEAD``; a word met ``OWN`` times in training has an input row of its own. So model and unigram base are distributions over the same events: the
 known tokens and one unknown word. With D = N + V + 1, the base gives a token
 of count c the probability (c + 1) / D.
 
@@ -38,10 +39,14 @@ from keysieve.llm.common import id_bucket, texts
 from keysieve.operators.lineage import materialize
 
 FOLDS, HELD_OUT = 7, 2
-#: Words whose counts travel with the task; word classes of the model and words in each.
+#: Words that the model predicts and whose counts travel with the task; classes of
+#: the most frequent ones and words in each, the others are the network's tail.
 HEAD, CLASSES, PER_CLASS = 65_536, 16, 60
-#: Input kinds of rare words (by their last letters), state size, learning rate.
-KINDS, HIDDEN, RATE = 64, 8, 0.01
+#: Occurrences from which a tail word has its own input row; input kinds of the
+#: other words (by their last letters), state size, learning rate.
+OWN, KINDS, HIDDEN, RATE = 200, 64, 8, 0.01
+#: Weights that travel together from a task to their sum.
+BLOCK = 128
 #: Bounds of the rounds, in 64ths of the training documents.
 ROUNDS = (0, 8, 64)
 #: Bytes of text read at a time, for ids and for counts.
@@ -125,61 +130,91 @@ class Vocabulary:
         self.train_tokens = n_words + n_train
         self.size = known_words + (n_train > 0)
         self.d = self.train_tokens + self.size + 1
-        self.sizes = gru.Sizes(CLASSES * PER_CLASS + 1 + KINDS, CLASSES + 2, PER_CLASS, HIDDEN)
+        n = CLASSES * PER_CLASS
+        tail, tail_at = head[n:], n + 1 + KINDS
+        own = sum(c >= OWN for _, c in tail)
+        self.sizes = gru.Sizes(tail_at + own, CLASSES + 2, PER_CLASS, HIDDEN, len(tail), tail_at)
+        self.inputs = np.arange(tail_at + len(tail), dtype=np.int32)
+        self.inputs[tail_at + own:] = self.sizes.rare + Words([" ".join(w.decode() for w, _ in tail[own:])]).kinds
         self.head = pa.array([w for w, _ in head], pa.binary())
         self.base = np.log10([(c + 1) / self.d for _, c in head])
         self.end_base = math.log10((n_train + 1) / self.d)
-        n = self.sizes.n_words
-        p = np.zeros(n)
-        p[:min(n, len(head))] = [(c + 1) / self.d for _, c in head[:n]]
+        p = np.zeros(n + self.sizes.clusters * gru.GROUPS * gru.PER_GROUP)
+        p[:len(head)] = [(c + 1) / self.d for _, c in head]
         end = (n_train + 1) / self.d
         self.rare_mass = max(1 / self.d, 1 - p.sum() - end)
-        per = p.reshape(CLASSES, PER_CLASS) + 1e-9
-        self.class_p = np.r_[per.sum(1), end, self.rare_mass]
+        per = p[:n].reshape(CLASSES, PER_CLASS) + 1e-9
+        self.tail_p = p[n:].reshape(-1, gru.GROUPS, gru.PER_GROUP) + 1e-12
+        self.class_p = np.r_[per.sum(1), end, self.rare_mass, self.tail_p.sum((1, 2))]
         self.word_p = per / per.sum(1, keepdims=True)
 
-    def places(self, words: Words, head: int | None = None) -> np.ndarray:
-        """Place of each word among the first ``head`` of the head, or -1."""
-        found = pc.index_in(words.words, value_set=self.head[:head])
+    def initial(self) -> dict[str, np.ndarray]:
+        return gru.initial(self.sizes, self.class_p, self.word_p, tail_p=self.tail_p)
+
+    def places(self, words: Words) -> np.ndarray:
+        """Place of each word in the head, or -1."""
+        found = pc.index_in(words.words, value_set=self.head)
         return found.fill_null(-1).to_numpy(zero_copy_only=False)
 
     def ids(self, at: np.ndarray, words: Words) -> list[np.ndarray]:
-        """Each text's input ids, the end included: a frequent word's own, else
-        its kind."""
-        n = len(words.cuts) - 1
+        """Each text's ids, the end included: a head word's own, else its kind."""
+        n, s = len(words.cuts) - 1, self.sizes
         out = np.empty(len(at) + n, np.int32)
-        own = (at >= 0) & (at < self.sizes.n_words)
+        own = np.where(at < s.n_words, at, at - s.n_words + s.tail_at)
         out[np.arange(len(at)) + np.repeat(np.arange(n), np.diff(words.cuts))] = np.where(
-            own, at, self.sizes.rare + words.kinds)
+            at >= 0, own, s.rare + words.kinds)
         ends = words.cuts[1:] + np.arange(n)
         out[ends] = self.sizes.end
         return np.split(out, ends[:-1] + 1) if n else []
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(k, tokens, x)``: the sum of each ``k``; ``x`` are 32-bit floats coming, 64-bit going."""
+    sums: dict[int, list] = {}
+    for b in batches:
+        for k, n, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            own = sums.setdefault(k, [0.0, 0.0])
+            own[0] += n
+            own[1] += np.frombuffer(x, np.float32).astype(np.float64) * n
+    if sums:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([n for n, _ in sums.values()], pa.float64()),
+             pa.array([x.tobytes() for _, x in sums.values()], pa.binary())], names=["k", "tokens", "x"])
+
+
 def train_round(train: DataFrame, v: Vocabulary, p: np.ndarray, like: dict[str, np.ndarray],
                 rate: float) -> np.ndarray:
-    """Weights after the tasks' passes over ``train``, averaged by their tokens."""
+    """Weights after the tasks' passes over ``train``, averaged by their tokens.
+    A task sends its changes, without blocks of weights that it left alone."""
     shared = train.sparkSession.sparkContext.broadcast((v, p))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, start = shared.value
-        runner, tokens = gru.Runner(gru.unflat(start, like), voc.sizes), 0
+        runner, tokens = gru.Runner(gru.unflat(start, like), voc.sizes, voc.inputs), 0
         for _, rows in _grouped(batches, READ_BYTES):
             w = Words(rows)
-            docs = voc.ids(voc.places(w, voc.sizes.n_words), w)
+            docs = voc.ids(voc.places(w), w)
             tokens += sum(map(len, docs))
             gru.train(runner, docs, rate)
         if tokens:
-            x = gru.flat(runner.p).astype(np.float64)
+            x = gru.flat(runner.p)
             if np.isfinite(x).all():
+                x = np.pad(x - start.astype(np.float32), (0, -len(x) % BLOCK)).reshape(-1, BLOCK)
+                changed = np.flatnonzero(x.any(1))
+                # Block -1 has no weights; it counts the tokens of all tasks.
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(-1, len(x))), pa.array(np.r_[float(tokens), x * tokens])], names=["k", "x"])
+                    [pa.array(np.r_[-1, changed]), pa.array(np.full(len(changed) + 1, float(tokens))),
+                     pa.array([b"", *(y.tobytes() for y in x[changed])], pa.binary())], names=["k", "tokens", "x"])
 
-    total = train.select("text").mapInArrow(run, "k long, x double").groupBy("k").agg(F.sum("x").alias("x"))
-    got = {r["k"]: r["x"] for r in total.collect()}  # as many rows as the model has weights
+    schema = "k long, tokens double, x binary"
+    total = train.select("text").mapInArrow(run, schema).repartition("k").mapInArrow(_summed, schema)
+    got = {r["k"]: r for r in total.collect()}  # as many values as the model has weights
     if not got:
         return p
-    return np.array([got[k] for k in range(len(p))]) / got[-1]
+    out, tokens = np.pad(p, (0, -len(p) % BLOCK)).reshape(-1, BLOCK), got.pop(-1)["tokens"]
+    for k, r in got.items():
+        out[k] += np.frombuffer(r["x"], np.float64) / tokens
+    return out.ravel()[:len(p)]
 
 
 def fit(docs: DataFrame, rate: float = RATE):
@@ -189,7 +224,7 @@ def fit(docs: DataFrame, rate: float = RATE):
     total = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     n_train = train.select("doc_id").count()
     v = Vocabulary(head_words(counts), n_train, total["v"], total["n"] or 0)
-    like = gru.initial(v.sizes, v.class_p, v.word_p)
+    like = v.initial()
     p = gru.flat(like).astype(np.float64)
     share = F.pmod(F.xxhash64(F.lit("round"), "doc_id"), F.lit(ROUNDS[-1]))
     for lo, hi in zip(ROUNDS, ROUNDS[1:], strict=False):
@@ -203,7 +238,7 @@ def read_scores(docs: DataFrame, v: Vocabulary, weights: dict[str, np.ndarray])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, p = shared.value
-        runner = gru.Runner(p, voc.sizes)
+        runner = gru.Runner(p, voc.sizes, voc.inputs)
         row = TaskContext.get().partitionId() << 33
         for part, rows in _grouped(batches, READ_BYTES):
             w = Words(rows)
@@ -211,13 +246,11 @@ def read_scores(docs: DataFrame, v: Vocabulary, weights: dict[str, np.ndarray])
             found = at >= 0
             base = np.zeros(len(at))
             base[found] = voc.base[at[found]]
-            rare = at >= voc.sizes.n_words
-            rare |= ~found
             total = lambda x, cuts=w.cuts: np.diff(np.r_[0.0, np.cumsum(x)][cuts])
             n = np.diff(w.cuts) + 1
             # Of a rare word the model gives the probability of being rare; the rest is its count's.
             model = (gru.log_likelihood(runner, voc.ids(at, w)) / math.log(10)
-                     + total(np.where(rare, base, 0.0)) - total(rare) * math.log10(voc.rare_mass))
+                     - total(~found) * math.log10(voc.rare_mass))
             left = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(~found)][w.cuts], pa.int32()),
                                             w.words.filter(pa.array(~found)))
             yield pa.RecordBatch.from_arrays(

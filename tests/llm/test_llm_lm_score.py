@@ -113,3 +113,69 @@ def test_gradients():
             up[k][i] += 0.02
             down[k][i] -= 0.02
             assert grad[k][i] == pytest.approx((loss(up) - loss(down)) / 0.04, rel=0.05, abs=0.02)
+
+
+def tail_model(hidden=5, tail=gru.GROUPS * gru.PER_GROUP + 700):
+    rng = np.random.default_rng(3)
+    s = gru.Sizes(4 * 3 + 1 + 5, 6, 3, hidden, tail, 18)
+    tail_p = np.full((s.clusters, gru.GROUPS, gru.PER_GROUP), 1e-12)
+    tail_p.ravel()[:tail] = 1 / tail
+    p = gru.initial(s, np.full(6 + s.clusters, 1 / (6 + s.clusters)), np.full((4, 3), 1 / 3), tail_p=tail_p)
+    inputs = np.r_[np.arange(18), np.full(tail, s.rare + 2)].astype(np.int32)
+    docs = [rng.integers(0, 18 + tail, 40).astype(np.int32) for _ in range(9)]
+    return s, p, inputs, docs
+
+
+def test_words_beyond_the_classes_have_probabilities_of_their_own():
+    s, p, inputs, docs = tail_model()
+    rng = np.random.default_rng(4)
+    p = {k: (v + rng.normal(0, 0.3, v.shape)).astype(v.dtype) if k != "tb" else v for k, v in p.items()}
+    r = gru.Runner(p, s, inputs)
+    base = gru.log_likelihood(r, [docs[0]])[0]
+    each = [*range(s.rare + 1), *range(s.tail_at, s.tail_at + s.tail)]
+    got = np.exp(gru.log_likelihood(r, [np.r_[docs[0], t].astype(np.int32) for t in each]) - base)
+    # What is missing are the empty groups of the last cluster.
+    assert 0.8 < got.sum() <= 1 + 1e-3 and len(set(got[s.rare + 1:].tolist())) > s.tail / gru.PER_GROUP / 2
+
+
+def test_gradients_of_the_tail():
+    s, p, inputs, docs = tail_model()
+    rng = np.random.default_rng(5)
+    p = {k: (v + rng.normal(0, 0.3, v.shape)).astype(v.dtype) for k, v in p.items()}
+    _, at, x, y, first = next(gru.windows(docs, s.end))
+    x, y = inputs[x], s.targets(y)
+
+    def loss(q):
+        r = gru.Runner(q, s)
+        return -r.output(r.forward(at, x, first)[0], y, False)[0].astype(np.float64).sum()
+
+    r = gru.Runner(p, s)
+    outs, kept = r.forward(at, x, first)
+    _, grad, d = r.output(outs, y, True)
+    grad |= r.backward(at, x, kept, d)
+    for k in p:
+        rows, g = grad[k] if isinstance(grad[k], tuple) else (None, grad[k])
+        for _ in range(4):
+            i = tuple(rng.integers(0, n) for n in g.shape)
+            at_p = i if rows is None else (rows[i[0]], *i[1:])
+            up, down = ({a: b.copy() for a, b in p.items()} for _ in range(2))
+            up[k][at_p] += 0.02
+            down[k][at_p] -= 0.02
+            assert g[i] == pytest.approx((loss(up) - loss(down)) / 0.04, rel=0.05, abs=0.03)
+
+
+def test_context_tells_words_beyond_the_classes():
+    """Texts of two halves of the tail: the model learns which half a text is of."""
+    head = [(f"c{i:04d}".encode(), 900) for i in range(960)] + [(f"w{i:04d}".encode(), 90) for i in range(800)]
+    v = L.Vocabulary(head, 400, len(head), sum(c for _, c in head))
+    assert v.sizes.n_words + v.sizes.tail == len(head)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{k:04d}" for k in rng.integers(0, 400, 100) + 400 * (i % 2)) for i in range(400)]
+    w = L.Words(texts)
+    docs = v.ids(v.places(w), w)
+    assert (np.concatenate([d[:-1] for d in docs]) >= v.sizes.tail_at).all()
+    r = gru.Runner(v.initial(), v.sizes, v.inputs)
+    for _ in range(40):
+        gru.train(r, docs[50:], 0.01)
+    # Better than any distribution that does not see the words before.
+    assert gru.log_likelihood(r, docs[:50]).sum() > -50 * 100 * math.log(800) + 1000
