@@ -17,6 +17,14 @@ from dataclasses import dataclass
 import numpy as np
 
 WINDOW, LANES = 32, 512
+#: Tokens of a window at least, while its documents last: where few lanes run, windows are longer.
+LEARNED, SCORED = 4096, 32768
+#: Largest change of a logarithm by the states that needs no care for overflow.
+STEEP = 60
+#: Columns whose logits are computed at a time, which then stay in the cache.
+BLOCK = 2048
+#: Columns of a group above which their gradients are one product.
+MANY = 12
 NAMES = ("x", "u", "cw", "cb", "ww", "wb")
 #: Groups of a cluster of tail words, words of a group.
 GROUPS, PER_GROUP = 128, 16
@@ -93,39 +101,55 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _log_softmax(e: np.ndarray, bias: np.ndarray, target: np.ndarray):
-    """Log-probability of each column's target, all probabilities (in ``e``),
-    and the columns' numbers."""
-    e += bias[:, None]
-    e -= e.max(0)
-    at = np.arange(len(target))
-    own = e[target, at]
-    np.exp(e, out=e)
-    total = e.sum(0)
-    e /= total
-    return own - np.log(total), e, at
+def _softmax(w: np.ndarray, bias: np.ndarray, outs: np.ndarray, target: np.ndarray, logp: np.ndarray,
+             d: np.ndarray | None = None):
+    """Adds to ``logp`` the log-probability of each column's target; with ``d``
+    adds to it the gradient of the negative by the states and returns those by
+    weights and biases. States are between -1 and 1, the last row is ones."""
+    both = np.concatenate([w, (bias - bias.max())[None]])
+    steep, grad = np.abs(w).sum(0).max() > STEEP, np.zeros_like(both)
+    for lo in range(0, len(target), BLOCK):
+        o, t = outs[:, lo:lo + BLOCK], target[lo:lo + BLOCK]
+        e = both.T @ o
+        if steep:
+            e -= e.max(0)
+        at = np.arange(len(t))
+        own = e[t, at]
+        np.exp(e, out=e)
+        total = e.sum(0)
+        logp[lo:lo + BLOCK] += own - np.log(total)
+        if d is not None:
+            e[t, at] -= total
+            grad += (o / total) @ e.T
+            d[:, lo:lo + BLOCK] += (w @ e) / total
+    return grad[:-1], grad[-1]
 
 
 def windows(docs: list[np.ndarray], start: int, width: int = WINDOW,
-            lanes: int = LANES) -> Iterator[tuple[np.ndarray, list[int], np.ndarray, np.ndarray, np.ndarray]]:
+            lanes: int = LANES, tokens: int = 0) -> Iterator[tuple[np.ndarray, list[int], np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of documents (id arrays, ends included) as windows: ``(documents
     of the lanes, lanes at each step, inputs, targets, first)``; steps are laid
-    out one after the other, ``first`` marks a group's first window."""
+    out one after the other, ``first`` marks a group's first window. Windows are
+    ``width`` steps, more where their lanes have fewer than ``tokens``."""
     order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     for g in range(0, len(order), lanes):
         group = np.array(order[g:g + lanes])
         size = np.array([len(docs[i]) for i in group])
-        for t in range(0, int(size[0]), width):
+        t = 0
+        while t < size[0]:
             n = int((size > t).sum())
-            block = np.zeros((width + 1, n), np.int32)
+            steps = min(max(width, -(-tokens // n)), int(size[0]) - t)
+            block = np.zeros((steps + 1, n), np.int32)
             for j, i in enumerate(group[:n].tolist()):
-                part = docs[i][max(0, t - 1):t + width]
+                part = docs[i][max(0, t - 1):t + steps]
                 block[1 if t == 0 else 0:, j][:len(part)] = part
             if t == 0:
                 block[0] = start
-            at = [int((size > t + k).sum()) for k in range(min(width, int(size[0]) - t))]
-            yield (group, at, np.concatenate([block[k, :m] for k, m in enumerate(at)]),
-                   np.concatenate([block[k + 1, :m] for k, m in enumerate(at)]), t == 0)
+            at = np.searchsorted(-size, -np.arange(t, t + steps)).tolist()
+            runs = block[:-1].size == sum(at)
+            yield (group, at, block[:-1].ravel() if runs else np.concatenate([block[k, :m] for k, m in enumerate(at)]),
+                   block[1:].ravel() if runs else np.concatenate([block[k + 1, :m] for k, m in enumerate(at)]), t == 0)
+            t += steps
 
 
 class Runner:
@@ -137,9 +161,9 @@ class Runner:
         self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
         self.steps, self.h = 0, np.zeros((s.hidden, 0), np.float32)
 
-    def forward(self, at: list[int], x: np.ndarray, first: bool):
-        """States of a window (a column per step and lane); ``self.h`` goes in
-        and comes out."""
+    def forward(self, at: list[int], x: np.ndarray, first: bool, keep: bool = True):
+        """States of a window (a column per step and lane) and, with ``keep``,
+        what ``backward`` needs; ``self.h`` goes in and comes out."""
         p, k = self.p, self.s.hidden
         if first:
             self.h = np.zeros((k, at[0]), np.float32)
@@ -158,7 +182,8 @@ class Runner:
             new = h - c
             new *= z
             new += c
-            kept.append((h, z, r, an, c))
+            if keep:
+                kept.append((h, z, r, an, c))
             outs[:, lo:lo + n] = new
             h, lo = new, lo + n
         self.h = h
@@ -166,75 +191,82 @@ class Runner:
 
     def output(self, outs: np.ndarray, target: np.ndarray, learn: bool):
         """Log-probabilities of the targets; with ``learn`` also gradients of
-        the negative log-probability."""
-        p, k, n_classes = self.p, self.s.per_class, self.s.n_classes
-        n_words = self.s.n_words
-        cls = np.where(target < n_words, target // k, target - n_words + n_classes - 2)
-        if self.s.tail:
-            tail = np.flatnonzero(target > self.s.rare)
-            cls[tail] = n_classes + (target[tail] - self.s.rare - 1) // (GROUPS * PER_GROUP)
-        logp, e, at = _log_softmax(p["cw"].T @ outs, p["cb"], cls)
-        grad, d_out = {}, None
+        the negative log-probability. Columns are put in order of their classes
+        and groups first, so that each of these is a slice."""
+        p, s, k, n_classes = self.p, self.s, self.s.per_class, self.s.n_classes
+        key = np.where(target < s.n_words, target // k, target - s.n_words + n_classes - 2)
+        if s.tail:
+            key = np.where(target > s.rare, n_classes + (target - s.rare - 1) // PER_GROUP, key)
+        order = np.argsort(key.astype(np.uint16) if n_classes + s.clusters * GROUPS <= 1 << 16 else key, kind="stable")
+        outs, target, cls = np.take(outs, order, axis=1), target[order], key[order]
+        outs = np.concatenate([outs, np.ones((1, len(order)), np.float32)])
+        tail = int(np.searchsorted(cls, n_classes))
+        group = cls[tail:] - n_classes
+        cls[tail:] = n_classes + group // GROUPS
+        cuts = np.searchsorted(cls, np.arange(n_classes + s.clusters + 1)).tolist()
+        logp, grad, d = np.zeros(len(order), np.float32), {}, None
+        if learn:
+            d = np.zeros((s.hidden, len(order)), np.float32)
+            for name in ("ww", "wb", "gw", "gb")[:4 if s.tail else 2]:
+                grad[name] = np.zeros_like(p[name])
+
+        def inside(w: str, b: str, i: int, lo: int, hi: int, place: np.ndarray) -> None:
+            if lo < hi:
+                part = slice(lo, hi)
+                by = _softmax(p[w][i], p[b][i], outs[:, part], place, logp[part], d[:, part] if learn else None)
+                if learn:
+                    grad[w][i], grad[b][i] = by
+
+        by = _softmax(p["cw"], p["cb"], outs, cls, logp, d)
         if learn:
-            e[cls, at] -= 1
-            grad["cw"], grad["cb"], d_out = outs @ e.T, e.sum(1), p["cw"] @ e
-            grad["ww"], grad["wb"] = np.zeros_like(p["ww"]), np.zeros_like(p["wb"])
-        in_class = np.flatnonzero(target < n_words)
-        in_class = in_class[np.argsort(cls[in_class].astype(np.uint16), kind="stable")]
-        cuts = np.searchsorted(cls[in_class], np.arange(n_classes - 1))
-        for c in range(n_classes - 2):
-            own = in_class[cuts[c]:cuts[c + 1]]
-            if not len(own):
-                continue
-            o, w = outs[:, own], target[own] - c * k
-            lp, e, at = _log_softmax(p["ww"][c].T @ o, p["wb"][c], w)
-            logp[own] += lp
-            if learn:
-                e[w, at] -= 1
-                grad["ww"][c], grad["wb"][c] = o @ e.T, e.sum(1)
-                d_out[:, own] += p["ww"][c] @ e
-        if self.s.tail and len(tail):
-            self._tail(outs, target, tail, learn, logp, grad, d_out)
-        return logp, grad, d_out
-
-    def _tail(self, outs, target, tail, learn: bool, logp, grad, d_out) -> None:
-        """Adds what groups and words of a group say of the ``tail`` columns."""
-        p = self.p
-        tail = tail[np.argsort(target[tail], kind="stable")]
-        group, word = np.divmod(target[tail] - self.s.rare - 1, PER_GROUP)
-        cluster, place = np.divmod(group, GROUPS)
+            grad["cw"], grad["cb"] = by
+        for c, (lo, hi) in enumerate(zip(cuts[:n_classes - 2], cuts[1:])):
+            inside("ww", "wb", c, lo, hi, target[lo:hi] - c * k)
+        for c, (lo, hi) in enumerate(zip(cuts[n_classes:-1], cuts[n_classes + 1:])):
+            inside("gw", "gb", c, lo, hi, group[lo - tail:hi - tail] - c * GROUPS)
+        if tail < len(target):
+            self._grouped(outs[:, tail:], group, (target[tail:] - s.rare - 1) % PER_GROUP, learn,
+                          logp[tail:], grad, d[:, tail:] if learn else None)
+        back = np.empty_like(logp)
+        back[order] = logp
         if learn:
-            grad["gw"], grad["gb"] = np.zeros_like(p["gw"]), np.zeros_like(p["gb"])
-        cuts = np.searchsorted(cluster, np.arange(self.s.clusters + 1))
-        for c in np.unique(cluster).tolist():
-            part = slice(cuts[c], cuts[c + 1])
-            own = tail[part]
-            o = outs[:, own]
-            lp, e, at = _log_softmax(p["gw"][c].T @ o, p["gb"][c], place[part])
-            logp[own] += lp
-            if learn:
-                e[place[part], at] -= 1
-                grad["gw"][c], grad["gb"][c] = o @ e.T, e.sum(1)
-                d_out[:, own] += p["gw"][c] @ e
-        o, w = np.ascontiguousarray(outs[:, tail].T), p["tw"][group]
+            d_out = np.empty_like(d)
+            d_out[:, order] = d
+            return back, grad, d_out
+        return back, grad, None
+
+    def _grouped(self, outs, group, word, learn: bool, logp, grad, d) -> None:
+        """Adds what words of a group say of the tail's columns, which are in
+        order of their groups. Biases are weights of one more state that is one."""
+        p, h, n = self.p, self.s.hidden, len(group)
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        rows, sizes = group[first], np.diff(np.r_[first, n])
+        o = np.ascontiguousarray(outs.T)
+        w = np.repeat(np.concatenate([p["tw"][rows], p["tb"][rows][:, None]], axis=1), sizes, axis=0)
         e = (o[:, None, :] @ w)[:, 0]
-        e += p["tb"][group]
         e -= e.max(1, keepdims=True)
-        at = np.arange(len(tail))
+        at = np.arange(n)
         own = e[at, word]
         np.exp(e, out=e)
         total = e.sum(1)
-        logp[tail] += own - np.log(total)
+        logp += own - np.log(total)
         if learn:
             e /= total[:, None]
             e[at, word] -= 1
-            d_out[:, tail] += (w @ e[:, :, None])[:, :, 0].T
-            first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            rows, cuts = group[first], [*first.tolist(), len(group)]
-            each = np.empty((len(rows), *w.shape[1:]), np.float32)
-            for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
-                np.dot(o[lo:hi].T, e[lo:hi], out=each[i])
-            grad["tw"], grad["tb"] = (rows, each), (rows, np.add.reduceat(e, first, axis=0))
+            d += (w[:, :h] @ e[:, :, None])[:, :, 0].T
+            # Sums of each group, largest groups first: those of many columns by a product, the others column by column.
+            by = np.argsort(-sizes, kind="stable")
+            rows, first, sizes = rows[by], first[by], sizes[by]
+            each, many = np.empty((len(rows), h + 1, PER_GROUP), np.float32), int((sizes > MANY).sum())
+            for i, (lo, m) in enumerate(zip(first[:many].tolist(), sizes[:many].tolist())):
+                np.dot(o[lo:lo + m].T, e[lo:lo + m], out=each[i])
+            rest = each[many:]
+            rest[:] = 0
+            for r in range(int(sizes[many]) if many < len(rows) else 0):
+                m = int((sizes[many:] > r).sum())
+                cols = first[many:many + m] + r
+                rest[:m] += o[cols][:, :, None] * e[cols][:, None, :]
+            grad["tw"], grad["tb"] = (rows, each[:, :h]), (rows, each[:, h])
 
     def backward(self, at: list[int], x: np.ndarray, kept: list, d_out: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of input rows and recurrence through the window."""
@@ -297,15 +329,15 @@ class Runner:
 def train(runner: Runner, docs: list[np.ndarray], rate: float) -> None:
     """Learns from the documents."""
     s = runner.s
-    for _, at, x, y, first in windows(docs, s.end):
+    for _, at, x, y, first in windows(docs, s.end, tokens=LEARNED):
         runner.learn(at, x if runner.inputs is None else runner.inputs[x], s.targets(y), first, rate)
 
 
 def log_likelihood(runner: Runner, docs: list[np.ndarray]) -> np.ndarray:
     """Natural-log probability of each document's ids."""
     total, s = np.zeros(len(docs)), runner.s
-    for group, at, x, y, first in windows(docs, s.end):
-        outs, _ = runner.forward(at, x if runner.inputs is None else runner.inputs[x], first)
+    for group, at, x, y, first in windows(docs, s.end, tokens=SCORED):
+        outs, _ = runner.forward(at, x if runner.inputs is None else runner.inputs[x], first, keep=False)
         logp, _, _ = runner.output(outs, s.targets(y), False)
         lo = 0
         for n in at:

@@ -179,3 +179,54 @@ def test_context_tells_words_beyond_the_classes():
         gru.train(r, docs[50:], 0.01)
     # Better than any distribution that does not see the words before.
     assert gru.log_likelihood(r, docs[:50]).sum() > -50 * 100 * math.log(800) + 1000
+
+
+def test_a_long_document_is_learned_in_few_steps():
+    s, p, _ = model()
+    docs = [np.arange(n, dtype=np.int32) % s.n_in for n in (3 * gru.LEARNED, 40, 40)]
+    r = gru.Runner(p, s)
+    gru.train(r, docs, 0.01)
+    assert r.steps <= 4  # of 32 tokens of its own it would be hundreds
+
+
+def test_windows_hold_every_token_once_and_in_order():
+    s, _, _ = model()
+    rng = np.random.default_rng(8)
+    docs = [rng.integers(0, s.n_in, n).astype(np.int32) for n in (700, 90, 33, 32, 31, 1, 1)]
+    for tokens in (0, 64, 500, 10 ** 6):
+        seen, before = [[] for _ in docs], [[] for _ in docs]
+        for group, at, x, y, _ in gru.windows(docs, s.end, lanes=4, tokens=tokens):
+            lo = 0
+            for n in at:
+                for j, i in enumerate(group[:n].tolist()):
+                    before[i].append(x[lo + j])
+                    seen[i].append(y[lo + j])
+                lo += n
+            assert lo == len(x) == len(y)
+        assert [list(d) for d in docs] == seen
+        assert [[s.end, *d[:-1]] for d in docs] == before
+
+
+@pytest.mark.parametrize("block, steep, many", [(5, 60, 12), (2048, 0, 12), (2048, 60, 0), (2048, 60, 10 ** 6)])
+def test_blocks_and_group_sums_do_not_change_the_output(monkeypatch, block, steep, many):
+    s, p, inputs, docs = tail_model()
+    docs += [np.full(50, s.tail_at + 3, np.int32)]  # a group of many columns
+    rng = np.random.default_rng(9)
+    p = {k: (v + rng.normal(0, 0.3, v.shape)).astype(v.dtype) for k, v in p.items()}
+    _, at, x, y, first = next(gru.windows(docs, s.end))
+
+    def run():
+        r = gru.Runner(p, s, inputs)
+        logp, grad, d = r.output(r.forward(at, inputs[x], first)[0], s.targets(y), True)
+        out = {"logp": logp, "d": d}
+        for k, g in grad.items():
+            out[k] = np.zeros_like(p[k])
+            out[k][g[0] if isinstance(g, tuple) else slice(None)] = g[1] if isinstance(g, tuple) else g
+        return out
+
+    want = run()
+    monkeypatch.setattr(gru, "BLOCK", block)
+    monkeypatch.setattr(gru, "STEEP", steep)
+    monkeypatch.setattr(gru, "MANY", many)
+    for k, g in run().items():
+        np.testing.assert_allclose(g, want[k], rtol=1e-3, atol=1e-4)
