@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from keysieve.config import scratch_path
 from keysieve.operators import breach_reduced as R
 from keysieve.operators import profile
+from keysieve.operators.lineage import materialize
 from keysieve.plans.oracle import sql
-from keysieve.plans.q_breach import COMMON, MATCH_COLS, WRITERS
+from keysieve.plans.q_breach import COMMON, MATCH_COLS
 from keysieve.plans.registry import query
 from keysieve.sources import breach as breach_src
 from keysieve.sources import corpus_store as store
@@ -16,6 +17,8 @@ from keysieve.sources import tables as T
 
 #: Length of the watch list, a top-k report.
 WATCHED = 300
+#: Leading bytes of a prefix, each a folder of range files.
+LEADS = 256
 
 
 def new_store(spark, d):
@@ -45,8 +48,12 @@ def breach_bloom_match(spark, d):
 
 
 def write_range_files(lines, path):
-    """``lines(prefix, value)`` as a folder ``prefix=0A1B2`` of text per prefix."""
-    lines.select("prefix", "value").repartition(WRITERS, "prefix").write.partitionBy("prefix").text(path)
+    """``lines(prefix, value)`` as a folder ``lead=0A/prefix=0A1B2`` of text per
+    prefix. A task has whole leading bytes: its commit moves their folders, 256 in
+    all, not the up to a million inside, and these are listed a leading byte at a time."""
+    lead = F.substring("prefix", 1, 2).alias("lead")
+    (lines.select(lead, "prefix", "value").repartition(LEADS, "lead").sortWithinPartitions("lead", "prefix")
+     .write.partitionBy("lead", "prefix").text(path))
 
 
 @query("breach_refresh", sql("SELECT prefix, suffix, breach_count FROM breach"))
@@ -54,7 +61,7 @@ def breach_refresh(spark, d):
     """A store of an older corpus brought up to date by range files. In the
     prefixes of the very common digests the store has older counts and a digest that
     is no longer listed; only these are downloaded again."""
-    now = T.breach(spark, d)
+    now = materialize(T.breach(spark, d), "breach")
     ranges = breach_src.with_range(now)
     changed = ranges.where(F.col("breach_count") >= COMMON).select("prefix").distinct()
     listed = ranges.join(changed, "prefix", "left_semi")

@@ -264,3 +264,23 @@ def test_staged_keys_have_no_plaintext(spark, sf_dir):
     finally:
         breach_reduced.materialize = whole
     assert seen == [["digest"], ["bucket", "bits"]]
+
+
+def test_written_range_files_lie_by_leading_byte_each_from_one_task(spark, tmp_path):
+    """So that a commit moves, and a listing starts from, 256 folders at most."""
+    from keysieve.plans.q_corpus import write_range_files
+    lines = spark.range(900).select(F.upper(F.substring(F.sha1((F.col("id") % 600).cast("string")), 1, 5)).alias("prefix"),
+                                    F.format_string("%035X:%d", "id", F.col("id") + 1).alias("value"))
+    path = str(tmp_path / "ranges")
+    write_range_files(lines, path)
+    top = [n for n in os.listdir(path) if not n.startswith((".", "_"))]
+    assert 128 < len(top) <= 256 and all(len(n) == len("lead=0A") and n.startswith("lead=") for n in top)
+    for n in top:
+        folder = os.path.join(path, n)
+        assert all(p.startswith(f"prefix={n[5:]}") for p in os.listdir(folder))
+        assert len({f.split("-")[1] for _, _, fs in os.walk(folder) for f in fs if f.startswith("part-")}) == 1
+    prefixes = {r[0] for r in lines.select("prefix").collect()}
+    assert {r["prefix"] for r in CS.list_files(spark, path).collect()} == prefixes
+    read = breach_src.read_breach_ranges(spark, path)
+    assert sorted(map(tuple, read.collect())) == sorted(
+        (r["prefix"], r["value"].split(":")[0], int(r["value"].split(":")[1])) for r in lines.collect())
