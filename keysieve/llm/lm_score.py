@@ -51,19 +51,18 @@ BLOCK = 128
 ROUNDS = (0, 8, 64)
 #: Bytes of text read at a time, for ids and for counts.
 READ_BYTES, COUNTED_BYTES = 8 << 20, 24 << 20
-BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 class Words:
     """The words of some texts: A-Z lower-cased, cut at ASCII white space.
 
-    ``words`` is an Arrow array, ``cuts[i]:cuts[i + 1]`` are text i's, and
-    ``kinds`` is a number of each word from its last letters."""
+    ``words`` is an Arrow array, ``cuts[i]:cuts[i + 1]`` are text i's."""
 
     def __init__(self, rows: list[str]):
         parts = [t.encode() for t in rows]
         raw = np.frombuffer(b"   " + b"\n".join(parts).lower() + b"\n", np.uint8)
-        blank = BLANK[raw]
+        blank = raw == 32
+        blank |= (raw - np.uint8(9)) < 5
         first = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
         last = np.flatnonzero(~blank[:-1] & blank[1:])
         offsets = np.zeros(len(first) + 1, np.int32)
@@ -72,9 +71,14 @@ class Words:
             None, pa.py_buffer(offsets), pa.py_buffer(raw[~blank])])
         ends = np.cumsum([len(p) + 1 for p in parts], dtype=np.int64) + 3
         self.cuts = np.r_[0, np.searchsorted(last, ends)]
-        # The last three letters; what is before a shorter word is blank and counts as none.
-        one, two, three = (np.where(blank[last - k], 0, raw[last - k]).astype(np.int32) for k in (0, 1, 2))
-        self.kinds = ((one * 31 + two) * 31 + np.where(two > 0, three, 0)) % KINDS
+        self.raw, self.last = raw, last
+
+    def kinds(self, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Numbers of some words from their last three letters."""
+        one, two, three = (self.raw[self.last[which] - k].astype(np.int32) for k in (0, 1, 2))
+        # What is before a shorter word is blank and counts as none.
+        two, three = (np.where((x == 32) | (x >= 9) & (x < 14), 0, x) for x in (two, three))
+        return ((one * 31 + two) * 31 + np.where(two > 0, three, 0)) % KINDS
 
 
 def in_training(id_col: str = "doc_id"):
@@ -135,7 +139,7 @@ class Vocabulary:
         own = sum(c >= OWN for _, c in tail)
         self.sizes = gru.Sizes(tail_at + own, CLASSES + 2, PER_CLASS, HIDDEN, len(tail), tail_at)
         self.inputs = np.arange(tail_at + len(tail), dtype=np.int32)
-        self.inputs[tail_at + own:] = self.sizes.rare + Words([" ".join(w.decode() for w, _ in tail[own:])]).kinds
+        self.inputs[tail_at + own:] = self.sizes.rare + Words([" ".join(w.decode() for w, _ in tail[own:])]).kinds()
         self.head = pa.array([w for w, _ in head], pa.binary())
         self.base = np.log10([(c + 1) / self.d for _, c in head])
         self.end_base = math.log10((n_train + 1) / self.d)
@@ -160,9 +164,9 @@ class Vocabulary:
         """Each text's ids, the end included: a head word's own, else its kind."""
         n, s = len(words.cuts) - 1, self.sizes
         out = np.empty(len(at) + n, np.int32)
-        own = np.where(at < s.n_words, at, at - s.n_words + s.tail_at)
-        out[np.arange(len(at)) + np.repeat(np.arange(n), np.diff(words.cuts))] = np.where(
-            at >= 0, own, s.rare + words.kinds)
+        own, known = np.where(at < s.n_words, at, at - s.n_words + s.tail_at), at >= 0
+        own[~known] = s.rare + words.kinds(~known)
+        out[np.arange(len(at)) + np.repeat(np.arange(n), np.diff(words.cuts))] = own
         ends = words.cuts[1:] + np.arange(n)
         out[ends] = self.sizes.end
         return np.split(out, ends[:-1] + 1) if n else []
@@ -194,6 +198,7 @@ def train_round(train: DataFrame, v: Vocabulary, p: np.ndarray, like: dict[str,
         for _, rows in _grouped(batches, READ_BYTES):
             w = Words(rows)
             docs = voc.ids(voc.places(w), w)
+            del w
             tokens += sum(map(len, docs))
             gru.train(runner, docs, rate)
         if tokens:

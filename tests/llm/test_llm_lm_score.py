@@ -230,3 +230,58 @@ def test_blocks_and_group_sums_do_not_change_the_output(monkeypatch, block, stee
     monkeypatch.setattr(gru, "MANY", many)
     for k, g in run().items():
         np.testing.assert_allclose(g, want[k], rtol=1e-3, atol=1e-4)
+
+
+def test_packed_lanes_hold_every_token_once_and_are_about_as_long():
+    s, _, _ = model()
+    rng = np.random.default_rng(10)
+    docs = [rng.integers(0, s.rare, n).astype(np.int32) for n in (300, 90, 80, 70, 33, 32, 1, 1, 50, 60)]
+    flat, steps = np.concatenate(docs), 0
+    begin = np.cumsum([0, *map(len, docs)])[:-1]
+    seen = np.zeros(len(flat), int)
+    for at, x, y, _, place, begins in gru.packed(docs, s.end, lanes=3, tokens=64):
+        steps += len(at)
+        seen[place] += 1
+        assert (y == flat[place]).all() and sum(at) == len(x)
+        assert set(place[begins]) == set(place) & set(begin)
+        want = np.where(np.isin(place, begin), s.end, flat[place - 1])
+        assert (x == want).all()
+    assert (seen == 1).all() and steps == 300  # in groups of three it would be 450
+
+
+@pytest.mark.parametrize("lanes", [1, 2, 4])
+def test_documents_of_one_lane_do_not_mix(monkeypatch, lanes):
+    s, p, docs = model()
+    alone = [gru.log_likelihood(gru.Runner(p, s), [d])[0] for d in docs]
+    monkeypatch.setattr(gru, "LANES", lanes)
+    monkeypatch.setattr(gru, "SCORED", 40)
+    assert gru.log_likelihood(gru.Runner(p, s), docs) == pytest.approx(alone, rel=1e-4)
+    assert len(gru.log_likelihood(gru.Runner(p, s), [])) == 0
+
+
+def test_gradients_of_one_lane_are_those_of_its_documents():
+    s, p, docs = model(rows=30)
+
+    def gradients(docs, lanes):
+        r, out = gru.Runner(p, s), {}
+        for at, x, y, first, _, begins in gru.packed(docs, s.end, lanes, 10 ** 6):
+            outs, kept = r.forward(at, x, first, begins=begins)
+            _, grad, d = r.output(outs, s.targets(y), True)
+            (rows, own), grad["u"] = r._backward(at, x, kept, d, begins)
+            grad["x"] = np.zeros_like(p["x"])
+            grad["x"][rows] = own
+            out = {k: out.get(k, 0) + g for k, g in grad.items()}
+        return out
+
+    want = [gradients([d], 1) for d in docs]
+    for lanes in (1, 3):
+        for k, g in gradients(docs, lanes).items():
+            np.testing.assert_allclose(g, sum(w[k] for w in want), rtol=1e-3, atol=1e-3)
+
+
+def test_kinds_of_short_words():
+    w = L.Words(["a\tab abc\x0bé\x85x", "zabc"])
+    raw = [b.encode() for b in ("a", "ab", "abc", "é\x85x", "zabc")]
+    assert w.words.to_pylist() == raw
+    want = [((r[-1] * 31 + (r[-2] if len(r) > 1 else 0)) * 31 + (r[-3] if len(r) > 2 else 0)) % L.KINDS for r in raw]
+    assert w.kinds().tolist() == want and w.kinds(np.array([False, True, False, False, True])).tolist() == [want[1], want[4]]
