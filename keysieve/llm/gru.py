@@ -5,9 +5,9 @@ the class. The tail of less frequent words is factored once more: clusters, whic
 are classes too, then groups of a cluster, then words of a group; a step learns
 only the groups it meets. A unit's input weights are a row per input id, so no embedding product
 is needed. Documents run side by side in lanes, longest first, so that at every
-step the lanes still running are a prefix; a lane takes one document after the other,
-each from a state of zeros. States are carried from window to window, and gradients
-stop at the window's edge.
+step the lanes still running are a prefix; in scoring, a lane takes one document after
+the other, each from a state of zeros. States are carried from window to window, and
+gradients stop at the window's edge.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ import numpy as np
 WINDOW, LANES = 32, 512
 #: Tokens of a window at least, while its documents last: where few lanes run, windows are longer.
 LEARNED, SCORED = 4096, 32768
-#: Lanes that are learned from side by side.
-LEARNING = 320
 #: Largest change of a logarithm by the states that needs no care for overflow.
 STEEP = 60
 #: Tokens computed at a time, which then stay in the cache.
@@ -339,7 +337,7 @@ class Runner:
         gx[rows] = own
         return {"x": gx, "u": u}
 
-    def _backward(self, at: list[int], x: np.ndarray, kept: list, d_out: np.ndarray, begins: np.ndarray = NONE):
+    def _backward(self, at: list[int], x: np.ndarray, kept: list, d_out: np.ndarray):
         """Numbers and gradients of the input rows met, gradient of the recurrence."""
         k, u = self.s.hidden, self.p["u"]
         prev, acts, c = (np.concatenate(arrays, axis=1, out=_columns(len(arrays[0]), len(x)))
@@ -358,17 +356,14 @@ class Runner:
         by[0] *= z
         by[0] *= prev - c
         hi, dh = len(x), np.zeros((k, 0), np.float32)
-        fresh = _fresh(begins, at)
-        for i in reversed(range(len(at))):
-            lo = hi - at[i]
+        for n in reversed(at):
+            lo = hi - n
             d = d_out[:, lo:hi]
             d[:, :dh.shape[1]] += dh
             step = by[:, :, lo:hi]
             step *= d
             dh = u @ d_rec[:, lo:hi]
             dh += d * z[:, lo:hi]
-            if i in fresh:
-                dh[:, fresh[i]] = 0
             hi = lo
         by_c *= d_out
         d_u = (d_rec @ prev.T).T
@@ -379,11 +374,11 @@ class Runner:
         first = np.flatnonzero(np.r_[True, xs[1:] != xs[:-1]])
         return (xs[first], np.add.reduceat(np.take(d_gate, order, axis=1), first, axis=1).T), d_u
 
-    def learn(self, at, x, target, first, rate: float, begins: np.ndarray = NONE) -> None:
+    def learn(self, at, x, target, first, rate: float) -> None:
         """One Adam step on a window; of input rows and groups, on those met."""
-        outs, kept = self.forward(at, x, first, begins=begins)
+        outs, kept = self.forward(at, x, first)
         _, grad, d_out = self.output(outs, target, True)
-        grad["x"], grad["u"] = self._backward(at, x, kept, d_out, begins)
+        grad["x"], grad["u"] = self._backward(at, x, kept, d_out)
         self.steps += 1
         fix = np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
         for k, g in grad.items():
@@ -419,8 +414,8 @@ def _adam(p, m, v, g, n: int, rate: float) -> None:
 def train(runner: Runner, docs: list[np.ndarray], rate: float) -> None:
     """Learns from the documents."""
     s = runner.s
-    for at, x, y, first, _, begins in packed(docs, s.end, LEARNING, LEARNED):
-        runner.learn(at, x if runner.inputs is None else runner.inputs[x], s.targets(y), first, rate, begins)
+    for _, at, x, y, first in windows(docs, s.end, tokens=LEARNED):
+        runner.learn(at, x if runner.inputs is None else runner.inputs[x], s.targets(y), first, rate)
 
 
 def log_likelihood(runner: Runner, docs: list[np.ndarray]) -> np.ndarray:
